@@ -62,6 +62,7 @@ def clean_entries(
     rows = cut(rows.select("*", "_refs.*").drop("_refs"))
 
     edges = cut(relations.known_edges(relations.relation_edges(rows), rows))
+    groups = cut(relations.without_equal_groups(relations.sibling_groups(relations.of_kind(edges, relations.SIBLING))))
     related = joins.union_ids(
         edges.select(F.col("src").alias("id")),
         edges.filter(F.col("kind").isin(relations.SIBLING, relations.PARENT)).select(F.col("dst").alias("id")),
@@ -78,6 +79,7 @@ def clean_entries(
         "refs": filters.drop_empty(rows.select("id", *REF_COLUMNS), REF_COLUMNS),
         "textual": filters.drop_empty(rows.select("id", *TEXT_COLUMNS), TEXT_COLUMNS),
         "edges": edges,
+        "sibling_groups": groups,
     }
 
 
@@ -115,7 +117,9 @@ def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, lis
     dropped = cut(joins.subtract_ids(main, seen))
     kept = joins.cascade({n: tables[n] for n in ("refs", "textual")}, dropped)
     edges = cut(joins.drop_links(tables["edges"], dropped))
-    groups = cut(relations.without_equal_groups(relations.sibling_groups(relations.of_kind(edges, relations.SIBLING))))
+    # A group outlives the entry it was listed by: its other members stay siblings.
+    left = tables["sibling_groups"].join(dropped.select(F.col("id").alias("member")), "member", "left_anti")
+    groups = cut(relations.without_equal_groups(left.select("group_id", "member")))
     related = cut(relations.relations_table(edges, groups, list_rows))
     unlisted = relations.unlisted_siblings(groups, list_rows)
     main = main.join(seen, "id").withColumn(
@@ -185,7 +189,15 @@ def add_people(tables: Tables, log: DataFrame, list_rows: int = LIST_ROWS) -> Ta
     """Add authors, updaters, views and better dates from the scrape log, and both person tables."""
     main = tables["main"]
     scraped = joins.restrict(
-        log.select("id", "views", "author", "updater", F.col("added").alias("_added"), F.col("updated").alias("_updated")),
+        log.select(
+            "id",
+            "views",
+            # A page without a name counts as the blank name among the lowest ones.
+            F.coalesce("author", F.lit("")).alias("author"),
+            F.coalesce("updater", F.lit("")).alias("updater"),
+            F.col("added").alias("_added"),
+            F.col("updated").alias("_updated"),
+        ),
         main,
     )
     every = main.join(scraped, "id", "left")
