@@ -15,12 +15,12 @@ def first_items(items: Column, most: int) -> Column:
 
 
 def sorted_set(items: Column) -> Column:
-    return F.array_sort(F.array_distinct(items))
+    return F.sort_array(F.array_distinct(items))
 
 
 def union_lists(first: Column, second: Column) -> Column:
     """Distinct items of both lists, sorted; a missing list counts as empty."""
-    return F.array_sort(F.array_union(F.coalesce(first, no_strings()), F.coalesce(second, no_strings())))
+    return F.sort_array(F.array_union(F.coalesce(first, no_strings()), F.coalesce(second, no_strings())))
 
 
 def merge_lists(first: Column, second: Column) -> Column:
@@ -81,14 +81,14 @@ def first_per_form(
         ),
         lambda x: ~x["form"].isin(*dropped) if dropped else x["form"].isNotNull(),
     )
-    by_form = F.array_sort(kept)
+    by_form = F.sort_array(kept)
 
     def opens_form(ordered: Column):
         return lambda x, i: (i == 0) | ~x["form"].eqNullSafe(F.get(ordered, i - 1)["form"])
 
     # A one-element list binds the sorted list, so it is not sorted again per element.
     firsts = F.flatten(F.transform(F.array(by_form), lambda ordered: F.filter(ordered, opens_form(ordered))))
-    ranked = F.array_sort(
+    ranked = F.sort_array(
         F.transform(
             firsts,
             lambda x: F.struct(
@@ -108,5 +108,4 @@ def first_per_form(
             F.transform(r, lambda x: x["link"]).alias("links"),
         ),
     )
-    both = F.get(lists, F.lit(0))
-    return F.when(F.size(both["keywords"]) > 0, both)
+    return F.get(F.filter(lists, lambda both: F.size(both["keywords"]) > 0), F.lit(0))

@@ -19,7 +19,8 @@ def no_strings() -> Column:
 
 
 def none_if_empty(items: Column) -> Column:
-    return F.when(F.size(items) > 0, items)
+    """The list, or NULL when it is empty. It is named once, so it is computed once."""
+    return F.get(F.filter(F.array(items), lambda i: F.size(i) > 0), F.lit(0))
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
@@ -81,18 +82,17 @@ def drop_tags(tags: Column, dropped: Sequence[str] = fixed.DROPPED_TAGS) -> Colu
 def split_words(
     text: Column, deleted: str = fixed.PUNCTUATION_AND_DIGITS, other_space: str = fixed.OTHER_WHITE_SPACE
 ) -> Column:
-    """Words of a text, in order and with repetitions, some possibly empty.
+    """Lower-case words of a text, in order and with repetitions, some possibly empty.
 
-    Words are separated by blanks only. Other white space is trimmed off both
-    ends of a word before characters are deleted from it, so it survives inside
-    a word. Works on the whole text at once instead of word by word.
+    Words are separated by blanks. Other white space is trimmed off both ends
+    of a word, then characters are deleted from it. Both are done on the text
+    as a whole; word by word only where other white space touches a blank.
     """
     trimmed = F.btrim(F.lower(text), F.lit(other_space))
-    around_blanks = f"[{other_space}]* [{other_space}]*"
-    spaced = F.regexp_replace(trimmed, around_blanks, " ")
-    # An all-space word leaves its neighbours' blanks side by side; the empty
-    # word between them is dropped by every caller.
-    return F.split(F.translate(spaced, deleted, ""), " ")
+    alike = F.translate(trimmed, other_space, "\n" * len(other_space))
+    touches = alike.contains(" \n") | alike.contains("\n ")
+    by_word = F.array_join(F.transform(F.split(trimmed, " "), lambda w: F.btrim(w, F.lit(other_space))), " ")
+    return F.split(F.translate(F.when(touches, by_word).otherwise(trimmed), deleted, ""), " ")
 
 
 def is_word(word: Column) -> Column:
@@ -104,13 +104,13 @@ def keyword_set(phrases: Column, dropped: Sequence[str] = ()) -> Column:
     """List of phrases -> sorted distinct words without the dropped ones; NULL when none is left."""
     words = F.filter(split_words(F.array_join(phrases, " ")), is_word)
     removed = F.array(*[F.lit(w) for w in dropped]) if dropped else no_strings()
-    return none_if_empty(F.array_sort(F.array_except(words, removed)))
+    return none_if_empty(F.sort_array(F.array_except(words, removed)))
 
 
 def drop_words(words: Column, dropped: Sequence[str] = fixed.STOP_WORDS) -> Column:
     """Remove stop words from a word list, sorted and distinct; NULL when none is left."""
     removed = F.array(*[F.lit(w) for w in dropped]) if dropped else no_strings()
-    return none_if_empty(F.array_sort(F.array_except(words, removed)))
+    return none_if_empty(F.sort_array(F.array_except(words, removed)))
 
 
 # --- sections --------------------------------------------------------------
@@ -136,7 +136,7 @@ def section_text(
 ) -> Column:
     """Texts of the named sections, one per line; NULL when there is none."""
     kept = F.filter(_section_items(content, names, "text"), lambda t: ~contains_any(F.lower(t), placeholders))
-    return F.when(F.size(kept) > 0, F.concat(F.array_join(kept, "\n"), F.lit("\n")))
+    return F.concat(F.array_join(none_if_empty(kept), "\n"), F.lit("\n"))
 
 
 def section_images(content: Column, names: Sequence[str]) -> Column:

@@ -135,6 +135,6 @@ def sorted_lists(
             "part", F.floor((F.col("position") - 1) / list_rows).cast("bigint")
         )
         by = [F.col("position")]
-    items = F.array_sort(F.collect_list(F.struct(*by, F.struct(*values).alias("v"))))
+    items = F.sort_array(F.collect_list(F.struct(*by, F.struct(*values).alias("v"))))
     lists = placed.groupBy(*keys, "part").agg(items.alias("_items"))
     return lists.select(*keys, "part", *[F.col("_items")["v"][name].alias(name) for name in values])

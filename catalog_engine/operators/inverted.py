@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog_engine.functions.lists import score_order
+from catalog_engine.functions.text import is_word, split_words
 from catalog_engine.operators.groups import LIST_ROWS, sorted_lists
 
 
@@ -29,9 +30,21 @@ def inverted_lists(
     return sorted_lists(rows.select(label, key, score), [label], order, [key, score], list_rows)
 
 
-def tag_counts(df: DataFrame, tags: Column) -> DataFrame:
-    """Number of occurrences per tag; repetitions in one list count."""
-    return df.select(F.explode(tags).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
+def tag_rows(df: DataFrame, tags: Column) -> DataFrame:
+    """One row per tag; repetitions in one list count."""
+    return df.select(F.explode_outer(tags).alias("tag")).filter(F.col("tag").isNotNull())
+
+
+def tag_counts(rows: DataFrame) -> DataFrame:
+    """Number of occurrences per tag."""
+    return rows.groupBy("tag").agg(F.count("*").alias("n"))
+
+
+def word_rows(df: DataFrame, source: Column, word: str, *kept: str) -> DataFrame:
+    """One row per word of a text; repetitions count."""
+    # The outer form: for the inner one Spark adds a size test that splits the text a second time.
+    words = df.select(*kept, split_words(source).alias("_words"))
+    return words.select(*kept, F.explode_outer("_words").alias(word)).filter(is_word(F.col(word)))
 
 
 def tag_totals(counts: DataFrame) -> DataFrame:

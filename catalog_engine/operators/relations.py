@@ -122,7 +122,7 @@ def sibling_lists(groups: DataFrame, list_rows: int = LIST_ROWS, hot: list | Non
     """
     listed = _pairs_per_entry(groups, hot).filter(F.col("pairs") <= list_rows).select("id")
     pairs = siblings_of(groups, listed, "id", hot)
-    return pairs.groupBy("id").agg(F.array_sort(F.collect_list("sibling")).alias("siblings"))
+    return pairs.groupBy("id").agg(F.sort_array(F.collect_list("sibling")).alias("siblings"))
 
 
 def unlisted_siblings(groups: DataFrame, list_rows: int = LIST_ROWS, hot: list | None = None) -> DataFrame:

@@ -275,8 +275,8 @@ def keyword_lists(spark, folder):
 def token_counts(spark, folder):
     """The 100 most frequent words, and total and distinct counts."""
     documents = table(spark, folder, "documents")
-    words = F.filter(text.split_words(F.col("text")), text.is_word)
-    counts = inverted.tag_counts(documents, words)
+    # One row per word: small next to the texts, and read twice below.
+    counts = cut(inverted.tag_counts(inverted.word_rows(documents, F.col("text"), "tag")))
     top = counts.orderBy(F.desc("n"), "tag").limit(100).select(F.lit("word").alias("kind"), "tag", "n")
     none = F.lit(None).cast("string").alias("tag")
     totals = inverted.tag_totals(counts).select(
@@ -295,9 +295,8 @@ def token_counts(spark, folder):
 
 def _word_counts(spark, folder) -> DataFrame:
     documents = table(spark, folder, "documents")
-    words = documents.select("doc_id", F.explode(text.split_words(F.col("text"))).alias("label"))
     return (
-        words.filter(text.is_word(F.col("label")))
+        inverted.word_rows(documents, F.col("text"), "label", "doc_id")
         .groupBy("label", "doc_id")
         .agg(F.count("*").cast("double").alias("score"))
         .withColumnRenamed("doc_id", "id")
@@ -323,7 +322,7 @@ def label_universe(spark, folder):
     """Every label once, with its first ten entries by score."""
     rows = _word_counts(spark, folder)
     best = groups.first_n(rows, ["label"], lists.score_order(F.col("score"), F.col("id")), 10)
-    items = F.array_sort(F.collect_list(F.struct("position", "id")))
+    items = F.sort_array(F.collect_list(F.struct("position", "id")))
     return best.groupBy("label").agg(items.alias("_i")).select(
         "label", F.array_join(F.col("_i")["id"], " ").alias("best_ids")
     )
@@ -342,7 +341,7 @@ def entity_keywords(spark, folder):
         ),
     )
     picked = lists.first_per_form(found, "form", "score", "link", ["the", "la", "der"])
-    return documents.select("doc_id", picked.alias("_p")).filter(F.col("_p").isNotNull()).select(
+    return documents.select("doc_id", picked.alias("_p")).select(
         "doc_id",
         F.md5(F.encode(F.array_join("_p.keywords", " "), "utf-8")).alias("keywords"),
         F.md5(F.encode(F.array_join(F.transform("_p.scores", lambda s: s.cast("int").cast("string")), " ", "-"), "utf-8")).alias("scores"),
@@ -589,7 +588,7 @@ def sibling_closure(spark, folder):
     members = cut(relations.without_equal_groups(members, hot))
     first = relations.first_siblings(members, fixed.LIST_EDGES, hot)
     return first.groupBy("id").agg(
-        F.array_join(F.array_sort(F.collect_list("sibling")), " ").alias("siblings")
+        F.array_join(F.sort_array(F.collect_list("sibling")), " ").alias("siblings")
     )
 
 

@@ -37,11 +37,12 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named
     current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="catalog-checkpoint-")
+    if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="catalog-checkpoint-"))
+        current = spark.sparkContext.getCheckpointDir()
+    return current
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -50,8 +51,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later stages read the stored rows, even after an executor is lost."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """The rows, stored in the shared folder and read back.
+
+    Later stages start from the stored table, even after an executor is lost,
+    and read only the columns they use. Unlike a checkpointed RDD it is
+    columnar and tells its size, so joins with it are planned by that.
+    """
+    path = new_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
