@@ -101,9 +101,9 @@ def read_scrape_log(spark: SparkSession, path: str) -> DataFrame:
 
 def typed_list(column: Column, numbers: bool = False) -> Column:
     """List column of a delimited file: printed form, or the JSON form ``write_delimited`` gives."""
-    kind = "array<double>" if numbers else "array<string>"
-    printed = printed_numbers(column) if numbers else printed_list(column)
-    return F.when(column.startswith('["'), F.from_json(column, kind)).otherwise(printed)
+    if numbers:
+        return F.coalesce(F.from_json(column, "array<double>"), printed_numbers(column))
+    return F.when(column.startswith('["'), F.from_json(column, "array<string>")).otherwise(printed_list(column))
 
 
 def read_main(spark: SparkSession, path: str, has_lists: bool, sep: str = ";") -> DataFrame:
