@@ -27,7 +27,8 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colu
 
 def text_key(*columns: str) -> Column:
     """SHA-256 of long grouping texts, so a shuffle moves 32 bytes instead of the text."""
-    return F.unhex(F.sha2(F.to_json(F.struct(*columns)), 256))
+    whole = F.col(columns[0]) if len(columns) == 1 else F.to_json(F.struct(*columns))
+    return F.unhex(F.sha2(F.encode(whole, "utf-8"), 256))
 
 
 def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], most: int) -> DataFrame:

@@ -150,11 +150,12 @@ COMPARISONS: dict[str, str] = {
               FROM documents)
     """,
     "longer_text": """
-        SELECT coalesce(d.doc_id, b.item_id) AS id,
+        WITH d AS (SELECT doc_id, CASE WHEN lang <> 'es' THEN text END AS text FROM documents)
+        SELECT d.doc_id AS id,
                md5(CASE WHEN b.text IS NULL THEN d.text WHEN length(d.text) > length(b.text) THEN d.text
                         ELSE b.text END) AS longer,
                length(coalesce(b.text, d.text))::BIGINT AS overridden_chars
-        FROM documents d FULL JOIN benchmark b ON d.doc_id = b.item_id
+        FROM d LEFT JOIN benchmark b ON d.doc_id = b.item_id
     """,
     "keyword_tokens": f"""
         SELECT doc_id, count(w) AS n_words, md5(string_agg(w, ' ' ORDER BY w)) AS digest
@@ -261,12 +262,10 @@ COMPARISONS: dict[str, str] = {
         FROM p
     """,
     "flags": """
-        SELECT coalesce(d.doc_id, l.doc_id, b.item_id) AS id, d.lang, l.doc_id IS NOT NULL AS has_label,
-               b.item_id IS NOT NULL AS has_item,
-               ((d.lang IS NULL)::INTEGER + (l.quality IS NULL)::INTEGER + (l.toxic IS NULL)::INTEGER
-                + (b.text IS NULL)::INTEGER)::BIGINT AS n_missing
+        SELECT coalesce(d.doc_id, l.doc_id) AS id, d.lang, l.doc_id IS NOT NULL AS has_label,
+               coalesce(d.doc_id, l.doc_id) IN (SELECT item_id FROM benchmark) AS has_item,
+               ((d.lang IS NULL)::INTEGER + (l.quality IS NULL)::INTEGER + (l.toxic IS NULL)::INTEGER)::BIGINT AS n_missing
         FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id
-        FULL JOIN benchmark b ON coalesce(d.doc_id, l.doc_id) = b.item_id
     """,
     "fill_and_drop": """
         WITH e AS (SELECT lang, quality::VARCHAR AS grade FROM documents LEFT JOIN labels USING (doc_id))

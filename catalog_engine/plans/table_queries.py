@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from catalog_engine import fixed_values as fixed
 from catalog_engine.functions import dates, links, lists, pages, text
@@ -107,7 +107,8 @@ def safety_cascade(spark, folder):
     )
     benchmark = table(spark, folder, "benchmark").select(F.col("item_id").alias("id"))
     fine = filters.drop_errors(labels.filter(~filters.is_blocked([F.col("adult")])))
-    dropped = joins.subtract_ids(joins.union_ids(documents, labels, benchmark), fine)
+    # Used once per table, so it is stored.
+    dropped = cut(joins.subtract_ids(joins.union_ids(documents, labels, benchmark), fine))
     kept = joins.cascade({"documents": documents, "labels": labels, "benchmark": benchmark}, dropped)
     counts = [
         t.agg(F.lit(n).alias("table_name"), F.count("*").alias("n"), F.sum("id").alias("id_sum"))
@@ -221,9 +222,12 @@ def strip_markers(spark, folder):
 @query
 def longer_text(spark, folder):
     """The longer of two texts by id, and one text overriding another."""
-    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    documents = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), F.when(F.col("lang") != "es", F.col("text")).alias("text")
+    )
     items = table(spark, folder, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("item"))
-    both = joins.align(documents, items)
+    # A left join, so a small other side is sent to the texts and the texts stay where they are.
+    both = joins.add_columns(documents, items, "item")
     return both.select(
         "id",
         F.md5(F.encode(text.longer_text(F.col("text"), F.col("item")), "utf-8")).alias("longer"),
@@ -357,11 +361,9 @@ def first_per_key(spark, folder):
         F.min_by(F.struct("value", "event_id"), F.struct("ts", "event_id")).alias("_f")
     )
     rows = firsts.select("user_id", "event_type", "_f.*")
-    order = lists.score_order(F.col("value"), F.col("event_type"))
-    # One row per event type is left of a user by now.
-    return groups.first_n(rows, ["user_id"], order, 1_000).select(
-        "user_id", "event_type", "event_id", "value", F.col("position").cast("bigint").alias("position")
-    )
+    # One row per event type is left of a user by now, so a user's rows fit one task.
+    by_value = Window.partitionBy("user_id").orderBy(*lists.score_order(F.col("value"), F.col("event_type")))
+    return rows.withColumn("position", F.row_number().over(by_value).cast("bigint"))
 
 
 @query
@@ -481,15 +483,14 @@ def flags(spark, folder):
     """Which tables know an id, and how many of its columns are missing."""
     documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "lang")
     labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), "quality", "toxic")
-    items = table(spark, folder, "benchmark").select(F.col("item_id").alias("id"), F.length("text").alias("item_chars"))
-    every = joins.align(documents, labels, items)
-    every = joins.add_flag(every, labels, "has_label")
+    items = table(spark, folder, "benchmark").select(F.col("item_id").alias("id"))
+    every = joins.add_flag(joins.align(documents, labels), items, "has_item")
     return every.select(
         "id",
         "lang",
-        "has_label",
-        filters.has_any("item_chars").alias("has_item"),
-        filters.missing_count("lang", "quality", "toxic", "item_chars").cast("bigint").alias("n_missing"),
+        filters.has_any("quality", "toxic").alias("has_label"),
+        "has_item",
+        filters.missing_count("lang", "quality", "toxic").cast("bigint").alias("n_missing"),
     )
 
 
@@ -500,7 +501,7 @@ def fill_and_drop(spark, folder):
     labels = table(spark, folder, "labels").select(
         F.col("doc_id").alias("id"), F.col("quality").cast("string").alias("quality")
     )
-    every = joins.add_columns(documents, labels, "quality").withColumnRenamed("quality", "grade")
+    every = cut(joins.add_columns(documents, labels, "quality").withColumnRenamed("quality", "grade"))
     filled = filters.fill_missing(every, ["grade"])
     complete = filters.drop_incomplete(every)
     return (
