@@ -48,11 +48,16 @@ def classify_links(
         usable, lambda e: F.struct(site_of(e["value"]).alias("site"), e["value"].alias("value"))
     )
 
-    def pick(name: str, position: int) -> Column:
-        mine = F.filter(placed, lambda p: p["site"] == name)
+    def pick(found: Column, name: str, position: int) -> Column:
+        mine = F.filter(found, lambda p: p["site"] == name)
         return F.try_element_at(mine, F.lit(position))["value"].alias(name)
 
-    return F.struct(*[pick(name, -1) for name, _ in sites], pick(other, 1))
+    # A one-element list names the checked links, so they are not checked again per site.
+    refs = F.transform(
+        F.array(placed),
+        lambda found: F.struct(*[pick(found, name, -1) for name, _ in sites], pick(found, other, 1)),
+    )
+    return F.get(refs, F.lit(0))
 
 
 def collect_urls(images: Column, most: int, excluded_host: str | None = None) -> Column:

@@ -25,9 +25,14 @@ def exclude_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return df.filter(~F.coalesce(F.col(column).isin(*values), F.lit(False))) if values else df
 
 
-def exclude_lowest_ids(df: DataFrame, url: str, most: int = fixed.LOWEST_IDS_DROPPED) -> DataFrame:
-    """Drop the rows with the ``most`` lowest short ids, ties broken by the link."""
-    ids = df.select(short_id(F.col(url)).alias("_short"), F.col(url))
+def exclude_lowest_ids(
+    df: DataFrame, url: str, most: int = fixed.LOWEST_IDS_DROPPED, among: DataFrame | None = None
+) -> DataFrame:
+    """Drop the rows with the ``most`` lowest short ids, ties broken by the link.
+
+    ``among`` are the rows the lowest ids are taken from, when those are not the rows of the table.
+    """
+    ids = (df if among is None else among).select(short_id(F.col(url)).alias("_short"), F.col(url))
     # At most `most` rows, whatever the table holds.
     return df.join(F.broadcast(lowest(ids, ["_short", url], most).select(url).distinct()), url, "left_anti")
 

@@ -30,11 +30,13 @@ def clean_entries(
     excluded_urls: list[str] = fixed.EXCLUDED_URLS,
 ) -> Tables:
     """Raw entries -> main, refs, textual and edges."""
-    kept = filters.keep_category(with_ordinal(entries), "category", category).drop("category")
-    kept = keep_first(kept, [text_key("title", "url")], [F.col("ordinal")]).drop("ordinal")
-    kept = filters.deny_titles(kept, "title", deny_list)
-    kept = cut(filters.exclude_lowest_ids(kept, "url", lowest))
-    kept = filters.exclude_values(kept, "url", excluded_urls)
+    # All row filters look at title and link only, which equal copies share, so
+    # they run before the shuffle that finds the copies.
+    fit = filters.keep_category(with_ordinal(entries), "category", category).drop("category")
+    fit = filters.deny_titles(fit, "title", deny_list)
+    fit = filters.exclude_lowest_ids(fit, "url", lowest, among=fit.select("title", "url").distinct())
+    fit = filters.exclude_values(fit, "url", excluded_urls)
+    kept = keep_first(fit, [text_key("title", "url")], [F.col("ordinal")])
 
     sections = {n: text.section_text(F.col("content"), fixed.SECTIONS[n]) for n in ("about", *TEXT_COLUMNS)}
     rows = kept.select(
