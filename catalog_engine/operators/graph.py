@@ -102,16 +102,33 @@ def new_rows(found: DataFrame, existing: DataFrame) -> DataFrame:
     return found.join(existing, found.columns, "left_anti")
 
 
+def family_graph(relations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The other form of the family edges: BELONGS_TO the parent, IS_PARENT_TO every child, with their nodes."""
+    every_child = relations.select("id", F.explode("children").alias("child"))
+    found_nodes = [nodes(relations, PARENT, "parent"), nodes(every_child, CHILD, "child")]
+    found_edges = [
+        edges(relations, ENTRY, "id", BELONGS_TO, PARENT, "parent"),
+        edges(every_child, ENTRY, "id", PARENT_TO, CHILD, "child"),
+    ]
+    return union_all(found_nodes), union_all(found_edges)
+
+
 def entry_graph(
-    main: DataFrame, relations: DataFrame, similar: DataFrame | None = None, most: int = fixed.LIST_EDGES
+    main: DataFrame,
+    relations: DataFrame,
+    similar: DataFrame | None = None,
+    most: int = fixed.LIST_EDGES,
+    contains: str = CONTAINS,
 ) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges of the catalogue.
 
-    ``main`` gives authors, templates, update days and labels of complete
-    entries; ``relations`` parent and siblings, ``unknown`` where missing.
+    ``main`` gives authors, templates and update days of entries without any
+    missing plain value, and the labels of all; ``relations`` parent and
+    siblings, ``unknown`` where missing.
     """
     facts = ["id", "url", "views", "author", "updated", "template_image_url"]
-    complete = main.select(*facts).na.drop("any")
+    plain = [n for n, t in main.dtypes if not t.startswith("array")]
+    complete = main.select(*plain).na.drop("any").select(*facts)
     family = relations.filter("part = 0").select(
         "id",
         F.coalesce("parent", F.lit(fixed.UNKNOWN)).alias("parent"),
@@ -134,7 +151,7 @@ def entry_graph(
         edges(complete, AUTHOR, "author", CREATED, ENTRY, "id"),
         edges(family, ENTRY, "id", CHILD_OF, PARENT, "parent"),
         list_edges(family, ENTRY, "id", RELATED_TO, SIBLING, "siblings", most),
-        list_edges(labelled, ENTRY, "id", CONTAINS, LABEL, "labels", most),
+        list_edges(labelled, ENTRY, "id", contains, LABEL, "labels", most),
     ]
     found_nodes = [
         nodes(complete, ENTRY, "id", url="url", views="views"),

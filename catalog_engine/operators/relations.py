@@ -105,7 +105,8 @@ def first_siblings(groups: DataFrame, most: int, hot: list | None = None) -> Dat
 
 def siblings_of(groups: DataFrame, ids: DataFrame, key: str = "id", hot: list | None = None) -> DataFrame:
     """All siblings of the given entries as (id, sibling)."""
-    asked = groups.withColumnRenamed("member", "id").join(ids.select(F.col(key).alias("id")).distinct(), "id")
+    wanted = ids.select(F.col(key).alias("id")).distinct()
+    asked = spread_join(groups.withColumnRenamed("member", "id"), wanted, "id")
     return (
         spread_join(groups.withColumnRenamed("member", "sibling"), asked, "group_id", "inner", hot)
         .filter(F.col("sibling") != F.col("id"))
@@ -128,7 +129,7 @@ def sibling_lists(groups: DataFrame, list_rows: int = LIST_ROWS, hot: list | Non
 def unlisted_siblings(groups: DataFrame, list_rows: int = LIST_ROWS, hot: list | None = None) -> DataFrame:
     """Entries with more siblings than a list may hold: (id, group_id), to be read through the groups."""
     more = _pairs_per_entry(groups, hot).filter(F.col("pairs") > list_rows).select("id")
-    return groups.withColumnRenamed("member", "id").join(more, "id").select("id", "group_id")
+    return spread_join(groups.withColumnRenamed("member", "id"), more, "id").select("id", "group_id")
 
 
 def _pairs_per_entry(groups: DataFrame, hot: list | None = None) -> DataFrame:
@@ -137,6 +138,12 @@ def _pairs_per_entry(groups: DataFrame, hot: list | None = None) -> DataFrame:
     return spread_join(members, sizes, "group_id", "inner", hot).groupBy("id").agg(F.sum("size").alias("pairs"))
 
 
+def drop_members(groups: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Group rows without dropped entries. A group outlives the entry it was listed by: the others stay siblings."""
+    gone = dropped.select(F.col("id").alias("member"))
+    return spread_join(groups, gone, "member", "left_anti").select("group_id", "member")
+
+
 def set_parents(groups: DataFrame, parents: DataFrame, hot: list | None = None) -> DataFrame:
     """Per group how many different parents its members have, and the lowest one.
 
@@ -165,7 +172,7 @@ def parent_agreement(children: DataFrame, parents: DataFrame) -> DataFrame:
     """Child edges whose child names no parent, or another one: one row of counts."""
     named = parents.select(F.col("id").alias("child"), F.col("parent").alias("_named"))
     return (
-        children.join(named, "child", "left")
+        spread_join(children, named, "child", "left")
         .agg(
             F.count_if(F.col("_named").isNull()).alias("no_parent"),
             F.count_if(F.col("_named") != F.col("parent")).alias("other_parent"),

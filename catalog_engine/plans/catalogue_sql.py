@@ -71,7 +71,7 @@ CATALOGUE_COMPARISONS: dict[str, str] = {
     """,
     "catalogue_people": f"{_CATALOGUE} {_PERSONS}",
     "catalogue_graph": f"""{_CATALOGUE},
-        whole AS (SELECT * FROM main WHERE author IS NOT NULL AND views IS NOT NULL),
+        whole AS (SELECT * FROM main WHERE author IS NOT NULL AND updater IS NOT NULL AND views IS NOT NULL),
         family AS (SELECT r.id, coalesce(p.parent, 'unknown') AS parent FROM related r LEFT JOIN parents p USING (id)),
         sibling AS (SELECT id, s FROM sibs
                     UNION ALL SELECT id, 'unknown' FROM related WHERE id NOT IN (SELECT id FROM sibs))

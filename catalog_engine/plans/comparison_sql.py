@@ -285,7 +285,7 @@ COMPARISONS: dict[str, str] = {
         WITH low AS (SELECT c_name FROM customer ORDER BY c_name, c_custkey LIMIT {fixed.LOWEST_NAMES_DROPPED})
         SELECT c_custkey AS id,
                CASE WHEN c_name NOT IN (FROM low) AND c_name <> 'Customer#000000100' THEN c_name END AS author,
-               CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS updater
+               CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN c_mktsegment END AS updater
         FROM customer
     """,
     "person_rollup": """
@@ -338,6 +338,12 @@ COMPARISONS: dict[str, str] = {
                NULL::INTEGER AS n_siblings
         FROM c FULL JOIN parents p ON c.id = p.id AND c.part = 0
     """,
+    "family_edges": f"""
+        WITH {_FAMILY}
+        SELECT 'Meme_name' AS src_kind, id AS src, 'BELONGS_TO' AS relation, 'Meme_parent' AS dst_kind, parent AS dst
+        FROM parents
+        UNION ALL SELECT 'Meme_name', parent, 'IS_PARENT_TO', 'Meme_children', child FROM children
+    """,
     "parent_check": f"""
         WITH {_FAMILY}
         SELECT count(*) FILTER (WHERE p.parent IS NULL) AS no_parent,

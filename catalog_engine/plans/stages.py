@@ -119,9 +119,7 @@ def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, lis
     dropped = cut(joins.subtract_ids(main, seen))
     kept = joins.cascade({n: tables[n] for n in ("refs", "textual")}, dropped)
     edges = cut(joins.drop_links(tables["edges"], dropped))
-    # A group outlives the entry it was listed by: its other members stay siblings.
-    left = tables["sibling_groups"].join(dropped.select(F.col("id").alias("member")), "member", "left_anti")
-    groups = cut(relations.without_equal_groups(left.select("group_id", "member")))
+    groups = cut(relations.without_equal_groups(relations.drop_members(tables["sibling_groups"], dropped)))
     related = cut(relations.relations_table(edges, groups, list_rows))
     unlisted = relations.unlisted_siblings(groups, list_rows)
     main = main.join(seen, "id").withColumn(
@@ -215,6 +213,7 @@ def add_people(tables: Tables, log: DataFrame, list_rows: int = LIST_ROWS) -> Ta
 
 
 def build_graph(tables: Tables) -> Tables:
+    """Nodes and edges of the property graph."""
     similar = tables["main"].select("id", "similar_images").filter(F.col("similar_images").isNotNull())
     nodes, edges = graph.entry_graph(tables["main"], tables["relations"], similar)
     return {"nodes": nodes, "edges": edges}

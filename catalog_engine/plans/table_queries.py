@@ -541,6 +541,7 @@ def null_out_names(spark, folder):
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("author"), F.col("c_mktsegment").alias("updater")
     )
+    customers = filters.blank_values(customers, "updater", ["BUILDING"])
     named = people.blank_lowest_names(
         customers, {"author": "author", "updater": "author"}, literals=["Customer#000000100", "MACHINERY"]
     )
@@ -664,6 +665,14 @@ def parent_child(spark, folder):
     )
 
 
+@query
+def family_edges(spark, folder):
+    """Edges from entries to their parent and to every child."""
+    _, edges = _places(spark, folder)
+    _, found = graph.family_graph(relations.relations_table(edges, list_rows=50))
+    return found
+
+
 @query
 def parent_check(spark, folder):
     """Children that name no parent, or another one."""

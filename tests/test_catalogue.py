@@ -218,7 +218,7 @@ def test_people_with_names(built):
 
 def test_graph(built):
     tables = dict(built["last"])
-    tables["main"] = tables["main"].withColumn("author", F.lit("ann"))
+    tables["main"] = tables["main"].withColumn("author", F.lit("ann")).fillna("zed", ["updater"])
     found = stages.build_graph(tables)
     edges = [tuple(r) for r in found["edges"].collect()]
     assert len(edges) == len(set(edges))
@@ -230,8 +230,8 @@ def test_graph(built):
         ("alpha", "root"), ("beta", "root"), ("gamma", "unknown"), ("delta", "unknown"), ("root", "unknown"),
     }
     assert ("alpha", "Cat") in of[graph.CONTAINS] and of[graph.SIMILAR_TO] == {("alpha", "i1"), ("alpha", "i2")}
-    # root has no views, so it is no complete entry.
-    assert {s for s, _ in of[graph.CREATED_BY]} == {"%16", "alpha", "beta", "gamma", "delta"}
+    # root has no views and delta no status, so they are no complete entries.
+    assert {s for s, _ in of[graph.CREATED_BY]} == {"%16", "alpha", "beta", "gamma"}
     assert of[graph.CREATED] == {(d, s) for s, d in of[graph.CREATED_BY]}
     nodes = [tuple(r) for r in found["nodes"].collect()]
     assert graph.new_rows(found["nodes"], found["nodes"]).count() == 0
