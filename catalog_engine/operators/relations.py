@@ -17,6 +17,8 @@ from catalog_engine.operators.groups import LIST_ROWS, first_n, sorted_lists, sp
 from catalog_engine.session import cut
 
 PARENT, CHILD, SIBLING = "parent", "child", "sibling"
+# No entry is written out in more sibling pairs than this; beyond it the group rows are the result.
+SIBLING_ROWS = 1_000
 
 
 def relation_edges(
@@ -115,7 +117,7 @@ def siblings_of(groups: DataFrame, ids: DataFrame, key: str = "id", hot: list |
     )
 
 
-def sibling_lists(groups: DataFrame, list_rows: int = LIST_ROWS, hot: list | None = None) -> DataFrame:
+def sibling_lists(groups: DataFrame, list_rows: int = SIBLING_ROWS, hot: list | None = None) -> DataFrame:
     """Entries whose groups hold at most ``list_rows`` members in all: (id, siblings), sorted.
 
     No entry takes part in more than ``list_rows`` pairs. The entries left out are those of
@@ -126,7 +128,7 @@ def sibling_lists(groups: DataFrame, list_rows: int = LIST_ROWS, hot: list | Non
     return pairs.groupBy("id").agg(F.sort_array(F.collect_list("sibling")).alias("siblings"))
 
 
-def unlisted_siblings(groups: DataFrame, list_rows: int = LIST_ROWS, hot: list | None = None) -> DataFrame:
+def unlisted_siblings(groups: DataFrame, list_rows: int = SIBLING_ROWS, hot: list | None = None) -> DataFrame:
     """Entries with more siblings than a list may hold: (id, group_id), to be read through the groups."""
     more = _pairs_per_entry(groups, hot).filter(F.col("pairs") > list_rows).select("id")
     return spread_join(groups.withColumnRenamed("member", "id"), more, "id").select("id", "group_id")
@@ -181,7 +183,10 @@ def parent_agreement(children: DataFrame, parents: DataFrame) -> DataFrame:
 
 
 def relations_table(
-    edges: DataFrame, groups: DataFrame | None = None, list_rows: int = LIST_ROWS
+    edges: DataFrame,
+    groups: DataFrame | None = None,
+    list_rows: int = LIST_ROWS,
+    sibling_rows: int = SIBLING_ROWS,
 ) -> DataFrame:
     """Per entry: parent, sorted children, sorted siblings; entries without any are left out.
 
@@ -198,7 +203,7 @@ def relations_table(
         groups = cut(without_equal_groups(sibling_groups(of_kind(edges, SIBLING))))
     start = F.lit(0).cast("bigint").alias("part")
     first_rows = parents.select(F.col("src").alias("id"), start, "parent").join(
-        sibling_lists(groups, list_rows).select("id", start, "siblings"), ["id", "part"], "full"
+        sibling_lists(groups, sibling_rows).select("id", start, "siblings"), ["id", "part"], "full"
     )
     return (
         first_rows.join(children, ["id", "part"], "full")

@@ -120,8 +120,8 @@ def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, lis
     kept = joins.cascade({n: tables[n] for n in ("refs", "textual")}, dropped)
     edges = cut(joins.drop_links(tables["edges"], dropped))
     groups = cut(relations.without_equal_groups(relations.drop_members(tables["sibling_groups"], dropped)))
-    related = cut(relations.relations_table(edges, groups, list_rows))
-    unlisted = relations.unlisted_siblings(groups, list_rows)
+    related = cut(relations.relations_table(edges, groups, list_rows=list_rows))
+    unlisted = relations.unlisted_siblings(groups)
     main = main.join(seen, "id").withColumn(
         "search_keywords", lists.append_label(F.col("search_keywords"), F.col("best_guess_label"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -25,16 +26,15 @@ def write_keyed(df: DataFrame, path: str, key: str = "id") -> None:
 
 def append_new(df: DataFrame, path: str, key: str) -> None:
     """Append the records whose key is not stored yet, so that a second run adds nothing."""
-    df = df.dropDuplicates([key])
-    spark = df.sparkSession
     try:
-        stored = spark.read.schema(df.schema).parquet(path).select(key)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        df.write.mode("append").parquet(path)
-        return
-    df.join(stored, key, "left_anti").write.mode("append").parquet(path)
+        fresh = df
+    else:
+        fresh = df.join(stored.select(key), key, "left_anti")
+    fresh.write.mode("append").parquet(path)
 
 
 def as_table(df: DataFrame, declared: str, **renamed: str) -> DataFrame:

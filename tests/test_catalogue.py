@@ -296,7 +296,9 @@ def test_append_and_create_twice(spark, tmp_path):
     records = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2)], "id string, n int")
     for _ in range(2):
         write.append_new(records, str(tmp_path / "r"), "id")
-    assert spark.read.parquet(str(tmp_path / "r")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 3
+    write.append_new(spark.createDataFrame([("a", 9), ("c", 9)], "id string, n int"), str(tmp_path / "r"), "id")
+    assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "r")).collect()) == [1, 2, 2, 9]
     for n in (1, 2):
         write.create_table(records.limit(n).withColumn("t", F.array("id")), str(tmp_path / "t"), "id string, t string")
     assert spark.read.parquet(str(tmp_path / "t")).first().asDict() == {"id": "a", "t": '["a"]'}
