@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog_engine.llm import bpe, simhash
+from catalog_engine.llm import bpe, recompress, simhash
 
-QUERIES = {f.__name__: f for f in (simhash.op4_simhash_near_dedup, bpe.op5_bpe_encode_decode)}
+QUERIES = {f.__name__: f for f in (simhash.op4_simhash_near_dedup, bpe.op5_bpe_encode_decode, recompress.op10_substring_dedup)}
 COMPARISONS: dict[str, str] = {}
