@@ -22,13 +22,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def word_count(text: str | Column) -> Column:
-    """Number of words of a text (0 for null), without listing them.
-
-    Every word begins at the start of the text or after white space, so it is enough to count those places.
-    """
-    text = F.col(text) if isinstance(text, str) else text
-    blanks = F.translate(text, "\t\n\u000b\u000c\r", "     ")
-    return F.coalesce(F.regexp_count(blanks, F.lit(r"(?:^|(?<= ))[^ ]")), F.lit(0)).cast("bigint")
+    """Number of words of a text (0 for null)."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
 def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from catalog_engine.llm import bpe, recompress, simhash
+from catalog_engine.llm import bpe, mixing, recompress, simhash, toxicity
 
-QUERIES = {f.__name__: f for f in (simhash.op4_simhash_near_dedup, bpe.op5_bpe_encode_decode, recompress.op10_substring_dedup)}
-COMPARISONS: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        simhash.op4_simhash_near_dedup,
+        bpe.op5_bpe_encode_decode,
+        toxicity.op6_toxicity,
+        mixing.op7_mix_sources,
+        recompress.op10_substring_dedup,
+    )
+}
+COMPARISONS = {"op7_mix_sources": mixing.MIX_SQL}
