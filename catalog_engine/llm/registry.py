@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog_engine.llm import bpe, mixing, recompress, simhash, toxicity
+from catalog_engine.llm import bpe, mixing, recompress, sharding, simhash, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         bpe.op5_bpe_encode_decode,
         toxicity.op6_toxicity,
         mixing.op7_mix_sources,
+        sharding.op9_reshard,
         recompress.op10_substring_dedup,
     )
 }
