@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog_engine.llm.common import PIECE_BYTES, mixed, offsets_of, pieces, raw_texts, table
+from catalog_engine.llm.common import PIECE_BYTES, covered, mixed, offsets_of, pieces, raw_texts, table, window_starts
 from catalog_engine.session import cut, new_folder
 
 WINDOW_WORDS = 35
@@ -107,13 +107,6 @@ class Parse:
         self.first = self.first[at]
 
 
-def window_starts(starts: np.ndarray, window: int) -> np.ndarray:
-    """Every word with which a whole window of its text begins."""
-    sizes = np.maximum(0, np.diff(starts) - window + 1)
-    ends = offsets_of(sizes)
-    return np.arange(ends[-1]) + np.repeat(starts[:-1] - ends[:-1], sizes)
-
-
 def candidates(parse: Parse, starts: np.ndarray, repeated: np.ndarray, window: int) -> np.ndarray:
     """Starts of the windows without an inner symbol that occurs only once."""
     at = window_starts(starts, window)
@@ -135,14 +128,6 @@ def window_hashes(names: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     return out
 
 
-def covered(hit: np.ndarray, n: int, window: int) -> np.ndarray:
-    """Which of n words lie in a window that begins at one of ``hit``."""
-    edge = np.zeros(n + 1, np.int64)
-    edge[hit] += 1
-    edge[hit + window] -= 1
-    return np.cumsum(edge[:-1]) > 0
-
-
 # --- which keys occur twice, over all blocks -------------------------------
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from catalog_engine.llm import bpe, mixing, recompress, sharding, simhash, toxicity
+from catalog_engine.llm import bpe, divergence, language, mixing, recompress, sharding, simhash, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
+        divergence.op1_quality_divergence,
+        language.op3_language_id,
         simhash.op4_simhash_near_dedup,
         bpe.op5_bpe_encode_decode,
         toxicity.op6_toxicity,
