@@ -318,15 +318,20 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> N
     return network
 
 
-def fit(labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Network | float:
-    """Train on (key, text, toxic): at most ``per_class`` rows of each class, chosen by a hash of the key.
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Network | float:
+    """Train on the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) mark.
 
-    Rows without a label are left out; a null text is empty.
+    At most ``per_class`` documents of each class are read, chosen by a hash of
+    the doc_id. Rows without a label are left out, a null text is empty, and of
+    rows that repeat a doc_id the least text counts.
     """
-    known = labelled.filter("toxic in (0, 1)").select("key", "text", F.col("toxic").cast("int").alias("toxic"))
+    known = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     share = known.agg(F.avg("toxic")).first()[0] or 0.0
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("key"), "key", "text")
-    sample = known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_class)
+    # Documents are chosen without their texts; the chosen ones are bounded, so they go to the texts and not the other way.
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
+    there = known.distinct().join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = there.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_class)
+    sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "place").agg(F.min("text").alias("text"))
 
     def trained(batches):
         rows = [r for b in batches for r in b.to_pylist()]
@@ -372,9 +377,9 @@ def is_held_out(doc_id: str = "doc_id") -> F.Column:
 
 def fitted(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Network | float:
     """Train on the labelled documents that are not held out."""
-    learned = labels.select("doc_id", "toxic").filter(~is_held_out())
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(learned, "doc_id")
-    return fit(rows.select(F.col("doc_id").cast("string").alias("key"), "text", "toxic"), per_class)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    learned = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic").filter(~is_held_out())
+    return fit(texts, learned, per_class)
 
 
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
