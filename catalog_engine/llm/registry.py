@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from catalog_engine.llm import bpe, divergence, language, mixing, recompress, sharding, simhash, toxicity
+from catalog_engine.llm import bpe, divergence, language, licenses, mixing, neighbours, recompress, sharding, simhash, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         divergence.op1_quality_divergence,
+        licenses.op2_license_scan,
         language.op3_language_id,
         simhash.op4_simhash_near_dedup,
         bpe.op5_bpe_encode_decode,
         toxicity.op6_toxicity,
         mixing.op7_mix_sources,
+        neighbours.op8_nearest_neighbours,
         sharding.op9_reshard,
         recompress.op10_substring_dedup,
     )
 }
-COMPARISONS = {"op7_mix_sources": mixing.MIX_SQL}
+COMPARISONS = {"op2_license_scan": licenses.scan_sql(), "op7_mix_sources": mixing.MIX_SQL}
