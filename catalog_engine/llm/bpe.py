@@ -10,7 +10,6 @@ batches, so a frequent word is merged once per Python worker.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 from dataclasses import dataclass
@@ -24,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog_engine.llm.common import offsets_of, pieces, ranges, raw_texts, table
 
 # Words whose ids a worker keeps, and the bytes of new words that are merged together.
-KEPT_WORDS = 400_000
-MERGE_BYTES = 2_000_000
+KEPT_WORDS = 150_000
+MERGE_BYTES = 1_000_000
 # White space as the pattern of byte-level vocabularies means it; the regex module's \s has four control characters more.
 SPACE = r"\p{White_Space}"
 SPLIT = (
@@ -165,9 +164,11 @@ class Coder:
         return b"".join(map(self.vocabulary.token_bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-def with_tokens(docs: DataFrame, vocabulary_path: str, column: str = "text") -> DataFrame:
+def with_tokens(docs: DataFrame, vocabulary_path: str, column: str = "text", packed: bool = False) -> DataFrame:
     """``docs`` with ``token_ids`` (list of int) and ``decoded`` (string); columns of these names are replaced.
 
+    With ``packed`` the ids are bytes, four to an id, the lowest first.
+
     A null text is encoded as an empty one: no ids, an empty decoded text. Every
     row is coded by itself, so repeated rows come out alike, and an empty table
     gives an empty result. The vocabulary file is read once, on the driver, and
@@ -184,35 +185,28 @@ def with_tokens(docs: DataFrame, vocabulary_path: str, column: str = "text") ->
         coder = Coder(Vocabulary.from_json(spec))
         for piece in pieces(batches, "whole"):
             ids = coder.encode([t.decode() for t in raw_texts(piece, "whole")])
-            flat = np.concatenate(ids).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets_of([len(i) for i in ids]).astype(np.int32)), pa.array(flat))
+            if packed:
+                lists = pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())
+            else:
+                flat = pa.array(np.concatenate(ids).astype(np.int32))
+                lists = pa.ListArray.from_arrays(pa.array(offsets_of([len(i) for i in ids]).astype(np.int32)), flat)
             decoded = pa.array([coder.decode(i) for i in ids], pa.string())
             own = [piece.column(i) for i in range(len(names))]
             yield pa.record_batch([*own, lists, decoded], [*piece.schema.names[: len(names)], "token_ids", "decoded"])
 
-    out = numbered.mapInArrow(coded, f"{shape}, token_ids array<int>, decoded string")
+    kind = "binary" if packed else "array<int>"
+    out = numbered.mapInArrow(coded, f"{shape}, token_ids {kind}, decoded string")
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "token_ids", "decoded")
 
 
 def digests(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: what ``with_tokens`` gives, as digests."""
 
-    def summed(batches):
-        for batch in batches:
-            lists = batch.column("token_ids")
-            texts = batch.column("decoded").cast(pa.binary())
-            at = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy().astype("<u4")
-            ids = [hashlib.sha256(flat[s:e].tobytes()).hexdigest() for s, e in zip(at[:-1], at[1:])]
-            decoded = [hashlib.sha256(t.as_buffer()).hexdigest() for t in texts]
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(np.diff(at).astype(np.int64)), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    tokens = with_tokens(docs.select("doc_id", "text"), vocabulary_path)
-    return tokens.select(F.col("doc_id").cast("bigint").alias("doc_id"), "token_ids", "decoded").mapInArrow(
-        summed, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    tokens = with_tokens(docs, vocabulary_path, packed=True)
+    return tokens.select(
+        "doc_id", (F.length("token_ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

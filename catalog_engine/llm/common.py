@@ -14,7 +14,7 @@ from catalog_engine.session import cut
 # A word is a run of characters other than ASCII white space. bytes.split() cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
 # Python works on so many bytes of text at a time, or on one text if that is longer.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

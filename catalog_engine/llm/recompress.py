@@ -29,12 +29,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog_engine.llm.common import PIECE_BYTES, covered, mixed, offsets_of, pieces, raw_texts, table, window_starts
+from catalog_engine.llm.common import covered, mixed, offsets_of, pieces, raw_texts, table, window_starts
 from catalog_engine.session import cut, new_folder
 
 WINDOW_WORDS = 35
 PAIR_ROUNDS = 5
-# Text whose names are compared in one group.
+# Text of a block, and text whose names are compared in one group.
+BLOCK_BYTES = 4_000_000
 BYTES_A_PART = 32_000_000
 KEPT_WORDS = 500_000
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -214,7 +215,7 @@ def remove_repeats(
     window: int = WINDOW_WORDS,
     pair_rounds: int = PAIR_ROUNDS,
     rejoin: bool = False,
-    block_bytes: int = PIECE_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` without the words that lie in a window of words which also begins anywhere else.
 

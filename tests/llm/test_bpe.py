@@ -70,6 +70,9 @@ def test_rows(spark, judge):
     kept = bpe.with_tokens(docs, PATH)
     assert kept.columns == ["doc_id", "text", "whole", "token_ids", "decoded"]
     assert {r.whole for r in kept.collect()} == {"z"}
+    lists = {r.text: r.token_ids for r in kept.collect()}
+    packed = {r.text: list(struct.unpack(f"<{len(r.token_ids) // 4}I", r.token_ids)) for r in bpe.with_tokens(docs, PATH, packed=True).collect()}
+    assert lists == packed and lists["two two"] == judge.encode("two two").ids
     assert bpe.digests(docs.limit(0), PATH).collect() == []
 
 
