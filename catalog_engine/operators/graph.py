@@ -116,6 +116,7 @@ def family_graph(relations: DataFrame) -> tuple[DataFrame, DataFrame]:
 def entry_graph(
     main: DataFrame,
     relations: DataFrame,
+    siblings: DataFrame,
     similar: DataFrame | None = None,
     most: int = fixed.LIST_EDGES,
     contains: str = CONTAINS,
@@ -123,17 +124,18 @@ def entry_graph(
     """Nodes and edges of the catalogue.
 
     ``main`` gives authors, templates and update days of entries without any
-    missing plain value, and the labels of all; ``relations`` parent and
-    siblings, ``unknown`` where missing.
+    missing plain value, and the labels of all; ``relations`` the parents, and
+    ``siblings`` the first siblings as (id, sibling). An entry of one of the two
+    that has nothing in the other gets ``unknown`` there.
     """
     facts = ["id", "url", "views", "author", "updated", "template_image_url"]
     plain = [n for n, t in main.dtypes if not t.startswith("array")]
     complete = main.select(*plain).na.drop("any").select(*facts)
-    family = relations.filter("part = 0").select(
-        "id",
-        F.coalesce("parent", F.lit(fixed.UNKNOWN)).alias("parent"),
-        F.coalesce("siblings", F.array(F.lit(fixed.UNKNOWN))).alias("siblings"),
-    )
+    unknown = F.lit(fixed.UNKNOWN)
+    related = relations.select("id").union(siblings.select("id")).distinct()
+    named = relations.filter("part = 0").select("id", "parent")
+    family = related.join(named, "id", "left").select("id", F.coalesce("parent", unknown).alias("parent"))
+    beside = related.join(siblings.select("id", "sibling"), "id", "left").select("id", F.coalesce("sibling", unknown).alias("sibling"))
     labelled = main.select(
         "id", F.coalesce("image_recogn_labels", F.array(F.lit(fixed.UNKNOWN))).alias("labels")
     )
@@ -150,7 +152,7 @@ def entry_graph(
         ),
         edges(complete, AUTHOR, "author", CREATED, ENTRY, "id"),
         edges(family, ENTRY, "id", CHILD_OF, PARENT, "parent"),
-        list_edges(family, ENTRY, "id", RELATED_TO, SIBLING, "siblings", most),
+        edges(beside, ENTRY, "id", RELATED_TO, SIBLING, "sibling"),
         list_edges(labelled, ENTRY, "id", contains, LABEL, "labels", most),
     ]
     found_nodes = [
@@ -159,10 +161,10 @@ def entry_graph(
         nodes(complete, UPDATE, "updated"),
         nodes(complete, TEMPLATE, "template_image_url"),
         nodes(family, PARENT, "parent"),
-        nodes(family.select(F.explode(first_items(F.col("siblings"), most)).alias("sibling")), SIBLING, "sibling"),
+        nodes(beside, SIBLING, "sibling"),
         nodes(labelled.select(F.explode(first_items(F.col("labels"), most)).alias("label")), LABEL, "label"),
         # Entries seen only in these tables have an id and nothing else.
-        nodes(family.select("id").union(labelled.select("id")), ENTRY, "id"),
+        nodes(related.union(labelled.select("id")).join(complete.select("id"), "id", "left_anti"), ENTRY, "id"),
     ]
     if similar is not None:
         found_edges.append(list_edges(similar, ENTRY, "id", SIMILAR_TO, SIMILAR, "similar_images", None))

@@ -10,9 +10,8 @@ from catalog_engine.session import cut
 
 # A list in one row never holds more than this many items; a longer list goes on in the next row.
 LIST_ROWS = 10_000
-# No more keys than this are ever treated as hot, so a table of them is always small.
-HOT_KEYS = 64
-HOT_SHARE = 0.005
+# Rows of one key that one task takes; a key with more is spread over as many tasks as it needs.
+KEY_ROWS = 1_000_000
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
@@ -45,37 +44,30 @@ def lowest(df: DataFrame, order: Sequence[str], most: int) -> DataFrame:
 # --- hot keys --------------------------------------------------------------
 
 
-def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys holding more than ``HOT_SHARE`` of the rows, at most ``HOT_KEYS`` of them.
+def key_shares(df: DataFrame, key: str, key_rows: int = KEY_ROWS) -> DataFrame:
+    """Keys with more than ``key_rows`` rows, and over how many tasks each is spread.
 
-    Read off a heavy-hitter sketch in one pass over the key column; only these
-    few values reach the driver.
+    Counts combine before the shuffle. There are at most rows / ``key_rows`` such
+    keys; Spark decides by size how the table is joined.
     """
-    sketch = df.agg(
-        F.expr(f"approx_top_k({key}, {HOT_KEYS}, {HOT_KEYS * 100})").alias("top"), F.count("*").alias("total")
-    ).first()
-    return [e["item"] for e in sketch["top"] if e["item"] is not None and e["count"] > sketch["total"] * HOT_SHARE]
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    return counts.filter(F.col("_n") > key_rows).select(key, F.ceil(F.col("_n") / key_rows).cast("int").alias("_shares"))
 
 
 def spread_join(
-    many: DataFrame, few: DataFrame, key: str, how: str = "inner", hot: list | None = None, spread: int = 32
+    many: DataFrame, few: DataFrame, key: str, how: str = "inner", key_rows: int = KEY_ROWS, keys: DataFrame | None = None
 ) -> DataFrame:
-    """Equi-join in which rows of ``many`` with a hot key are spread over ``spread`` tasks.
+    """Equi-join in which a key with more than ``key_rows`` rows of ``many`` is spread over several tasks.
 
-    Only rows of ``few`` with a hot key are repeated, once per share. Both sides
-    see the same listed keys, so whichever they are the result is that of the
-    plain join; and without any it is the plain join. ``how`` is inner, left,
-    left_semi or left_anti.
+    Only rows of ``few`` with such a key are repeated, once per share. Both
+    sides see the same keys, so whichever they are the result is that of the
+    plain join. ``keys`` are the shares if the caller knows them. ``how`` is
+    inner, left, left_semi or left_anti.
     """
-    if hot is None:
-        hot = hot_keys(many, key)
-    if not hot:
-        return many.join(few, key, how)
-    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False))
-    share = F.pmod(F.xxhash64(*many.columns), F.lit(spread)).cast("int")
-    shares = F.when(is_hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    shared = many.withColumn("_share", F.when(is_hot, share).otherwise(0))
-    repeated = few.withColumn("_share", F.explode(shares))
+    shares = key_shares(many, key, key_rows) if keys is None else keys
+    count = F.coalesce("_shares", F.lit(1))
+    shared = many.join(shares, key, "left").withColumn("_share", F.pmod(F.xxhash64(*many.columns), count).cast("int")).drop("_shares")
+    repeated = few.join(shares, key, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), count - 1))).drop("_shares")
     return shared.join(repeated, [key, "_share"], how).drop("_share")
 
 
@@ -123,19 +115,11 @@ def sorted_lists(
     """One row per group with its values as parallel sorted lists.
 
     Every list is whole and in order. A group with more than ``list_rows`` rows
-    continues in further rows, numbered by ``part`` from 0. The size of the
-    largest group decides how the order is made: below the limit each group is
-    sorted inside its one row, above it by ranges.
+    continues in further rows, numbered by ``part`` from 0. Positions come from
+    sorted ranges, so no group is ever ordered in one task.
     """
-    largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= list_rows:
-        placed = df.withColumn("part", F.lit(0).cast("bigint"))
-        by = [o.alias(f"o{i}") for i, o in enumerate(order)]
-    else:
-        placed = rank_in_groups(df, keys, order).withColumn(
-            "part", F.floor((F.col("position") - 1) / list_rows).cast("bigint")
-        )
-        by = [F.col("position")]
+    placed = rank_in_groups(df, keys, order).withColumn("part", F.floor((F.col("position") - 1) / list_rows).cast("bigint"))
+    by = [F.col("position")]
     items = F.sort_array(F.collect_list(F.struct(*by, F.struct(*values).alias("v"))))
     lists = placed.groupBy(*keys, "part").agg(items.alias("_items"))
     return lists.select(*keys, "part", *[F.col("_items")["v"][name].alias(name) for name in values])

@@ -42,10 +42,11 @@ def cascade(tables: Mapping[str, DataFrame], dropped: DataFrame, key: str = "id"
 
 
 def drop_links(edges: DataFrame, dropped: DataFrame, source: str = "src", target: str = "dst") -> DataFrame:
-    """Delete edges that start or end at a dropped id. One target may hold much of the table."""
+    """Delete edges that start or end at a dropped id. One source or target may hold much of the table."""
     starts = dropped.select(F.col("id").alias(source))
     ends = dropped.select(F.col("id").alias(target))
-    return spread_join(edges.join(starts, source, "left_anti"), ends, target, "left_anti").select(*edges.columns)
+    kept = spread_join(edges, starts, source, "left_anti")
+    return spread_join(kept, ends, target, "left_anti").select(*edges.columns)
 
 
 def add_columns(df: DataFrame, other: DataFrame, *columns: str, key: str = "id") -> DataFrame:

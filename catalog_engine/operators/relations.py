@@ -4,8 +4,7 @@ Relations are kept as edges ``(src, dst, kind)``. A sibling completion joins
 every member of a sibling list with every other member. Written out as pairs
 that grows with the square of a list, so it is kept as ``(group_id, member)``
 rows instead: the siblings of an entry are the members of the groups it is in,
-without itself. That is the same set in linear size. Lists are written out for
-entries where they are known to stay below a limit; the group rows hold the rest.
+without itself. That is the same set in linear size, for every entry.
 """
 
 from __future__ import annotations
@@ -14,11 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog_engine.functions.text import short_id
 from catalog_engine.operators.groups import LIST_ROWS, first_n, sorted_lists, spread_join
-from catalog_engine.session import cut
 
 PARENT, CHILD, SIBLING = "parent", "child", "sibling"
-# No entry is written out in more sibling pairs than this; beyond it the group rows are the result.
-SIBLING_ROWS = 1_000
 
 
 def relation_edges(
@@ -84,14 +80,14 @@ def distinct_sets(groups: DataFrame) -> DataFrame:
     )
 
 
-def without_equal_groups(groups: DataFrame, hot: list | None = None) -> DataFrame:
+def without_equal_groups(groups: DataFrame) -> DataFrame:
     """One group per distinct member set. Consistent siblings all have the same one."""
-    return spread_join(groups, distinct_sets(groups).select("group_id"), "group_id", "left_semi", hot).select(
+    return spread_join(groups, distinct_sets(groups).select("group_id"), "group_id", "left_semi").select(
         "group_id", "member"
     )
 
 
-def first_siblings(groups: DataFrame, most: int, hot: list | None = None) -> DataFrame:
+def first_siblings(groups: DataFrame, most: int) -> DataFrame:
     """The ``most`` lowest siblings of every entry: (id, sibling, position).
 
     One group contributes no more than its ``most`` + 1 lowest members (one may
@@ -100,61 +96,46 @@ def first_siblings(groups: DataFrame, most: int, hot: list | None = None) -> Dat
     lowest = first_n(groups, ["group_id"], [F.col("member")], most + 1).select(
         "group_id", F.col("member").alias("sibling")
     )
-    pairs = spread_join(groups.withColumnRenamed("member", "id"), lowest, "group_id", "inner", hot)
+    pairs = spread_join(groups.withColumnRenamed("member", "id"), lowest, "group_id")
     found = pairs.filter(F.col("sibling") != F.col("id")).select("id", "sibling").distinct()
     return first_n(found, ["id"], [F.col("sibling")], most)
 
 
-def siblings_of(groups: DataFrame, ids: DataFrame, key: str = "id", hot: list | None = None) -> DataFrame:
+def siblings_of(groups: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     """All siblings of the given entries as (id, sibling)."""
     wanted = ids.select(F.col(key).alias("id")).distinct()
     asked = spread_join(groups.withColumnRenamed("member", "id"), wanted, "id")
     return (
-        spread_join(groups.withColumnRenamed("member", "sibling"), asked, "group_id", "inner", hot)
+        spread_join(groups.withColumnRenamed("member", "sibling"), asked, "group_id")
         .filter(F.col("sibling") != F.col("id"))
         .select("id", "sibling")
         .distinct()
     )
 
 
-def sibling_lists(groups: DataFrame, list_rows: int = SIBLING_ROWS, hot: list | None = None) -> DataFrame:
-    """Entries whose groups hold at most ``list_rows`` members in all: (id, siblings), sorted.
-
-    No entry takes part in more than ``list_rows`` pairs. The entries left out are those of
-    ``unlisted_siblings``; their siblings are whole in the group rows.
-    """
-    listed = _pairs_per_entry(groups, hot).filter(F.col("pairs") <= list_rows).select("id")
-    pairs = siblings_of(groups, listed, "id", hot)
-    return pairs.groupBy("id").agg(F.sort_array(F.collect_list("sibling")).alias("siblings"))
-
-
-def unlisted_siblings(groups: DataFrame, list_rows: int = SIBLING_ROWS, hot: list | None = None) -> DataFrame:
-    """Entries with more siblings than a list may hold: (id, group_id), to be read through the groups."""
-    more = _pairs_per_entry(groups, hot).filter(F.col("pairs") > list_rows).select("id")
-    return spread_join(groups.withColumnRenamed("member", "id"), more, "id").select("id", "group_id")
-
-
-def _pairs_per_entry(groups: DataFrame, hot: list | None = None) -> DataFrame:
-    sizes = groups.groupBy("group_id").agg(F.count("*").alias("size"))
-    members = groups.withColumnRenamed("member", "id")
-    return spread_join(members, sizes, "group_id", "inner", hot).groupBy("id").agg(F.sum("size").alias("pairs"))
-
-
 def drop_members(groups: DataFrame, dropped: DataFrame) -> DataFrame:
     """Group rows without dropped entries. A group outlives the entry it was listed by: the others stay siblings."""
     gone = dropped.select(F.col("id").alias("member"))
     return spread_join(groups, gone, "member", "left_anti").select("group_id", "member")
 
 
-def set_parents(groups: DataFrame, parents: DataFrame, hot: list | None = None) -> DataFrame:
+def related_ids(edges: DataFrame, groups: DataFrame) -> DataFrame:
+    """Ids with a parent, a child or a sibling."""
+    parent, child = F.col("kind") == PARENT, F.col("kind") == CHILD
+    ends = F.when(parent, F.array("src", "dst")).when(child, F.array("src"))
+    several = groups.groupBy("group_id").agg(F.count("*").alias("n")).filter("n > 1")
+    beside = spread_join(groups, several.select("group_id"), "group_id", "left_semi")
+    return edges.select(F.explode(ends).alias("id")).union(beside.select(F.col("member").alias("id"))).distinct()
+
+
+def set_parents(groups: DataFrame, parents: DataFrame) -> DataFrame:
     """Per group how many different parents its members have, and the lowest one.
 
     ``parents`` has one (id, parent) row per entry. Several parents break the rule that siblings share one.
-    ``hot`` are members found in very many groups.
     """
     family = parents.select(F.col("id").alias("member"), "parent")
     return (
-        spread_join(groups, family, "member", "left", hot)
+        spread_join(groups, family, "member", "left")
         .groupBy("group_id")
         .agg(F.count_distinct("parent").alias("n_parents"), F.min("parent").alias("parent"))
     )
@@ -182,31 +163,15 @@ def parent_agreement(children: DataFrame, parents: DataFrame) -> DataFrame:
     )
 
 
-def relations_table(
-    edges: DataFrame,
-    groups: DataFrame | None = None,
-    list_rows: int = LIST_ROWS,
-    sibling_rows: int = SIBLING_ROWS,
-) -> DataFrame:
-    """Per entry: parent, sorted children, sorted siblings; entries without any are left out.
+def relations_table(edges: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
+    """Per entry its parent and sorted children; entries without either are left out.
 
     ``part`` numbers the rows of an entry with more children than one list
-    holds; parent and siblings are on its part 0. Siblings are NULL where
-    ``unlisted_siblings`` has them.
+    holds; the parent is on its part 0. Siblings are the group rows.
     """
-    edges = cut(edges)
     parents = of_kind(edges, PARENT).groupBy("src").agg(F.min("dst").alias("parent"))
     children = sorted_lists(
         complete_children(edges), ["parent"], [F.col("child")], ["child"], list_rows
     ).select(F.col("parent").alias("id"), "part", F.col("child").alias("children"))
-    if groups is None:
-        groups = cut(without_equal_groups(sibling_groups(of_kind(edges, SIBLING))))
-    start = F.lit(0).cast("bigint").alias("part")
-    first_rows = parents.select(F.col("src").alias("id"), start, "parent").join(
-        sibling_lists(groups, sibling_rows).select("id", start, "siblings"), ["id", "part"], "full"
-    )
-    return (
-        first_rows.join(children, ["id", "part"], "full")
-        .select("id", "part", "parent", "children", "siblings")
-        .na.drop("all", subset=["parent", "children", "siblings"])
-    )
+    first_rows = parents.select(F.col("src").alias("id"), F.lit(0).cast("bigint").alias("part"), "parent")
+    return first_rows.join(children, ["id", "part"], "full").select("id", "part", "parent", "children")

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from catalog_engine import schemas
+from catalog_engine import fixed_values as fixed, schemas
 from catalog_engine.plans import stages
 from catalog_engine.plans.table_queries import query, table
 
 BASE = "https://site.example/entries/d"
 CATALOGUE_LANGUAGES = ["en", "fr", "de"]
+# One entry lists this many others as its siblings, so that one group is far larger than the rest.
+HUB, HUB_LIST = 6, 5_000
 
 
 def _link(number: Column) -> Column:
@@ -29,19 +31,19 @@ def _shaped(df: DataFrame, schema: str) -> DataFrame:
 def raw_entries(documents: DataFrame) -> DataFrame:
     none = F.lit(None)
     section = F.struct(
-        F.array(F.substring("text", 1, 150)).alias("text"), none.alias("images"), none.alias("subsections")
+        F.array("text").alias("text"), none.alias("images"), none.alias("subsections")
     )
     lines = F.struct(F.split("text", "\n").alias("text"), none.alias("images"), none.alias("subsections"))
     kind = "struct<text:array<string>,images:array<string>,subsections:map<string,struct<text:array<string>,images:array<string>>>>"
     number = F.col("doc_id")
     rows = documents.select(
-        F.concat("source", F.lit(" "), F.substring("text", 1, 30)).alias("title"),
+        F.concat("source", F.lit(" "), F.substring_index("text", "\n", 1)).alias("title"),
         _link(number).alias("url"),
         F.when(F.col("lang").isin(*CATALOGUE_LANGUAGES), "Meme").otherwise("Person").alias("category"),
         (F.lit(1_300_000_000) + number * 86_400).alias("last_update_source"),
         F.when(F.col("lang") != "fr", F.lit(1_290_000_000.0) + number * 3600).alias("added"),
         F.create_map(
-            F.lit("description"), F.substring("text", 1, 100), F.lit("og:image"), F.concat(F.lit("http://img/"), "doc_id")
+            F.lit("description"), F.substring_index("text", "\n", 1), F.lit("og:image"), F.concat(F.lit("http://img/"), "doc_id")
         ).alias("meta"),
         F.struct(
             F.when(F.col("lang") != "de", "2011.0").alias("year"),
@@ -56,7 +58,9 @@ def raw_entries(documents: DataFrame) -> DataFrame:
         F.array(F.lit("meme"), F.concat("lang", F.lit("tag"))).alias("tags"),
         F.create_map(F.lit("about"), section.cast(kind), F.lit("spread"), lines.cast(kind)).alias("content"),
         F.when(number > 0, _link(F.floor(number / 10))).alias("parent"),
-        F.when(F.col("lang") == "en", F.array(_link(number + 1))).alias("siblings"),
+        F.when(number == HUB, F.transform(F.sequence(F.lit(1), F.lit(HUB_LIST)), _link))
+        .when(F.col("lang") == "en", F.array(_link(number + 1)))
+        .alias("siblings"),
         none.alias("children"),
         F.concat(F.lit("http://template/"), "source").alias("template_image_url"),
     )
@@ -89,7 +93,7 @@ def raw_vision(labels: DataFrame) -> DataFrame:
         ).alias("safeSearchAnnotation"),
         F.struct(
             F.array(F.struct(F.lit("guess it").alias("label"), F.lit("en").alias("languageCode"))).alias("bestGuessLabels"),
-            urls(F.lit("http://kym-cdn/x"), F.concat(F.lit("http://a/"), "doc_id")).alias("fullMatchingImages"),
+            urls(F.lit(f"http://{fixed.OWN_IMAGE_HOST}/x"), F.concat(F.lit("http://a/"), "doc_id")).alias("fullMatchingImages"),
             urls(F.lit("http://b/1"), F.lit("http://b/2")).alias("partialMatchingImages"),
             none.alias("visuallySimilarImages"),
             F.array(F.struct(F.concat(F.lit("Web "), "quality").alias("description"), half.alias("score"))).alias("webEntities"),
@@ -101,14 +105,13 @@ def raw_vision(labels: DataFrame) -> DataFrame:
 
 def raw_entities(items: DataFrame) -> DataFrame:
     none = F.lit(None)
-    found = F.struct(
-        F.substring_index("text", " ", 1).alias("@surfaceForm"),
-        F.lit("0.5").alias("@similarityScore"),
-        F.lit("u").alias("@URI"),
+    found = F.transform(
+        F.split("text", " "),
+        lambda form: F.struct(form.alias("@surfaceForm"), F.lit("0.5").alias("@similarityScore"), F.lit("u").alias("@URI")),
     )
     fixed_columns = [none.alias(n) for n in ("@confidence", "@support", "@types", "@sparql", "@policy")]
     rows = items.select(
-        _link(F.col("item_id")).alias("id"), F.col("text").alias("@text"), F.array(found).alias("Resources"), *fixed_columns
+        _link(F.col("item_id")).alias("id"), F.col("text").alias("@text"), found.alias("Resources"), *fixed_columns
     )
     return _shaped(rows, f"id string, {schemas.ENTITY_RECORD}")
 
@@ -124,13 +127,18 @@ def scrape_log(customers: DataFrame) -> DataFrame:
     )
 
 
+def seen(spark, folder) -> stages.Tables:
+    """The tables after image recognition."""
+    entries = stages.clean_entries(raw_entries(table(spark, folder, "documents")))
+    return stages.join_vision(entries, raw_vision(table(spark, folder, "labels")))
+
+
+def linked(spark, folder) -> stages.Tables:
+    return stages.join_entities(seen(spark, folder), raw_entities(table(spark, folder, "benchmark")))
+
+
 def build(spark, folder) -> stages.Tables:
-    return stages.build_catalogue(
-        raw_entries(table(spark, folder, "documents")),
-        raw_vision(table(spark, folder, "labels")),
-        raw_entities(table(spark, folder, "benchmark")),
-        scrape_log(table(spark, folder, "customer")),
-    )
+    return stages.add_people(linked(spark, folder), scrape_log(table(spark, folder, "customer")))
 
 
 @query
@@ -153,13 +161,58 @@ def catalogue_main(spark, folder):
 @query
 def catalogue_relations(spark, folder):
     """The final relations table."""
-    return build(spark, folder)["relations"].select(
-        "id", "part", "parent",
-        F.array_join("children", " ").alias("children"),
-        F.array_join("siblings", " ").alias("siblings"),
+    return seen(spark, folder)["relations"].select("id", "part", "parent", F.array_join("children", " ").alias("children"))
+
+
+@query
+def catalogue_sibling_groups(spark, folder):
+    """The whole sibling result: every member of every group, one group of them with very many."""
+    return seen(spark, folder)["sibling_groups"].select("group_id", "member")
+
+
+@query
+def catalogue_siblings(spark, folder):
+    """The first siblings of every entry, as the graph takes them."""
+    return seen(spark, folder)["first_siblings"].select("id", "sibling", F.col("position").cast("bigint").alias("position"))
+
+
+@query
+def catalogue_refs(spark, folder):
+    """Links of the entries by site."""
+    refs = seen(spark, folder)["refs"]
+    return refs.select("id", *stages.REF_COLUMNS)
+
+
+@query
+def catalogue_textual(spark, folder):
+    """Further texts of the entries, whole."""
+    return seen(spark, folder)["textual"].select(
+        "id", *[F.md5(F.encode(c, "utf-8")).alias(c) for c in stages.TEXT_COLUMNS]
     )
 
 
+@query
+def catalogue_labels(spark, folder):
+    """Recognised labels with their entries and scores."""
+    return seen(spark, folder)["labels"].select(
+        "label", "part", F.array_join("memes", " ").alias("memes"),
+        F.array_join(F.transform("scores", lambda s: F.round(s * 10).cast("bigint").cast("string")), " ").alias("scores"),
+    )
+
+
+@query
+def catalogue_dbpedia(spark, folder):
+    """Linked entities of the entries."""
+    return linked(spark, folder)["DBpedia"].select("id", F.array_join("keywords", " ").alias("keywords"))
+
+
+@query
+def catalogue_per_year(spark, folder):
+    """Entries per year of the typed entry table."""
+    found = stages.build_relational(build(spark, folder))["per_year"]
+    return found.select(F.col("year").cast("int").alias("year"), "n")
+
+
 @query
 def catalogue_people(spark, folder):
     """Authors and updaters with their entries, counts and views."""
@@ -183,6 +236,18 @@ def catalogue_graph(spark, folder):
     return nodes.unionByName(edges)
 
 
+@query
+def catalogue_nodes(spark, folder):
+    """All nodes of the final graph with their properties."""
+    return stages.build_graph(build(spark, folder))["nodes"]
+
+
+@query
+def catalogue_edges(spark, folder):
+    """All edges of the final graph."""
+    return stages.build_graph(build(spark, folder))["edges"]
+
+
 @query
 def catalogue_constraints(spark, folder):
     """Violations in the final relational tables."""

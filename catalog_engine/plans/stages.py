@@ -1,7 +1,8 @@
 """The catalogue build: clean entries, add recognition, entities and people, deliver tables and graph.
 
-Every stage takes and gives a dict of DataFrames. A table that several later
-tables are made from is stored in the shared folder, so it is built once.
+Every stage takes and gives tables by name. A table that several later tables
+are made from is stored in the shared folder, so it is built once; a table that
+nothing else needs is built when it is asked for.
 """
 
 from __future__ import annotations
@@ -19,7 +20,20 @@ from catalog_engine.sources.write import as_table
 REF_COLUMNS = [name for name, _ in fixed.LINK_SITES] + [fixed.LINK_OTHER]
 TEXT_COLUMNS = ["origins", "spread", "search_interest"]
 
-Tables = dict[str, DataFrame]
+
+
+class Tables(dict):
+    """Tables by name; one that is given as a function is built when it is first asked for."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        found = super().__getitem__(name)
+        if not isinstance(found, DataFrame):
+            found = self[name] = found()
+        return found
+
+    def with_tables(self, **more) -> Tables:
+        """These tables and more; nothing is built for it."""
+        return Tables({**dict(dict.items(self)), **more})
 
 
 def clean_entries(
@@ -32,7 +46,8 @@ def clean_entries(
     """Raw entries -> main, refs, textual and edges."""
     # All row filters look at title and link only, which equal copies share, so
     # they run before the shuffle that finds the copies.
-    fit = filters.keep_category(with_ordinal(entries), "category", category).drop("category")
+    # Numbers come after the category filter, which can then reach the scan; the order stays.
+    fit = with_ordinal(filters.keep_category(entries, "category", category)).drop("category")
     fit = filters.deny_titles(fit, "title", deny_list)
     fit = filters.exclude_lowest_ids(fit, "url", lowest, among=fit.select("title", "url").distinct())
     fit = filters.exclude_values(fit, "url", excluded_urls)
@@ -76,13 +91,13 @@ def clean_entries(
         filters.has_any(*REF_COLUMNS).alias("has_refs"),
         "template_image_url", "fb_image_url",
     )
-    return {
+    return Tables({
         "main": main,
         "refs": filters.drop_empty(rows.select("id", *REF_COLUMNS), REF_COLUMNS),
         "textual": filters.drop_empty(rows.select("id", *TEXT_COLUMNS), TEXT_COLUMNS),
         "edges": edges,
         "sibling_groups": groups,
-    }
+    })
 
 
 def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, list_rows: int = LIST_ROWS) -> Tables:
@@ -120,14 +135,12 @@ def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, lis
     kept = joins.cascade({n: tables[n] for n in ("refs", "textual")}, dropped)
     edges = cut(joins.drop_links(tables["edges"], dropped))
     groups = cut(relations.without_equal_groups(relations.drop_members(tables["sibling_groups"], dropped)))
-    related = cut(relations.relations_table(edges, groups, list_rows=list_rows))
-    unlisted = relations.unlisted_siblings(groups)
     main = main.join(seen, "id").withColumn(
         "search_keywords", lists.append_label(F.col("search_keywords"), F.col("best_guess_label"))
     )
-    in_relation = joins.union_ids(related, unlisted)
+    in_relation = relations.related_ids(edges, groups)
     main = joins.add_flag(main.drop("best_guess_label", "has_relations"), in_relation, "has_relations")
-    labels = inverted.label_rows(
+    labels = lambda: inverted.label_rows(
         seen,
         F.transform(
             F.arrays_zip("image_recogn_labels", "image_recogn_scores"),
@@ -136,15 +149,16 @@ def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, lis
             ),
         ),
     )
-    return {
+    return Tables({
         "main": main,
         **kept,
         "edges": edges,
-        "relations": related,
         "sibling_groups": groups,
-        "labels": inverted.inverted_lists(labels, list_rows=list_rows)
+        "relations": lambda: relations.relations_table(edges, list_rows=list_rows),
+        "first_siblings": lambda: relations.first_siblings(groups, fixed.LIST_EDGES),
+        "labels": lambda: inverted.inverted_lists(labels(), list_rows=list_rows)
         .withColumnsRenamed({"id": "memes", "score": "scores"}),
-    }
+    })
 
 
 def join_entities(tables: Tables, entities: DataFrame) -> Tables:
@@ -174,15 +188,14 @@ def join_entities(tables: Tables, entities: DataFrame) -> Tables:
             "search_keywords": text.drop_words(text.keyword_set(merged)),
         }
     )
-    return {
-        **tables,
-        "main": every.select(
+    return tables.with_tables(
+        main=every.select(
             "id", "title", "url", "description", "added", "updated", "year", "has_relations", "has_other_texts",
             "has_refs", "has_DBpedia", "status", *fixed.SAFE_SEARCH_COLUMNS, "template_image_url", "fb_image_url",
             *schemas.MAIN_LIST_COLUMNS,
         ),
-        "DBpedia": linked,
-    }
+        DBpedia=linked,
+    )
 
 
 def add_people(tables: Tables, log: DataFrame, list_rows: int = LIST_ROWS) -> Tables:
@@ -204,18 +217,17 @@ def add_people(tables: Tables, log: DataFrame, list_rows: int = LIST_ROWS) -> Ta
     every = people.reconcile_dates(every, ("added", "_added"), ("updated", "_updated"), "year")
     named = people.blank_lowest_names(every, {"author": "author", "updater": "author"})
     final = cut(named.select(*schemas.MAIN_TEXT_COLUMNS, *schemas.MAIN_LIST_COLUMNS))
-    return {
-        **tables,
-        "main": final,
-        "authors": people.person_rollup(final, "author", "views", list_rows=list_rows),
-        "updaters": people.person_rollup(final, "updater", "views", list_rows=list_rows),
-    }
+    return tables.with_tables(
+        main=final,
+        authors=lambda: people.person_rollup(final, "author", "views", list_rows=list_rows),
+        updaters=lambda: people.person_rollup(final, "updater", "views", list_rows=list_rows),
+    )
 
 
 def build_graph(tables: Tables) -> Tables:
     """Nodes and edges of the property graph."""
     similar = tables["main"].select("id", "similar_images").filter(F.col("similar_images").isNotNull())
-    nodes, edges = graph.entry_graph(tables["main"], tables["relations"], similar)
+    nodes, edges = graph.entry_graph(tables["main"], tables["relations"], tables["first_siblings"], similar)
     return {"nodes": nodes, "edges": edges}
 
 

@@ -277,11 +277,11 @@ def keyword_lists(spark, folder):
 
 @query
 def token_counts(spark, folder):
-    """The 100 most frequent words, and total and distinct counts."""
+    """Every word with its number of occurrences, and total and distinct counts."""
     documents = table(spark, folder, "documents")
     # One row per word: small next to the texts, and read twice below.
     counts = cut(inverted.tag_counts(inverted.word_rows(documents, F.col("text"), "tag")))
-    top = counts.orderBy(F.desc("n"), "tag").limit(100).select(F.lit("word").alias("kind"), "tag", "n")
+    every = counts.select(F.lit("word").alias("kind"), "tag", "n")
     none = F.lit(None).cast("string").alias("tag")
     totals = inverted.tag_totals(counts).select(
         F.inline(
@@ -291,7 +291,7 @@ def token_counts(spark, folder):
             )
         )
     )
-    return top.unionByName(totals)
+    return every.unionByName(totals)
 
 
 # --- lists, labels ----------------------------------------------------------------
@@ -323,13 +323,9 @@ def inverted_index(spark, folder):
 
 @query
 def label_universe(spark, folder):
-    """Every label once, with its first ten entries by score."""
-    rows = _word_counts(spark, folder)
-    best = groups.first_n(rows, ["label"], lists.score_order(F.col("score"), F.col("id")), 10)
-    items = F.sort_array(F.collect_list(F.struct("position", "id")))
-    return best.groupBy("label").agg(items.alias("_i")).select(
-        "label", F.array_join(F.col("_i")["id"], " ").alias("best_ids")
-    )
+    """Every label once."""
+    documents = table(spark, folder, "documents")
+    return inverted.label_universe(inverted.word_rows(documents, F.col("text"), "label"))
 
 
 @query
@@ -373,7 +369,7 @@ def struct_fields(spark, folder):
     found = F.transform(
         F.split("text", "\n"),
         lambda line, i: F.struct(
-            F.nullif(F.substring(line, 1, 20), F.lit("")).alias("label"), F.length(line).alias("size"), i.alias("place")
+            F.nullif(line, F.lit("")).alias("label"), F.length(line).alias("size"), i.alias("place")
         ),
     )
     found = F.when(F.col("lang") != "es", found)
@@ -381,8 +377,8 @@ def struct_fields(spark, folder):
         "doc_id",
         F.md5(F.encode(F.array_join(lists.field_list(found, "label", "string"), "|", "-"), "utf-8")).alias("labels"),
         F.array_join(lists.first_items(lists.field_list(found, "size", "int"), 5), "|").alias("sizes"),
-        lists.first_struct_field(found, "label").alias("first_label"),
-        F.size(lists.pluck(found, "label")).cast("bigint").alias("n_plucked"),
+        F.md5(F.encode(lists.first_struct_field(found, "label"), "utf-8")).alias("first_label"),
+        F.md5(F.encode(F.array_join(lists.pluck(found, "label"), "|"), "utf-8")).alias("plucked"),
     )
 
 
@@ -420,7 +416,7 @@ def _anchors() -> Column:
     return F.transform(
         hrefs,
         lambda h, i: F.struct(
-            F.substring(h, 2, 1000).alias("key"),
+            h.substr(F.lit(2), F.length(h)).alias("key"),
             F.concat(
                 F.when(i % 2 == 0, F.lit("https://")).otherwise(F.lit("see ")),
                 F.when(i % 3 == 0, host).otherwise(F.lit("www.example.net")),
@@ -472,7 +468,7 @@ def page_meta(spark, folder):
     )
     status = F.when(F.col("url").endswith(".html"), 404).otherwise(200)
     html = F.when(F.col("url").contains("utm_source"), F.col("html")).otherwise(full)
-    return found.select("page_id", status.alias("code"), *pages.page_record(status, html))
+    return found.select("page_id", status.alias("code"), pages.page_record(status, html).alias("_r")).select("page_id", "code", "_r.*")
 
 
 # --- joins, people -----------------------------------------------------------------
@@ -567,8 +563,7 @@ def _part_siblings(spark, folder) -> DataFrame:
     """Edges: the lowest part of an order lists the order's other parts."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
     lead = lines.groupBy("l_orderkey").agg(F.min("l_partkey").alias("lead"))
-    hot = groups.hot_keys(lines, "l_orderkey")
-    pairs = groups.spread_join(lines, lead, "l_orderkey", "inner", hot)
+    pairs = groups.spread_join(lines, lead, "l_orderkey")
     edges = (
         pairs.filter("lead <> l_partkey")
         .select(F.col("lead").cast("string").alias("src"), F.col("l_partkey").cast("string").alias("dst"))
@@ -579,16 +574,15 @@ def _part_siblings(spark, folder) -> DataFrame:
 
 @query
 def sibling_closure(spark, folder):
-    """Completed siblings: the five lowest of every part, after unknown and dropped parts are gone."""
+    """Completed siblings, the first ones as the graph takes them, after unknown and dropped parts are gone."""
     edges = cut(_part_siblings(spark, folder))
-    hot = groups.hot_keys(edges, "src")
     parts = table(spark, folder, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_type")
     known = relations.known_edges(edges, parts)
     dropped = parts.filter(F.col("p_type") == "SMALL").select("id")
     kept = cut(joins.drop_links(known, dropped))
     members = relations.sibling_groups(relations.of_kind(kept, relations.SIBLING))
-    members = cut(relations.without_equal_groups(members, hot))
-    first = relations.first_siblings(members, fixed.LIST_EDGES, hot)
+    members = cut(relations.without_equal_groups(members))
+    first = relations.first_siblings(members, fixed.LIST_EDGES)
     return first.groupBy("id").agg(
         F.array_join(F.sort_array(F.collect_list("sibling")), " ").alias("siblings")
     )
@@ -596,14 +590,9 @@ def sibling_closure(spark, folder):
 
 @query
 def sibling_groups(spark, folder):
-    """The whole completion as distinct groups: number and sum of the members of every group a part is in."""
+    """The whole completion: every member of every distinct group."""
     edges = cut(_part_siblings(spark, folder))
-    members = cut(relations.without_equal_groups(relations.sibling_groups(edges.select("src", "dst"))))
-    return (
-        members.groupBy("group_id")
-        .agg(F.count("*").alias("n_members"), F.sum(F.col("member").cast("bigint")).alias("member_sum"))
-        .select("group_id", "n_members", "member_sum")
-    )
+    return relations.without_equal_groups(relations.sibling_groups(edges.select("src", "dst")))
 
 
 @query
@@ -611,21 +600,20 @@ def sibling_sets(spark, folder):
     """Distinct part sets of orders, and how many brands their parts have."""
     lines = table(spark, folder, "lineitem")
     members = lines.select(F.col("l_orderkey").alias("group_id"), F.col("l_partkey").alias("member")).distinct()
-    hot = groups.hot_keys(lines.select(F.col("l_orderkey").alias("group_id")), "group_id")
-    busy = groups.hot_keys(lines.select(F.col("l_partkey").alias("member")), "member")
-    sets = cut(relations.without_equal_groups(members, hot))
+    sets = cut(relations.without_equal_groups(members))
     brands = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("parent"))
     sizes = relations.distinct_sets(sets).select("group_id", "n_members")
-    return relations.set_parents(sets, brands, busy).join(sizes, "group_id").select(
+    return relations.set_parents(sets, brands).join(sizes, "group_id").select(
         "group_id", "n_members", "n_parents", "parent"
     )
 
 
 @query
 def list_order(spark, folder):
-    """The fifty lowest pages by the list of their link's segments."""
-    found = table(spark, folder, "pages").select("page_id", F.split("url", "/").alias("path"))
-    return found.orderBy("path", "page_id").limit(50).select("page_id", F.array_join("path", " ").alias("path"))
+    """Place of every page in the order of the list of its link's segments."""
+    found = table(spark, folder, "pages").select("page_id", F.split("url", "/").alias("path"), F.lit(0).alias("_all"))
+    placed = groups.rank_in_groups(found, ["_all"], [F.col("path"), F.col("page_id")])
+    return placed.select("page_id", "position", F.array_join("path", " ").alias("path"))
 
 
 def _places(spark, folder) -> tuple[DataFrame, DataFrame]:
@@ -661,7 +649,7 @@ def parent_child(spark, folder):
     _, edges = _places(spark, folder)
     found = relations.relations_table(edges, list_rows=50)
     return found.select(
-        "id", "part", "parent", F.array_join("children", " ").alias("children"), F.size("siblings").alias("n_siblings")
+        "id", "part", "parent", F.array_join("children", " ").alias("children")
     )
 
 
@@ -842,9 +830,9 @@ def append_and_create(spark, folder):
     records = orders.select(F.col("o_orderkey").alias("id"), "o_custkey", "o_orderdate")
     write.append_new(records.filter(F.col("o_orderstatus") == "F"), stored, "id")
     write.append_new(records, stored, "id")
-    typed = "author_id string, tot_views int"
+    typed = "author_id string, tot_views bigint"
     write.create_table(people.person_totals(orders.withColumn("one", F.lit(1)), "o_custkey", "one"), created, typed, author_id="o_custkey")
-    write.create_table(orders.limit(0).select("o_custkey", F.lit(0).alias("tot_views")), created, typed, author_id="o_custkey")
+    write.create_table(orders.limit(0).select("o_custkey", F.lit(0).cast("bigint").alias("tot_views")), created, typed, author_id="o_custkey")
     rows = spark.read.parquet(stored).agg(
         F.lit("records").alias("name"), F.count("*").alias("n"), F.sum("o_custkey").cast("bigint").alias("total")
     )

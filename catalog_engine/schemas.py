@@ -61,8 +61,8 @@ ENTRY_TABLE = """
     medical string, racy string, spoof string, violence string, template_image_url string,
     fb_image_url string, alt_img_urls string
 """
-AUTHOR_TABLE = "author_id string, tot_views int"
-UPDATER_TABLE = "updater_id string, tot_views int"
+AUTHOR_TABLE = "author_id string, tot_views bigint"
+UPDATER_TABLE = "updater_id string, tot_views bigint"
 
 # Length limits of the relational model.
 ENTRY_LIMITS = {

@@ -103,7 +103,8 @@ def typed_list(column: Column, numbers: bool = False) -> Column:
     """List column of a delimited file: printed form, or the JSON form ``write_delimited`` gives."""
     if numbers:
         return F.coalesce(F.from_json(column, "array<double>"), printed_numbers(column))
-    return F.when(column.startswith('["'), F.from_json(column, "array<string>")).otherwise(printed_list(column))
+    # A printed list is only JSON if its items are in double quotes or missing; else the parser gives NULL.
+    return F.coalesce(F.from_json(column, "array<string>", {"allowSingleQuotes": "false"}), printed_list(column))
 
 
 def read_main(spark: SparkSession, path: str, has_lists: bool, sep: str = ";") -> DataFrame:

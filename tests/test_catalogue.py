@@ -169,13 +169,13 @@ def test_recognition_and_cascade(built):
 
 
 def test_relations(built):
-    found = {r["id"]: (r["parent"], r["children"], r["siblings"]) for r in built["last"]["relations"].collect()}
-    assert found == {
-        "alpha": ("root", None, ["beta", "delta", "gamma"]),
-        "beta": ("root", None, ["alpha"]),
-        "gamma": (None, None, ["alpha", "delta"]),
-        "delta": (None, None, ["alpha", "gamma"]),
-        "root": (None, ["alpha", "beta"], None),
+    found = {r["id"]: (r["parent"], r["children"]) for r in built["last"]["relations"].collect()}
+    assert found == {"alpha": ("root", None), "beta": ("root", None), "root": (None, ["alpha", "beta"])}
+    siblings = {}
+    for r in built["last"]["first_siblings"].orderBy("id", "position").collect():
+        siblings.setdefault(r["id"], []).append(r["sibling"])
+    assert siblings == {
+        "alpha": ["beta", "delta", "gamma"], "beta": ["alpha"], "gamma": ["alpha", "delta"], "delta": ["alpha", "gamma"],
     }
 
 

@@ -213,7 +213,7 @@ def test_pages(spark):
         '<p>Updated <abbr title="2013-02-06T10:00:00">later</abbr> by <a class="q" href="/users/bob">Bob</a></p></div>'
     )
     df = spark.createDataFrame([(1, 200, html), (2, 404, None), (3, 200, "<p>Added</p>")], "i int, code int, html string")
-    rows = df.select("i", *pages.page_record(F.col("code"), F.col("html"))).orderBy("i").collect()
+    rows = df.select("i", pages.page_record(F.col("code"), F.col("html")).alias("r")).select("i", "r.*").orderBy("i").collect()
     assert [tuple(r) for r in rows] == [
         (1, 136011, "ann", "bob", "2012-01-05", "2013-02-06"), (2, 0, "", "", "", ""), (3, None, None, None, None, None),
     ]

@@ -60,9 +60,15 @@ def test_spread_join_is_the_plain_join(spark, how):
     many = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 90).cast("string")).alias("k"), "id")
     many = many.unionByName(spark.createDataFrame([(None, 1)], "k string, id bigint"))
     few = spark.createDataFrame([("hot", "h"), ("hot", "i"), ("7", "s"), ("none", "n")], "k string, v string")
-    assert groups.hot_keys(many, "k")[0] == "hot"
-    found = groups.spread_join(many, few, "k", how)
+    found = groups.spread_join(many, few, "k", how, key_rows=100)
     assert rows(found) == rows(many.join(few, "k", how))
+    assert rows(groups.spread_join(many, few, "k", how)) == rows(found)
+
+
+def test_every_hot_key_is_spread_by_its_count(spark):
+    many = spark.range(150 * 70).select((F.col("id") % 150).alias("k"), "id").unionByName(spark.range(999).select(F.lit(-1).cast("bigint").alias("k"), "id"))
+    shares = {r["k"]: r["_shares"] for r in groups.key_shares(many, "k", 20).collect()}
+    assert shares == {**{k: 4 for k in range(150)}, -1: 50}
 
 
 @pytest.mark.parametrize("list_rows", [7, 100_000])
@@ -163,21 +169,19 @@ CASES = [
     {"a": ["b", "c"], "c": ["d"]},
     {"a": ["b", "c"], "b": ["a", "c"], "c": ["a", "b"], "x": ["y"], "y": ["x"]},
     {"hub": [f"m{i:03}" for i in range(60)], "m001": ["m002", "z"], "z": ["hub"]},
+    {"hub": [f"m{i:04}" for i in range(1_100)]},
 ]
 
 
 @pytest.mark.parametrize("listed", CASES)
-@pytest.mark.parametrize("limit", [20, 10_000])
-def test_sibling_completion(spark, listed, limit):
+def test_sibling_completion(spark, listed):
     found = relations.without_equal_groups(relations.sibling_groups(sibling_edges(spark, listed)))
     expected = completed(listed)
-    lists = {r["id"]: r["siblings"] for r in relations.sibling_lists(found, limit).collect()}
-    unlisted = relations.unlisted_siblings(found, limit)
     more = {}
-    for r in relations.siblings_of(found, unlisted).collect():
+    everyone = spark.createDataFrame([(k,) for k in expected], "id string")
+    for r in relations.siblings_of(found, everyone).collect():
         more.setdefault(r["id"], []).append(r["sibling"])
-    assert not set(lists) & set(more)
-    assert {**lists, **{k: sorted(v) for k, v in more.items()}} == expected
+    assert {k: sorted(v) for k, v in more.items()} == expected
     first = {}
     for r in relations.first_siblings(found, 5).orderBy("id", "position").collect():
         first.setdefault(r["id"], []).append(r["sibling"])
@@ -205,9 +209,10 @@ def test_relations_table(spark):
     edges = relations.known_edges(relations.relation_edges(entries), entries)
     found = rows(relations.relations_table(edges), "id")
     assert found == [
-        ("c1", 0, "p", None, ["c2"]), ("c2", 0, "p", None, ["c1"]), ("p", 0, None, ["c1", "c2"], None),
-        ("q", 0, None, ["c3"], None),
+        ("c1", 0, "p", None), ("c2", 0, "p", None), ("p", 0, None, ["c1", "c2"]), ("q", 0, None, ["c3"]),
     ]
+    siblings = relations.sibling_groups(relations.of_kind(edges, relations.SIBLING))
+    assert ids(relations.related_ids(edges, siblings)) == ["c1", "c2", "p", "q"]
     named = relations.of_kind(edges, "parent").select(F.col("src").alias("id"), F.col("dst").alias("parent"))
     children = relations.complete_children(edges)
     assert rows(relations.parent_agreement(children, named)) == [(1, 0)]

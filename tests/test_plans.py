@@ -63,13 +63,6 @@ def test_a_large_id_set_is_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_no_hot_key_leaves_the_plain_join(spark):
-    many, few = spark.range(1000).toDF("k"), spark.range(10).toDF("k")
-    assert "_share" not in plan(groups.spread_join(many, few, "k"))
-    hot = spark.range(1000).select(F.when(F.col("id") < 500, 0).otherwise(F.col("id")).alias("k"))
-    assert "_share" in plan(groups.spread_join(hot, few, "k"))
-
-
 def test_totals_combine_before_the_shuffle(spark):
     df = spark.range(100).select(F.lit("p").alias("person"), F.col("id").alias("views"))
     assert "partial_sum" in plan(people.person_totals(df, "person", "views"))
