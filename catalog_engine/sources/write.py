@@ -16,7 +16,14 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
     """Delimited text with a header line; a list is written as JSON, which the text cannot hold itself."""
     lists = {n: F.to_json(n) for n, t in df.dtypes if t.startswith(("array", "map", "struct"))}
     flat = df.withColumns(lists) if lists else df
-    flat.write.option("sep", sep).option("header", True).option("escape", '"').csv(path)
+    (
+        flat.write.option("sep", sep)
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_keyed(df: DataFrame, path: str, key: str = "id") -> None:
