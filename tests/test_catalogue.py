@@ -252,6 +252,12 @@ def test_relational(built):
 # --- sources and sinks ---
 
 
+def test_delimited_text_keeps_white_space(spark, tmp_path):
+    texts = {"a": " x ", "b": 'y;"z"\n', "c": None, "d": "\tw"}
+    write.write_delimited(spark.createDataFrame(list(texts.items()), "id string, t string"), str(tmp_path / "t"))
+    assert {r.id: r.t for r in read.read_delimited(spark, str(tmp_path / "t"), ["id", "t"]).collect()} == texts
+
+
 def test_main_table_survives_files(spark, built, tmp_path):
     main = built["last"]["main"]
     write.write_delimited(main, str(tmp_path / "main"))
