@@ -146,7 +146,12 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def packed(rows: DataFrame, n: int, most: int, name: str) -> DataFrame:
-    """Rows (id, vector) as blocks of at most ``most``: ``name``, ids and vectors as bytes."""
+    """Rows (id, vector) as blocks of at most ``most``: ``name``, ids and vectors as bytes.
+
+    Rows draw one of ``n`` numbers and are dealt by it, so there are about ``n``
+    blocks however many partitions the shuffle has. The number comes from the
+    row's place in its stored table: rows that repeat an id part ways.
+    """
 
     def blocks(batches):
         ids, vectors = [], []
@@ -166,7 +171,9 @@ def packed(rows: DataFrame, n: int, most: int, name: str) -> DataFrame:
                 some = slice(at, at + most)
                 yield pa.record_batch([pa.array([i[some].tobytes()], pa.binary()), pa.array([v[some].tobytes()], pa.binary())], ["ids", "vectors"])
 
-    made = rows.repartition(n, F.xxhash64("id")).mapInArrow(blocks, "ids binary, vectors binary")
+    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n))
+    dealt = rows.withColumn("number", number).repartition(n, "number")
+    made = dealt.mapInArrow(blocks, "ids binary, vectors binary")
     made = made.withColumn(name, F.monotonically_increasing_id())
     return made.withColumnsRenamed({"ids": f"{name}_ids", "vectors": f"{name}_vectors"})
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from catalog_engine.llm import neighbours
 from catalog_engine.llm.common import table
@@ -43,6 +44,17 @@ def test_probes_find_every_code_in_the_radius():
         assert index.within(index.codes[at]).tolist() == near.tolist()
 
 
+def test_blocks_do_not_follow_partitions(spark):
+    rows = spark.range(1_000).select("id", F.array(F.col("id").cast("double")).alias("vector"))
+    stored = neighbours.cut(rows.unionByName(rows.filter("id = 7").select(F.explode(F.array_repeat("id", 500)).alias("id"), "vector")).repartition(40))
+    for most in (2_000, 100):
+        made = neighbours.packed(stored, -(-1_500 // most), most, "block").collect()
+        ids = np.concatenate([np.frombuffer(r.block_ids, np.int64) for r in made])
+        assert sorted(ids.tolist()) == sorted([*range(1_000), *[7] * 500])
+        assert max(len(r.block_ids) // 8 for r in made) <= most and len(made) <= 2 * -(-1_500 // most)
+        assert len({r.block for r in made}) == len(made)
+
+
 def test_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, -0.5]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]),
