@@ -148,3 +148,44 @@ CATALOGUE_COMPARISONS: dict[str, str] = {
         UNION ALL SELECT 'memes_updater', count(DISTINCT updater), count(updater) FROM main WHERE updater NOT IN (FROM u)
     """,
 }
+
+_MAIN = CATALOGUE_COMPARISONS["catalogue_main"]
+CATALOGUE_COMPARISONS |= {
+    "job_main": _MAIN,
+    "job_split_main": _MAIN,
+    "job_tables": f"""{_CATALOGUE},
+        persons AS ({_PERSONS}),
+        written AS (
+            SELECT 'refs' AS name, id AS key FROM kept WHERE lang = 'en'
+            UNION ALL SELECT 'textual', id FROM kept
+            UNION ALL SELECT 'relations', id FROM (SELECT id FROM parents UNION SELECT parent FROM parents)
+            UNION ALL SELECT 'sibling_groups', group_id FROM (SELECT group_id, unnest(all_members) FROM sets)
+            UNION ALL SELECT 'DBpedia', id FROM j WHERE forms IS NOT NULL
+            UNION ALL SELECT unnest(['label', 'quality1']), part::VARCHAR
+                FROM (SELECT DISTINCT (row_number() OVER (ORDER BY id) - 1) // 10000 AS part FROM kept)
+            UNION ALL SELECT kind, person FROM persons),
+        named AS (SELECT CASE WHEN name IN ('label', 'quality1') THEN 'labels' ELSE name END AS name,
+                         CASE WHEN name IN ('label', 'quality1') THEN name ELSE key END AS key FROM written)
+        SELECT name, count(key) AS n, count(DISTINCT key) AS n_keys FROM named GROUP BY name
+        UNION ALL SELECT 'similar_img_urls', 0, 0
+    """,
+    "raw_vision_file": f"""
+        SELECT '{BASE}' || doc_id AS id, CASE WHEN toxic = 1 THEN 'VERY_LIKELY' ELSE 'UNLIKELY' END AS adult,
+               CASE WHEN quality = 0 THEN 'bad' END AS error, 'quality' || quality || ' label' AS labels,
+               'http://{fixed.OWN_IMAGE_HOST}/x http://a/' || doc_id AS links
+        FROM labels
+    """,
+    "raw_entry_file": f"""
+        SELECT '{BASE}' || doc_id AS url, CASE WHEN lang IN ('en', 'fr', 'de') THEN 'Meme' ELSE 'Person' END AS category,
+               CASE WHEN doc_id > 0 THEN '{BASE}' || (doc_id // 10) END AS parent,
+               CASE WHEN doc_id = {HUB} THEN {HUB_LIST} WHEN lang = 'en' THEN 1 END::INTEGER AS n_siblings, md5(text) AS about,
+               length(string_split(text, chr(10)))::INTEGER AS n_lines
+        FROM documents
+    """,
+    "raw_log_file": """
+        SELECT 'd' || c_custkey AS id, c_custkey::INTEGER AS row_no, 200 AS code, floor(c_acctbal)::INTEGER AS views,
+               c_name AS author, nullif(c_mktsegment, 'BUILDING') AS updater,
+               strftime(DATE '2010-01-01' + c_custkey::INTEGER, '%Y-%m-%d') AS added, NULL::VARCHAR AS updated, true AS whole
+        FROM customer
+    """,
+}

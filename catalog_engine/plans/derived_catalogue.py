@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog_engine import fixed_values as fixed, schemas
-from catalog_engine.plans import stages
+from catalog_engine.plans import job, stages
 from catalog_engine.plans.table_queries import query, table
+from catalog_engine.session import new_folder
+from catalog_engine.sources import read, write
 
 BASE = "https://site.example/entries/d"
 CATALOGUE_LANGUAGES = ["en", "fr", "de"]
@@ -141,10 +143,7 @@ def build(spark, folder) -> stages.Tables:
     return stages.add_people(linked(spark, folder), scrape_log(table(spark, folder, "customer")))
 
 
-@query
-def catalogue_main(spark, folder):
-    """The final main table."""
-    main = build(spark, folder)["main"]
+def main_columns(main: DataFrame) -> DataFrame:
     return main.select(
         "id",
         F.md5(F.encode("description", "utf-8")).alias("description"),
@@ -158,6 +157,12 @@ def catalogue_main(spark, folder):
     )
 
 
+@query
+def catalogue_main(spark, folder):
+    """The final main table."""
+    return main_columns(build(spark, folder)["main"])
+
+
 @query
 def catalogue_relations(spark, folder):
     """The final relations table."""
@@ -252,3 +257,102 @@ def catalogue_edges(spark, folder):
 def catalogue_constraints(spark, folder):
     """Violations in the final relational tables."""
     return stages.build_relational(build(spark, folder))["constraints"]
+
+
+# --- from raw files to written tables ----------------------------------------------------------
+
+
+def write_raw_files(spark, folder, raw: str) -> dict[str, str]:
+    """The raw catalogue in the layouts of its files; the path of each."""
+    paths = {name: f"{raw}/{name}" for name in ("entries", "vision", "entities", "log")}
+    write.write_array(raw_entries(table(spark, folder, "documents")), paths["entries"])
+    write.write_object(raw_vision(table(spark, folder, "labels")), paths["vision"])
+    write.write_object(raw_entities(table(spark, folder, "benchmark")), paths["entities"])
+    log = scrape_log(table(spark, folder, "customer"))
+    log = log.select(
+        F.lit(1).alias("row_no"), F.concat(F.lit(BASE), F.substring("id", 2, 20)).alias("url"), F.lit(200).alias("code"),
+        "views", "author", "updater", F.col("added").cast("string"), F.col("updated").cast("string"),
+    )
+    log.write.csv(paths["log"])
+    return paths
+
+
+def job_output(spark, folder) -> str:
+    """Where the whole job has written its tables."""
+    paths, output = write_raw_files(spark, folder, new_folder(spark, "raw")), new_folder(spark, "final")
+    job.run(spark, **paths, output=output)
+    return output
+
+
+@query
+def job_main(spark, folder):
+    """The main table as the whole job wrote it, read back with its lists."""
+    return main_columns(read.read_main(spark, f"{job_output(spark, folder)}/main_with_lists", has_lists=True))
+
+
+@query
+def job_split_main(spark, folder):
+    """The list-free main table and the list tables beside it as the whole job wrote them, read back and joined."""
+    output = job_output(spark, folder)
+    main = read.read_main(spark, f"{output}/main", has_lists=False)
+    seen = read.read_records(spark, f"{output}/image_recogn", "id string, image_recogn_labels array<string>", lines=True)
+    for name, column in job.BY_COLUMN.items():
+        main = main.join(read.read_column_keyed(spark, f"{output}/{name}", column, separator='], "'), "id", "left")
+    return main_columns(main.join(seen, "id", "left"))
+
+
+@query
+def job_tables(spark, folder):
+    """Rows and different keys of the other tables the whole job wrote."""
+    output = job_output(spark, folder)
+    counts = [
+        read.read_records(spark, f"{output}/{name}", f"`{key}` string", lines=True)
+        .agg(F.lit(name).alias("name"), F.count(key).alias("n"), F.count_distinct(key).alias("n_keys"))
+        for name, key in {**job.KEYED, "similar_img_urls": "id"}.items()
+    ]
+    every = counts[0]
+    for more in counts[1:]:
+        every = every.unionByName(more)
+    return every
+
+
+@query
+def raw_vision_file(spark, folder):
+    """Image recognition written as objects keyed by link, and read back in pieces."""
+    path = new_folder(spark, "vision")
+    write.write_object(raw_vision(table(spark, folder, "labels")), path)
+    back = read.read_keyed(spark, path, schemas.VISION_RECORD, separator=job.RECORD_SEPARATOR)
+    return back.select(
+        "id", F.col("safeSearchAnnotation.adult").alias("adult"), "error",
+        F.array_join("labelAnnotations.description", " ").alias("labels"),
+        F.array_join("webDetection.fullMatchingImages.url", " ").alias("links"),
+    )
+
+
+@query
+def raw_entry_file(spark, folder):
+    """Entries written as arrays of records, and read back."""
+    path = new_folder(spark, "entries")
+    write.write_array(raw_entries(table(spark, folder, "documents")), path)
+    back = read.read_records(spark, path, schemas.ENTRIES)
+    return back.select(
+        "url", "category", "parent", F.size("siblings").alias("n_siblings"),
+        F.md5(F.encode(F.col("content")["about"]["text"][0], "utf-8")).alias("about"),
+        F.size(F.col("content")["spread"]["text"]).alias("n_lines"),
+    )
+
+
+@query
+def raw_log_file(spark, folder):
+    """The scrape log written without a header, and read back typed."""
+    path = new_folder(spark, "log")
+    customers = table(spark, folder, "customer").withColumn("day", F.date_add(F.lit("2010-01-01").cast("date"), F.col("c_custkey").cast("int")))
+    customers.select(
+        "c_custkey", F.concat(F.lit(BASE), "c_custkey"), F.lit(200), F.floor("c_acctbal").cast("int"), "c_name",
+        F.nullif("c_mktsegment", F.lit("BUILDING")), F.col("day").cast("string"), F.lit(None).cast("string"),
+    ).write.csv(path)
+    back = read.read_scrape_log(spark, path)
+    return back.select(
+        "id", "row_no", "code", "views", "author", "updater", F.col("added").cast("string").alias("added"),
+        F.col("updated").cast("string").alias("updated"), F.col("_corrupt_record").isNull().alias("whole"),
+    )

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +48,25 @@ def shared_folder(spark: SparkSession) -> str:
     return current
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """An unused path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """An unused path under the shared folder, or under that of the current run."""
+    return f"{(_run_folder.get() or shared_folder(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def stored_for_a_run(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside is removed at the end, so results must be written by then."""
+    folder = new_folder(spark, "run")
+    before = _run_folder.set(folder)
+    try:
+        yield
+    finally:
+        _run_folder.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from catalog_engine import schemas
 from catalog_engine.operators.filters import drop_empty
 
+# Records of a file whose layout is one array or one object.
+FILE_RECORDS = 10_000
+
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
     """Delimited text with a header line; a list is written as JSON, which the text cannot hold itself."""
@@ -31,6 +34,39 @@ def write_keyed(df: DataFrame, path: str, key: str = "id") -> None:
     df.select(key, *[c for c in df.columns if c != key]).write.option("ignoreNullFields", False).json(path)
 
 
+def _write_bodies(df: DataFrame, record: Column, opening: str, closing: str, path: str, records: int) -> None:
+    """Files of one body each, with at most ``records`` records in source order."""
+    placed = df.select(record.alias("record"), F.monotonically_increasing_id().alias("at"))
+    body = F.sort_array(F.collect_list(F.struct("at", "record")))["record"]
+    files = placed.groupBy(F.floor(F.col("at") / records)).agg(F.array_join(body, ", ").alias("body"))
+    whole = files.select(F.concat(F.lit(opening), "body", F.lit(closing)).alias("value"))
+    whole.write.option("maxRecordsPerFile", 1).text(path)
+
+
+def write_array(df: DataFrame, path: str, records: int = FILE_RECORDS) -> None:
+    """Files that hold one JSON array of records each."""
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    _write_bodies(df, record, "[", "]", path, records)
+
+
+def write_object(df: DataFrame, path: str, key: str = "id", records: int = FILE_RECORDS) -> None:
+    """Files that hold one JSON object ``{key: record, ...}`` each; rows without a key cannot be held."""
+    fields = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != key])
+    _write_bodies(df.filter(F.col(key).isNotNull()), _member(F.col(key), fields), "{", "}", path, records)
+
+
+def write_column_object(df: DataFrame, path: str, column: str, key: str = "id", records: int = FILE_RECORDS) -> None:
+    """Files that hold one JSON object ``{column: {key: list, ...}}`` each; rows without a key cannot be held."""
+    held = df.filter(F.col(key).isNotNull())
+    _write_bodies(held, _member(F.col(key), F.col(column)), f'{{"{column}": {{', "}}", path, records)
+
+
+def _member(key: Column, value: Column) -> Column:
+    """``"key":value`` of an object."""
+    whole = F.to_json(F.create_map(key.cast("string"), value))
+    return F.substring(whole, F.lit(2), F.length(whole) - 2)
+
+
 def append_new(df: DataFrame, path: str, key: str) -> None:
     """Append the records whose key is not stored yet, so that a second run adds nothing."""
     try:

@@ -2,13 +2,14 @@
 
 import datetime
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from catalog_engine import schemas
+from catalog_engine import schemas, session
 from catalog_engine.operators import graph
-from catalog_engine.plans import stages
+from catalog_engine.plans import job, stages
 from catalog_engine.sources import read, write
 
 BASE = "https://site.example/entries/"
@@ -315,3 +316,33 @@ def test_log_keeps_broken_lines_visible(spark, tmp_path):
     found = {r["id"]: r for r in read.read_scrape_log(spark, str(tmp_path / "log.txt")).collect()}
     assert found["a"]["_corrupt_record"] is None and str(found["a"]["added"]) == "2012-01-01"
     assert found["b"]["_corrupt_record"] is not None and found["b"]["row_no"] is None
+
+
+def test_whole_job_leaves_only_its_tables(spark, folder, tmp_path):
+    def stored():
+        return sorted(p.name for p in Path(session.shared_folder(spark)).iterdir())
+
+    before = stored()
+    raw = {name: str(folder / f"{name}.json") for name in ("entries", "vision", "entities")}
+    job.run(spark, **raw, log=str(folder / "log.txt"), output=str(tmp_path / "final"))
+    assert stored() == before
+    written = {p.name for p in (tmp_path / "final").iterdir()}
+    assert written == {"main", "main_with_lists", "similar_img_urls", "image_recogn", *job.BY_COLUMN, *job.KEYED}
+    assert read.read_main(spark, str(tmp_path / "final/main_with_lists"), has_lists=True).count() == 6
+
+
+def test_files_of_one_body(spark, tmp_path):
+    rows = spark.createDataFrame([(f"k{i}", ['], "x', f"v{i}"] if i % 3 else None, i) for i in range(50)] + [(None, ["w"], 1)], "id string, u array<string>, n int")
+    write.write_array(rows, str(tmp_path / "a"), records=7)
+    write.write_object(rows, str(tmp_path / "o"), records=7)
+    write.write_column_object(rows.select("id", "u"), str(tmp_path / "c"), "u", records=7)
+    known = sorted(tuple(r) for r in rows.filter("id is not null").collect())
+    again = [tuple(r) for r in read.read_records(spark, str(tmp_path / "a"), "id string, u array<string>, n int").collect()]
+    assert sorted(again, key=str) == sorted([*known, (None, ["w"], 1)], key=str)
+    for separator in (None, '}, "k'):
+        assert sorted(tuple(r) for r in read.read_keyed(spark, str(tmp_path / "o"), "u array<string>, n int", separator=separator).collect()) == known
+    for separator in (None, '], "'):
+        back = read.read_column_keyed(spark, str(tmp_path / "c"), "u", separator=separator)
+        assert sorted(tuple(r) for r in back.collect()) == [r[:2] for r in known]
+    write.write_object(rows.limit(0), str(tmp_path / "none"))
+    assert read.read_keyed(spark, str(tmp_path / "none"), "u array<string>, n int").collect() == []
