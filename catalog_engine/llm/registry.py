@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from catalog_engine.llm import bpe, divergence, language, licenses, mixing, neighbours, recompress, sharding, simhash, toxicity
+from catalog_engine.llm import (
+    bpe, collocations, divergence, factorization, language, licenses, mixing, neighbours, recompress, sharding, simhash, source_audit, toxicity,
+)
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +19,12 @@ QUERIES = {
         neighbours.op8_nearest_neighbours,
         sharding.op9_reshard,
         recompress.op10_substring_dedup,
+        factorization.op11_factorization_quality,
+        source_audit.op12_source_audit,
+        collocations.op13_collocations,
     )
 }
-COMPARISONS = {"op2_license_scan": licenses.scan_sql(), "op7_mix_sources": mixing.MIX_SQL}
+COMPARISONS = {
+    "op2_license_scan": licenses.scan_sql(), "op7_mix_sources": mixing.MIX_SQL, "op12_source_audit": source_audit.AUDIT_SQL,
+    "op13_collocations": collocations.COLLOCATIONS_SQL,
+}
