@@ -108,12 +108,18 @@ def slice_matrix(row: dict) -> tuple[list[str], np.ndarray]:
 
 
 def cell(found: pa.Table) -> pa.Table:
-    """Partial divergences of a cell: every two groups of its slices, or of its one slice on the diagonal."""
+    """Partial divergences of a cell: every two groups of its slices, or of its one slice on the diagonal.
+
+    A block may have drawn no group; the cells of another block with it have one slice and no pairs.
+    """
     rows = found.to_pylist()
     rows.sort(key=lambda r: r["block"])
     (names, left), (others, right) = slice_matrix(rows[0]), slice_matrix(rows[-1])
+    if rows[0]["a"] == rows[0]["b"]:
+        i, j = np.triu_indices(len(names), 1)
+    else:
+        i, j = map(np.ravel, np.indices((len(names), len(others) if len(rows) == 2 else 0)))
     sums = cell_sums(left, right)
-    i, j = np.triu_indices(len(names), 1) if len(rows) == 1 else map(np.ravel, np.indices(sums.shape))
     return pa.table(
         {
             "lang": pa.array([rows[0]["lang"]] * len(i), pa.string()),
