@@ -10,6 +10,10 @@ Common words are found exactly in two passes. A word with a share of a language
 has that share in some piece of the table too, so a piece reports only the words
 above a quarter of the share, and no more than 4 / 3 of 1 / share words can pass
 the bound that their reports give. The second pass counts these.
+
+References of the large languages, of which there are few, go to all tasks. Any
+number of small ones can stand in a dirty column: their words are counted by a
+shuffle, their references stay in a table, and their documents are joined to it.
 """
 
 from __future__ import annotations
@@ -20,12 +24,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog_engine.llm.common import covered, offsets_of, pieces, raw_texts, table, window_starts
+from catalog_engine.session import cut
 
 COMMON_SHARE = 1 / 500
-# A language with less than this share of all words has no reference of its own.
+# A language with at least this share of all words has its reference sent to all tasks; there are 1 / share at most.
 LANGUAGE_SHARE = 1 / 1_000
 MIN_CHARS = 200
 MIN_WORDS = 60
@@ -111,67 +116,79 @@ class Reference:
     counts: np.ndarray
 
 
+@dataclass
+class References:
+    """Of the large languages by name, and of all others with a word as a table (lang, reference), if there are any."""
+
+    large: dict[str, Reference]
+    small: DataFrame | None
+
+
 def languages_of(batch: pa.RecordBatch) -> list:
     return batch.column("lang").to_pylist()
 
 
-def references(docs: DataFrame, share: float = COMMON_SHARE, language_share: float = LANGUAGE_SHARE) -> dict[str, Reference]:
-    """Reference of every language (non-null ``lang``) with at least ``language_share`` of the words, over all rows of ``docs``."""
+def columns_of(rows: list[tuple], types: tuple) -> list[pa.Array]:
+    return [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * len(types), types)]
+
+
+def counts_by_language(texts: list[bytes], langs: list, wanted) -> list[tuple]:
+    """(lang, counts of its characters' classes, its bare words, their counts, number of its words) for each language ``wanted``."""
+    made = Piece(texts)
+    bares = pd.Series([bare(w) for w in made.words], dtype=object)
+    out = []
+    for lang in {x for x in langs if x is not None and wanted(x)}:
+        rows = [i for i, x in enumerate(langs) if x == lang]
+        ids = np.concatenate([made.ids[made.starts[i] : made.starts[i + 1]] for i in rows])
+        counts = np.bincount(ids, minlength=len(made.words))
+        used = np.flatnonzero(counts)
+        words = pd.Series(counts[used], dtype=np.int64).groupby(bares[used].to_numpy(), sort=False).sum()
+        out.append((lang, sum(class_counts(texts[i]) for i in rows), words, len(ids)))
+    return out
+
+
+WORD_ROWS, WORD_TYPES = "lang string, what string, n bigint, of bigint", (pa.string(), pa.string(), pa.int64(), pa.int64())
+
+
+def references(docs: DataFrame, share: float = COMMON_SHARE, language_share: float = LANGUAGE_SHARE) -> References:
+    """Reference of every language (non-null ``lang``) that has a word, over all rows of ``docs``."""
 
     def reported(batches):
         for piece in pieces(batches):
-            texts, langs = raw_texts(piece), languages_of(piece)
-            made = Piece(texts)
             out = []
-            for lang in {x for x in langs if x is not None}:
-                rows = [i for i, x in enumerate(langs) if x == lang]
-                classes = sum(class_counts(texts[i]) for i in rows)
+            for lang, classes, words, n_words in counts_by_language(raw_texts(piece), languages_of(piece), lambda _: True):
                 out += [(lang, f"class {k}", int(n), 0) for k, n in enumerate(classes) if n]
-                ids = np.concatenate([made.ids[made.starts[i] : made.starts[i + 1]] for i in rows])
-                out.append((lang, "words", len(ids), 0))
-                often = pd.Series(0, index=[], dtype=np.int64)
-                if len(ids):
-                    counts = np.bincount(ids, minlength=len(made.words))
-                    used = np.flatnonzero(counts)
-                    often = pd.Series(counts[used]).groupby([bare(made.words[i]) for i in used]).sum()
-                out += [(lang, f"= {w}", int(n), len(ids)) for w, n in often.items() if w and n >= share / 4 * len(ids)]
-            yield pa.record_batch([pa.array(list(c)) if out else pa.array([], t) for c, t in zip(list(zip(*out)) or [()] * 4, TYPES)], NAMES)
-
-    TYPES, NAMES = (pa.string(), pa.string(), pa.int64(), pa.int64()), ["lang", "what", "n", "of"]
+                out.append((lang, "words", n_words, 0))
+                often = words[words >= share / 4 * n_words]
+                out += [(lang, f"= {w}", int(n), n_words) for w, n in often.items() if w]
+            yield pa.record_batch(columns_of(out, WORD_TYPES), ["lang", "what", "n", "of"])
+
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counted = rows.mapInArrow(reported, "lang string, what string, n bigint, of bigint")
-    sums = counted.groupBy("lang", "what").agg(F.sum("n").alias("n"), F.sum("of").alias("of"))
-    total = F.max(F.when(F.col("what") == "words", F.col("n"))).over(Window.partitionBy("lang"))
-    sums = sums.withColumn("total", total)
-    everywhere = F.sum(F.when(F.col("what") == "words", F.col("n"))).over(Window.partitionBy(F.lit(0)))
-    large = sums.filter("what not like '= %'").withColumn("all", everywhere).filter(
-        (F.col("total") >= F.col("all") * language_share) & (F.col("total") > 0)
-    )
-    # Bounded: languages by their share, words by the bound that their reports give.
-    known: dict[str, np.ndarray] = {}
-    for r in large.filter("what like 'class %'").collect():
-        known.setdefault(r["lang"], np.zeros(CLASSES, np.int64))[int(r["what"][6:])] = r["n"]
-    likely = sums.filter(F.col("what").startswith("= ") & (F.col("n") + (F.col("total") - F.col("of")) * (share / 4) >= F.col("total") * share))
+    sums = rows.mapInArrow(reported, WORD_ROWS).groupBy("lang", "what").agg(F.sum("n").alias("n"), F.sum("of").alias("of"))
+    # Stored, as all that follows reads it: the texts are read once for it.
+    sums = cut(sums)
+    totals = sums.filter("what = 'words' and n > 0").select("lang", F.col("n").alias("total"))
+    whole = totals.agg(F.sum("total").alias("all"), F.count("*").alias("n_langs")).first()
+    least = (whole["all"] or 0) * language_share
+    # Bounded: large languages by their share, words by the bound that their reports give.
+    known = {r["lang"]: np.zeros(CLASSES, np.int64) for r in totals.filter(F.col("total") >= least).collect()}
+    large = F.col("lang").isin(list(known))
+    for r in sums.filter(large & F.col("what").startswith("class ")).collect():
+        known[r["lang"]][int(r["what"][6:])] = r["n"]
+    likely = sums.filter(large & F.col("what").startswith("= ")).join(F.broadcast(totals.filter(large)), "lang")
+    likely = likely.filter(F.col("n") + (F.col("total") - F.col("of")) * (share / 4) >= F.col("total") * share)
     words: dict[str, list[str]] = {lang: [] for lang in known}
-    for r in likely.filter(F.col("lang").isin(list(known))).select("lang", "what").collect():
+    for r in likely.select("lang", "what").collect():
         words[r["lang"]].append(r["what"][2:])
     words = {lang: sorted(found) for lang, found in words.items()}
 
     def exact(batches):
         for piece in pieces(batches):
-            langs = languages_of(piece)
-            keep = [i for i, x in enumerate(langs) if x in words]
-            made = Piece([t if x in words else b"" for t, x in zip(raw_texts(piece), langs)])
-            bares = [bare(w) for w in made.words]
             out = []
-            for lang in {langs[i] for i in keep}:
-                place = {w: k for k, w in enumerate(words[lang])}
-                of = np.array([place.get(w, len(place)) for w in bares], np.int64)
-                ids = np.concatenate([made.ids[made.starts[i] : made.starts[i + 1]] for i in keep if langs[i] == lang])
-                counts = np.bincount(of[ids], minlength=len(place) + 1) if len(ids) else np.zeros(len(place) + 1, np.int64)
-                out += [(lang, k, int(n)) for k, n in enumerate(counts)]
-            columns = list(zip(*out)) or [()] * 3
-            yield pa.record_batch([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64())], ["lang", "place", "n"])
+            for lang, _, counted, n_words in counts_by_language(raw_texts(piece), languages_of(piece), words.__contains__):
+                counts = [int(counted.get(w, 0)) for w in words[lang]]
+                out += [(lang, k, n) for k, n in enumerate([*counts, n_words - sum(counts)])]
+            yield pa.record_batch(columns_of(out, (pa.string(), pa.int32(), pa.int64())), ["lang", "place", "n"])
 
     counts = {lang: np.zeros(len(found) + 1, np.int64) for lang, found in words.items()}
     for r in rows.mapInArrow(exact, "lang string, place int, n bigint").groupBy("lang", "place").agg(F.sum("n").alias("n")).collect():
@@ -181,12 +198,38 @@ def references(docs: DataFrame, share: float = COMMON_SHARE, language_share: flo
         common = np.flatnonzero(counts[lang][:-1] >= share * counts[lang].sum())
         others = counts[lang].sum() - counts[lang][common].sum()
         out[lang] = Reference(classes, {words[lang][i]: k for k, i in enumerate(common)}, np.append(counts[lang][common], others))
-    return out
+    if whole["n_langs"] == len(known):
+        return References(out, None)
+
+    def every_word(batches):
+        for piece in pieces(batches):
+            found = counts_by_language(raw_texts(piece), languages_of(piece), lambda _: True)
+            out = [(lang, w, int(n)) for lang, _, counted, _ in found for w, n in counted.items() if w]
+            yield pa.record_batch(columns_of(out, (pa.string(), pa.string(), pa.int64())), ["lang", "word", "n"])
+
+    # A language has 1 / share common words at most, so its reference is one row.
+    few = rows.filter(~large & F.col("lang").isNotNull()).mapInArrow(every_word, "lang string, word string, n bigint")
+    common = few.groupBy("lang", "word").agg(F.sum("n").alias("n")).join(totals, "lang").filter(F.col("n") >= F.col("total") * share)
+    common = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("words"))
+    classes = sums.filter(~large & F.col("what").startswith("class ")).groupBy("lang").agg(F.collect_list(F.struct("what", "n")).alias("classes"))
+    small = totals.filter(~large).join(common, "lang", "left").join(classes, "lang", "left")
+    return References(out, cut(small.select("lang", F.struct("total", "words", "classes").alias("reference"))))
+
+
+def reference_of(row: dict) -> Reference:
+    """A row of the table of small references."""
+    classes = np.zeros(CLASSES, np.int64)
+    for item in row["classes"] or []:
+        classes[int(item["what"][6:])] = item["n"]
+    counts = [item["n"] for item in row["words"] or []]
+    return Reference(
+        classes, {item["word"]: k for k, item in enumerate(row["words"] or [])}, np.array([*counts, row["total"] - sum(counts)], np.int64)
+    )
 
 
 def judged(
     docs: DataFrame,
-    found: dict[str, Reference],
+    found: References,
     min_chars: int = MIN_CHARS,
     min_words: int = MIN_WORDS,
     most_class: float = MOST_CLASS_DISTANCE,
@@ -197,20 +240,28 @@ def judged(
     ``class_distance`` is null for fewer than ``min_chars`` characters in words,
     ``word_distance`` for fewer than ``min_words`` words: the text is too short
     to be judged by them, and not rejected by them. A row whose language is null
-    or has no reference is compared with the nearest one; without any reference
-    only the base rules hold. A null text has no words and fails the base rules.
-    Repeated rows come out alike; an empty table gives an empty result.
+    or has no word is compared with the nearest of the large languages; without
+    any only the base rules hold. A null text has no words and fails the base
+    rules. Repeated rows come out alike; an empty table gives an empty result.
     """
 
+    large = found.large
+
     def scored(batches):
-        names = sorted(found)
+        names = sorted(large)
         for piece in pieces(batches):
             texts, langs = raw_texts(piece), languages_of(piece)
+            known = dict(large)
+            if "reference" in piece.schema.names:
+                own = piece.column("reference")
+                for i, lang in enumerate(langs):
+                    if lang not in known and own[i].is_valid:
+                        known[lang] = reference_of(own[i].as_py())
             made = Piece(texts)
             bares = [bare(w) for w in made.words]
-            place = {
-                lang: np.array([ref.words.get(w, len(ref.words)) for w in bares], np.int64) for lang, ref in found.items()
-            }
+            # Words are placed for the languages that this piece compares with.
+            compared = set(langs) & set(known) if all(x in known for x in langs) else {*names, *(set(langs) & set(known))}
+            place = {lang: np.array([known[lang].words.get(w, len(known[lang].words)) for w in bares], np.int64) for lang in compared}
             repeated = made.repeated()
             rows = []
             for i, text in enumerate(texts):
@@ -219,8 +270,8 @@ def judged(
                 n_words, word_chars = len(ids), int(classes.sum() - classes[6])
                 lines = [line for line in text.split(b"\n") if line.strip()]
                 best = None
-                for lang in [langs[i]] if langs[i] in found else names:
-                    ref = found[lang]
+                for lang in [langs[i]] if langs[i] in known else names:
+                    ref = known[lang]
                     by_class = js_distance(classes, ref.classes) if word_chars >= min_chars else None
                     by_word = None
                     if n_words >= min_words:
@@ -244,11 +295,15 @@ def judged(
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
-    return rows.mapInArrow(
-        scored,
+    shape = (
         "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-        "base_failed boolean, kept boolean, class_distance double, word_distance double",
+        "base_failed boolean, kept boolean, class_distance double, word_distance double"
     )
+    if found.small is None:
+        return rows.mapInArrow(scored, shape)
+    few = F.coalesce(~F.col("lang").isin(list(large)), F.lit(False))
+    joined = rows.filter(few).join(found.small, "lang", "left")
+    return rows.filter(~few).mapInArrow(scored, shape).unionByName(joined.mapInArrow(scored, shape))
 
 
 def op1_quality_divergence(spark: SparkSession, folder: str) -> DataFrame:

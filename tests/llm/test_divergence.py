@@ -47,9 +47,9 @@ def test_references_count_all_rows(spark):
             classes += divergence.class_counts(r.text.encode())
         total = sum(words.values())
         common = {w for w, n in words.items() if w and n >= total / 500}
-        assert set(found[lang].words) == common
-        assert all(found[lang].counts[k] == words[w] for w, k in found[lang].words.items())
-        assert found[lang].counts.sum() == total and (found[lang].classes == classes).all()
+        assert set(found.large[lang].words) == common
+        assert all(found.large[lang].counts[k] == words[w] for w, k in found.large[lang].words.items())
+        assert found.large[lang].counts.sum() == total and (found.large[lang].classes == classes).all()
 
 
 def test_distance():
@@ -68,4 +68,42 @@ def test_rows(spark):
         assert sorted(r.doc_id or 0 for r in found) == sorted(d or 0 for d in texts)
         for r in found:
             assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == slow_base(texts[r.doc_id])
-            assert (r.word_distance is None) == (r.n_words < 60 or not divergence.references(some))
+            assert (r.word_distance is None) == (r.n_words < 60 or not divergence.references(some).large)
+
+
+def test_small_languages_are_judged_by_their_own_words(spark):
+    """Languages below the share stay out of the broadcast, and come out as they would with it."""
+    words = [f"w{i % 7}x{i % 3} ." for i in range(60)]
+    rows = [(i, " ".join(words) + f" own{i % 9} " * 12, f"l{i % 9}" if i % 11 else None) for i in range(90)]
+    rows += [(100, " ".join(f"q{i}" for i in range(80)), "l3"), (101, None, "l3"), (102, "  ", "empty"), (103, "x", "one"), (103, "x", "one")]
+    docs = spark.createDataFrame([(*r, "r") for r in rows], "doc_id long, text string, lang string, reference string")
+    every, none = divergence.references(docs, language_share=0.0), divergence.references(docs, language_share=2.0)
+    assert every.small is None and none.large == {} and {r.lang for r in none.small.collect()} == set(every.large)
+    some = divergence.references(docs, language_share=0.115)
+    assert 0 < len(some.large) < 9 and some.small.count() + len(some.large) == len(every.large)
+    judge = lambda refs: sorted(map(tuple, divergence.judged(docs.filter("lang <> 'empty'"), refs).collect()))
+    right = judge(every)
+    assert right == judge(some) == judge(none) and len(right) == sum(r[2] not in (None, "empty") for r in rows)
+    assert len(divergence.judged(docs, some).collect()) == len(rows)
+    for row in none.small.collect():
+        made, own = divergence.reference_of(row.reference.asDict(True)), every.large[row.lang]
+        assert (made.classes == own.classes).all() and made.words == own.words and (made.counts == own.counts).all()
+
+
+def test_texts_are_read_twice_for_the_references(spark, tmp_path):
+    """Once for the reports, once for the exact counts, whatever is collected from them."""
+    made = []
+    kept = divergence.pieces
+
+    def noted(batches, *args, **kwargs):
+        (tmp_path / f"pass{len(list(tmp_path.iterdir()))}").touch()
+        return kept(batches, *args, **kwargs)
+
+    docs = spark.createDataFrame([(1, "a b c " * 30, "en")], "doc_id long, text string, lang string").coalesce(1)
+    divergence.pieces = noted
+    try:
+        divergence.references(docs)
+    finally:
+        divergence.pieces = kept
+    made = list(tmp_path.iterdir())
+    assert len(made) == 2
