@@ -83,6 +83,19 @@ def mixed(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def lowest_hashes(rows: DataFrame, label: str, counts: dict[int, int], most: int) -> DataFrame:
+    """Rows of each class whose hash of the doc_id, as ``place``, is so low that about ``most`` of ``counts`` rows pass.
+
+    A bounded sample without any shuffle: the share of rows that pass falls as
+    the class grows. Where a class has no more than ``most`` rows, all pass.
+    """
+    passes = F.lit(False)
+    for value, n in counts.items():
+        highest = min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, most / max(n, 1))))
+        passes = passes | ((F.col(label) == value) & (F.col("place") <= F.lit(highest)))
+    return rows.withColumn("place", F.xxhash64("doc_id")).filter(passes)
+
+
 def same_edges(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.bit_xor(F.xxhash64("u", "v"))).first()
     return tuple(row)

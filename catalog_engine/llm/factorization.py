@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog_engine.llm.common import offsets_of, pieces, raw_texts, table
+from catalog_engine.llm.common import lowest_hashes, offsets_of, pieces, raw_texts, table
 
 # Labelled rows of each class that the machine is fitted on. A row has at most N_FEATURES values of 6 bytes, so the
 # sample is 300 MB where every text uses every bucket, and some 10 MB for texts of common length.
@@ -217,12 +217,7 @@ def fitted(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS
         return 0.0
     share = counts.get(1, 0) / sum(counts.values())
     # Twice the rows wanted pass the bound on the hash, whatever the number of labels; then they are ranked.
-    place = F.xxhash64("doc_id")
-    bound = F.lit(False)
-    for label, n in counts.items():
-        most = min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, 2 * per_class / n)))
-        bound = bound | ((F.col("quality") == label) & (place <= F.lit(most)))
-    candidates = known.filter(bound).withColumn("place", place)
+    candidates = lowest_hashes(known, "quality", counts, 2 * per_class)
     rows = readable(docs).join(F.broadcast(candidates), "doc_id").groupBy("doc_id", "quality", "place").agg(
         F.min(F.struct("text", "n_chars")).alias("row")
     )

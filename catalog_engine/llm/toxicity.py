@@ -19,10 +19,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from catalog_engine.llm.common import mixed, offsets_of, pieces, ranges, raw_texts, table
+from catalog_engine.llm.common import lowest_hashes, mixed, offsets_of, pieces, ranges, raw_texts, table
 
-# Labelled rows of each class that the network is fitted on.
+# Labelled rows of each class that the network is fitted on, and bytes of their texts. A fit holds the texts, four bytes a
+# word, and for each different word a few hundred bytes: some 200 MB for texts of 16 MB without a repeated word.
 SAMPLE_PER_CLASS = 1_000
+SAMPLE_BYTES = 8_000_000
 WINDOW_WORDS = 32
 STRIDE_WORDS = 16
 HIDDEN = 8
@@ -41,6 +43,9 @@ PRIOR_ROWS = 5
 # Words whose inputs a worker keeps, and windows scored together.
 KEPT_WORDS = 200_000
 WINDOWS_AT_ONCE = 4_096
+# Words whose n-grams are made at once, and windows of one run of words numbered at once.
+WORDS_AT_ONCE = 8_192
+WINDOWS_OF_A_RUN = 8_192
 LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -104,8 +109,11 @@ class Network:
     def inputs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Inputs of different words: vectors, number of the known word, buckets and how many each word has."""
         number = np.fromiter((self.known.get(w, 0) for w in words), np.int64, len(words))
-        buckets, counts = char_buckets(words)
-        sums = np.zeros((len(words), CHAR_SIZE), np.float32)
+        return self.vectors(number, *char_buckets(words))
+
+    def vectors(self, number: np.ndarray, buckets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same from what is known of the words."""
+        sums = np.zeros((len(number), CHAR_SIZE), np.float32)
         begins = offsets_of(counts)[:-1]
         some = counts > 0
         if some.any():
@@ -205,17 +213,28 @@ class Scorer:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.projected = {w: np.zeros((0, 3 * HIDDEN), np.float32) for w in ("f", "b")}
-
-    def numbers(self, lists: list[list[str]]) -> np.ndarray:
+        self.projected = {w: np.zeros((WORDS_AT_ONCE, 3 * HIDDEN), np.float32) for w in ("f", "b")}
+
+    def keep(self, begin: int, projected: dict[str, np.ndarray]) -> None:
+        """Store projected inputs of new words; the room for them doubles when it is full."""
+        for way, rows in projected.items():
+            room, end = self.projected[way], begin + len(rows)
+            if end > len(room):
+                larger = np.zeros((max(2 * len(room), end), 3 * HIDDEN), np.float32)
+                larger[:begin] = room[:begin]
+                self.projected[way] = room = larger
+            room[begin:end] = rows
+
+    def numbers(self, words: list[str]) -> np.ndarray:
         if len(self.index) > KEPT_WORDS:
             self.forget()
-        new = [w for w in dict.fromkeys(w for words in lists for w in words) if w not in self.index]
-        if new:
-            more = self.network.project(self.network.inputs(new)[0])
-            self.projected = {w: np.concatenate([self.projected[w], more[w]]) for w in more}
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-        return np.fromiter((self.index[w] for words in lists for w in words), np.int64, sum(map(len, lists)))
+        new = [w for w in dict.fromkeys(words) if w not in self.index]
+        for at in range(0, len(new), WORDS_AT_ONCE):
+            some = new[at : at + WORDS_AT_ONCE]
+            begin = len(self.index)
+            self.keep(begin, self.network.project(self.network.inputs(some)[0]))
+            self.index.update(zip(some, range(begin, begin + len(some))))
+        return np.fromiter((self.index[w] for w in words), np.int64, len(words))
 
     def window_logits(self, numbers: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         out = np.empty(len(starts), np.float32)
@@ -229,10 +248,16 @@ class Scorer:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         lists = [words_of(t) for t in texts]
+        words = [w for own in lists for w in own]
         starts, lengths, doc = window_table(np.fromiter(map(len, lists), np.int64, len(lists)))
         out = np.full(len(texts), self.network.prior)
+        logits = np.empty(len(starts), np.float32)
+        # Runs of windows, so that the words kept stay few in one very long text too.
+        for at in range(0, len(starts), WINDOWS_OF_A_RUN):
+            some = slice(at, at + WINDOWS_OF_A_RUN)
+            first, last = starts[some][0], (starts[some] + lengths[some]).max()
+            logits[some] = self.window_logits(self.numbers(words[first:last]), starts[some] - first, lengths[some])
         if len(starts):
-            logits = self.window_logits(self.numbers(lists), starts, lengths)
             begins = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
             out[doc[begins]] = sigmoid(np.maximum.reduceat(logits, begins).astype(np.float64))
         return out
@@ -247,15 +272,60 @@ def window_index(numbers: np.ndarray, starts: np.ndarray, lengths: np.ndarray, m
     return numbers[np.where(mask, starts + step, starts)], mask
 
 
-def log_odds(present: np.ndarray, positive: np.ndarray, size: int) -> np.ndarray:
-    """Of a feature being in a toxic row against a clean one; ``present`` are (row, feature) pairs, each once."""
-    toxic = positive[present[:, 0]]
-    a = np.bincount(present[toxic, 1], minlength=size)
-    b = np.bincount(present[~toxic, 1], minlength=size)
+def log_odds(toxic_rows: np.ndarray, clean_rows: np.ndarray, positive: np.ndarray) -> np.ndarray:
+    """Of features being in a toxic row against a clean one, from the number of rows of each class that have them."""
     # PRIOR_ROWS unseen rows, shared out like the classes, keep rare features near zero.
     n, m = positive.sum(), (~positive).sum()
     more_n, more_m = PRIOR_ROWS * n / (n + m), PRIOR_ROWS * m / (n + m)
-    return np.log((a + more_n) / (n + more_n)) - np.log((b + more_m) / (m + more_m))
+    return np.log((toxic_rows + more_n) / (n + more_n)) - np.log((clean_rows + more_m) / (m + more_m))
+
+
+@dataclass
+class Sample:
+    """Words of the texts as numbers, the different words, and the n-gram buckets of each."""
+
+    numbers: np.ndarray
+    sizes: np.ndarray
+    unique: list[str]
+    buckets: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Sample:
+        number_of: dict[str, int] = {}
+        rows = [np.fromiter((number_of.setdefault(w, len(number_of)) for w in words_of(t)), np.int32) for t in texts]
+        unique = list(number_of)
+        made = [char_buckets(unique[at : at + WORDS_AT_ONCE]) for at in range(0, len(unique), WORDS_AT_ONCE)]
+        buckets = np.concatenate([np.zeros(0, np.uint16), *(b.astype(np.uint16) for b, _ in made)])
+        counts = np.concatenate([np.zeros(0, np.int64), *(c for _, c in made)])
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        return cls(np.concatenate([np.zeros(0, np.int32), *rows]), sizes, unique, buckets, counts)
+
+    def buckets_of(self, words: np.ndarray) -> np.ndarray:
+        return self.buckets[ranges(offsets_of(self.counts)[words], self.counts[words])]
+
+    def rows_with(self, positive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many toxic and clean texts have each word, and each bucket; one text at a time."""
+        words, grams = np.zeros((2, len(self.unique)), np.int64), np.zeros((2, CHAR_BUCKETS), np.int64)
+        begins = offsets_of(self.counts)
+        ends = offsets_of(self.sizes)
+        for k, side in enumerate(np.where(positive, 0, 1)):
+            own = np.unique(self.numbers[ends[k] : ends[k + 1]])
+            words[side, own] += 1
+            grams[side, np.unique(self.buckets[ranges(begins[own], self.counts[own])])] += 1
+        return words, grams
+
+    def project(self, network: Network, number: np.ndarray) -> dict[str, np.ndarray]:
+        """Projected inputs of all different words; ``number`` tells the known ones."""
+        begins = offsets_of(self.counts)
+        out = {w: np.empty((len(self.unique), 3 * HIDDEN), np.float32) for w in ("f", "b")}
+        for at in range(0, len(self.unique), WORDS_AT_ONCE):
+            some = slice(at, at + WORDS_AT_ONCE)
+            counts = self.counts[some]
+            inputs = network.vectors(number[some], self.buckets[begins[at] : begins[at + len(counts)]], counts)[0]
+            for way, rows in network.project(inputs).items():
+                out[way][some] = rows
+        return out
 
 
 def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> Network | float:
@@ -263,26 +333,20 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> N
     positive = np.array(labels, bool)
     if positive.all() or not positive.any():
         return prior
-    lists = [words_of(t) for t in texts]
-    unique = list(dict.fromkeys(w for words in lists for w in words))
-    number_of = {w: i for i, w in enumerate(unique)}
-    numbers = np.fromiter((number_of[w] for words in lists for w in words), np.int64, sum(map(len, lists)))
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    rows = np.repeat(np.arange(len(lists)), sizes)
-    pairs = np.unique(np.stack([rows, numbers], axis=1), axis=0)
-    odds = log_odds(pairs, positive, len(unique))
-    often = np.bincount(pairs[:, 1], minlength=len(unique))
+    sample = Sample.of(texts)
+    numbers, sizes, unique = sample.numbers, sample.sizes, sample.unique
+    words, grams = sample.rows_with(positive)
+    odds = log_odds(*words, positive)
+    often = words.sum(axis=0)
     # Known words: those in two rows at least that tell the classes apart best.
     best = np.lexsort((np.arange(len(unique)), -np.abs(odds) * np.sqrt(often)))
     best = best[often[best] > 1][:KNOWN_WORDS]
     network = Network.fresh({unique[i]: k + 1 for k, i in enumerate(best)}, prior, seed)
+    known = np.zeros(len(unique), np.int64)
+    known[best] = np.arange(len(best)) + 1
     # The first number of every vector starts as the log odds of its word or n-gram.
     network.weights["words"][1:, 0] = odds[best] / 4
-    buckets, counts = char_buckets(unique)
-    per_word = offsets_of(counts)
-    grams = np.stack([np.repeat(pairs[:, 0], counts[pairs[:, 1]]), buckets[ranges(per_word[pairs[:, 1]], counts[pairs[:, 1]])]], axis=1)
-    grams = np.unique(grams, axis=0)
-    network.weights["chars"][:, 0] = log_odds(grams, positive, CHAR_BUCKETS) / 4
+    network.weights["chars"][:, 0] = log_odds(*grams, positive) / 4
 
     starts, lengths, doc = window_table(sizes)
     random = np.random.default_rng(seed)
@@ -291,7 +355,8 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> N
     turn = 0
     for epoch in range(EPOCHS):
         scorer = Scorer(network)
-        logits = scorer.window_logits(scorer.numbers([unique])[numbers], starts, lengths)
+        scorer.projected = sample.project(network, known)
+        logits = scorer.window_logits(numbers, starts, lengths)
         # Highest windows first in every document; toxic ones train on the first, clean ones on three.
         order = np.lexsort((-logits, doc))
         place = np.arange(len(order)) - np.repeat(begins, np.diff(np.append(begins, len(doc))))
@@ -304,7 +369,7 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> N
                 some = chosen[order[at : at + BATCH]]
                 index, mask = window_index(numbers, starts[some], lengths[some], True)
                 used, inverse = np.unique(index, return_inverse=True)
-                inputs = network.inputs([unique[i] for i in used])
+                inputs = network.vectors(known[used], sample.buckets_of(used), sample.counts[used])
                 importance = weight[order[at : at + BATCH]] / len(some)
                 found = network.gradients(*inputs, inverse.reshape(index.shape), mask, positive[doc[some]], importance)
                 turn += 1
@@ -318,29 +383,34 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> N
     return network
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Network | float:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> Network | float:
     """Train on the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) mark.
 
-    At most ``per_class`` documents of each class are read, chosen by a hash of
-    the doc_id. Rows without a label are left out, a null text is empty, and of
+    At most ``per_class`` documents of each class are read, those with the
+    lowest hash of the doc_id, as long as their texts have at most ``most_bytes``
+    together. Rows without a label are left out, a null text is empty, and of
     rows that repeat a doc_id the least text counts.
     """
     known = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    share = known.agg(F.avg("toxic")).first()[0] or 0.0
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    share = counts.get(1, 0) / max(1, sum(counts.values()))
     # Documents are chosen without their texts; the chosen ones are bounded, so they go to the texts and not the other way.
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    there = known.distinct().join(docs.select("doc_id"), "doc_id", "left_semi")
-    chosen = there.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_class)
-    sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "place").agg(F.min("text").alias("text"))
+    # A bound on the hash leaves twice the rows wanted of each class, whatever the number of labels, for the ranking.
+    candidates = lowest_hashes(known.distinct(), "toxic", counts, 2 * per_class)
+    found = docs.join(F.broadcast(candidates), "doc_id").groupBy("doc_id", "toxic", "place").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("toxic").orderBy("place", "doc_id")
+    found = found.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_class)
+    bytes_so_far = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    sample = found.withColumn("bytes", bytes_so_far).filter(F.col("bytes") <= most_bytes)
 
     def trained(batches):
         rows = [r for b in batches for r in b.to_pylist()]
-        rows.sort(key=lambda r: (r["place"], r["toxic"]))
+        rows.sort(key=lambda r: (r["nth"], r["toxic"]))
         model = train([r["text"] or "" for r in rows], [r["toxic"] for r in rows], share)
         yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     # The sample is bounded by its parameter, so one task may hold it, and the driver the fitted weights.
-    found = sample.select("place", "text", "toxic").coalesce(1).mapInArrow(trained, "model binary").first()
+    found = sample.select("nth", "text", "toxic").coalesce(1).mapInArrow(trained, "model binary").first()
     return pickle.loads(found[0]) if found else share
 
 
@@ -353,20 +423,22 @@ def score(docs: DataFrame, model: Network | float) -> DataFrame:
     """
     kept = docs.drop("score", "predicted")
     names = kept.columns
-    inner = kept.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col("text").cast("string").alias("text"))
+    at = names.index("text")
+    inner = kept.select(*[(F.col(f"`{c}`").cast("string") if i == at else F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(names)])
 
     def scored(batches):
         scorer = Scorer(model) if isinstance(model, Network) else None
-        for piece in pieces(batches):
-            texts = [t.decode() for t in raw_texts(piece)]
+        for piece in pieces(batches, f"c{at}"):
+            texts = [t.decode() for t in raw_texts(piece, f"c{at}")]
             found = scorer.scores(texts) if scorer else np.full(len(texts), model)
-            own = [piece.column(i) for i in range(len(names))]
-            yield pa.record_batch([*own, pa.array(found, pa.float64())], [*piece.schema.names[: len(names)], "score"])
+            yield pa.record_batch([*piece.columns, pa.array(found, pa.float64())], [*piece.schema.names, "score"])
 
-    shape = ", ".join(f"c{i} {t}" for i, (_, t) in enumerate(kept.dtypes))
+    shape = ", ".join(f"c{i} {t}" for i, (_, t) in enumerate(inner.dtypes))
     out = inner.mapInArrow(scored, f"{shape}, score double")
     return out.select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        *[F.col(f"c{i}").cast(kept.schema[c].dataType).alias(c) for i, c in enumerate(names)],
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
 
