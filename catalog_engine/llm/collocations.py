@@ -1,28 +1,44 @@
 """Phrase collocation mining by dynamic itemset counting.
 
-The documents are dealt to shards, which are scanned in a cycle. Words are
-counted from the first scan on. A longer phrase becomes active in the scan
-after both its subphrases (without its last word, without its first) have
-reached the threshold, so lengths are counted side by side, and a phrase is
-complete when its scans have seen every shard once. The scans end when no phrase
-can still be open: after five cycles at most, and earlier where thresholds are.
+The texts are numbered once, in pieces that hold one language's words, and the
+pieces are dealt to shards, which are scanned in a cycle. Words are counted from
+the first scan on. A longer phrase becomes active in the scan after both its
+subphrases (without its last word, without its first) have reached the
+threshold, so lengths are counted side by side, and a phrase is complete when
+its scans have seen every shard once. The scans end when no phrase can still be
+open, after five cycles at most.
 
 What a scan must know of the reached phrases is a table of fixed size: a phrase
-has a slot by its hash, and a slot holds the first scan in which longer phrases
-may start. Slots are set once, so every phrase has one starting scan, the same
-in all its scans, and is counted for exactly one cycle. Two phrases in one slot
-only make a few phrases start that need not; a phrase that is reported has
-counts of its own words, and its subphrases have theirs, as they are at least as
-frequent. So the table bounds what is broadcast, not what is found.
+has a slot by its name, and a slot holds the first scan in which longer phrases
+may start. Slots are set once, so every phrase has one starting scan, that of
+the latest slot among its subphrases, and is counted for exactly one cycle. Two
+phrases in one slot only make a few phrases start that need not; a phrase that
+is reported has counts of its own words, and its subphrases have theirs, as they
+are at least as frequent. So the table bounds what is broadcast, not what is
+found.
+
+While they are counted, phrases go by names of 127 bits made from their words'
+128-bit hashes; those reported get their words back from the texts. With 1e12
+different phrases, the chance that any two have one name is below 1e-14.
+
+Each scan's counts are stored once. A phrase that reaches the threshold in one
+cycle has its share of it, threshold / shards, in some scan, so only phrases that
+are so frequent in one of the last scans are summed over them. After two cycles
+all words and pairs are complete, and the pieces are cut down to the words in
+frequent pairs: no other word can be in a frequent phrase that is still open.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from catalog_engine.llm.common import mixed, pieces, raw_texts, table
@@ -32,85 +48,272 @@ THRESHOLD = 100
 LONGEST = 5
 MOST_PHRASES = 2_000
 SHARDS = 4
-# Entries of the table of reached phrases, one byte each, sent to every task of a scan.
+# Entries of the table of reached phrases, one byte each; compressed, it goes to every task of a scan.
 SLOTS = 1 << 24
+# Texts are numbered together up to so many bytes, and split into words by fewer.
 PIECE_BYTES = 4_000_000
+SPLIT_BYTES = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # What ends a piece becomes a full stop, which then is in no word; a tab becomes a space.
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 CLEAN = bytes(ord(".") if c in ENDS else 32 if c == 9 else ord(chr(c).lower()) if chr(c) in UPPER else c for c in range(256))
+# Phrases, of three numbers each, that are sent to all tasks to join them with the counts.
+BROADCAST_ROWS = 500_000
 BITMAP_BITS = 32_768  # of one row of Spark's bitmap functions
-DELTA = "lang string, phrase string, size int, since int, slot bigint, n bigint"
+PIECE = "lang string, shard int, piece bigint, words binary, ids binary, n_words bigint"
+PIECE_COLUMNS = ["lang", "shard", "piece", "words", "ids"]
+# Pieces are numbered by task, with so many numbers for each.
+TASK_PIECES = 1 << 12
+# Name of a phrase in two numbers; mark is 256 times its size and its first scan; at is its first place found: one bit
+# for pieces that are cut down, then the piece, and 31 bits for the word.
+DELTA = "a bigint, b bigint, mark int, n bigint, at bigint"
+CUT_DOWN = 1 << 62
+
+
+class Numbering:
+    """Words of texts of one language as numbers; number 0 is the end of a phrase's piece of text."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {b".": 0}
+        self.parts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, text: bytes) -> None:
+        tokens = (text + b".").translate(CLEAN).replace(b".", b" . ").split()
+        numbers = self.numbers
+        self.parts.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in tokens), np.int32, len(tokens)))
+        self.size += len(text)
+
+
+def piece_row(lang: str, shard: int, piece: int, words: list[bytes], ids: np.ndarray) -> tuple:
+    return lang, shard, piece, b" ".join(words), ids.astype(np.int32).tobytes(), int(np.count_nonzero(ids))
+
+
+def piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], [*PIECE_COLUMNS, "n_words"])
+
+
+def numbered(docs: DataFrame, shards: int) -> DataFrame:
+    """Pieces of the texts of one language each, dealt to the shards in turn."""
+
+    def made(batches) -> Iterator[pa.RecordBatch]:
+        open_pieces: dict[str, Numbering] = {}
+        task, n_made = TaskContext.get().partitionId(), 0
+
+        def closed(lang: str) -> pa.RecordBatch:
+            nonlocal n_made
+            x = open_pieces.pop(lang)
+            if n_made == TASK_PIECES:
+                raise ValueError(f"more than {TASK_PIECES} pieces in a task: read the table in smaller splits")
+            n_made += 1
+            turn = task + n_made
+            return piece_batch([piece_row(lang, turn % shards, task * TASK_PIECES + n_made - 1, list(x.numbers), np.concatenate(x.parts))])
+
+        for piece in pieces(batches, most=SPLIT_BYTES):
+            groups: dict[str, list[bytes]] = {}
+            for text, lang in zip(raw_texts(piece), piece.column("lang").to_pylist()):
+                groups.setdefault(lang, []).append(text)
+            for lang, texts in groups.items():
+                open_pieces.setdefault(lang, Numbering()).add(b".".join(texts))
+            whole = sum(x.size for x in open_pieces.values())
+            for lang in list(open_pieces):
+                if open_pieces[lang].size >= PIECE_BYTES or whole >= 2 * PIECE_BYTES:
+                    yield closed(lang)
+        for lang in list(open_pieces):
+            yield closed(lang)
 
+    return docs.select("lang", "text").mapInArrow(made, PIECE)
 
-def piece_counts(lang: str, texts: list[bytes], slots: np.ndarray, scan: int, shards: int, longest: int):
-    """(size, phrases, since, slot, n) of the phrases of these texts that are active in this scan."""
-    tokens = b".".join(texts).translate(CLEAN).replace(b".", b" . ").split()
-    numbers: dict[bytes, int] = {b".": 0}
-    ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in tokens), np.int64, len(tokens))
-    words = pa.array(list(numbers), pa.binary()).cast(pa.string())
+
+def rows_of(batches) -> Iterator[tuple]:
+    """lang, shard, piece, words and their numbers of every piece, and what other columns there are."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            lang, shard, piece, words, ids, *more = (c[k].as_py() for c in batch.columns)
+            yield lang, shard, piece, words.split(b" "), np.frombuffer(ids, np.int32), *more
+
+
+def word_names(lang: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     seed = xxhash.xxh3_64_intdigest(lang.encode())
-    hashed = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in numbers), np.uint64, len(numbers))
-    size = np.uint64(len(slots))
-    places = (hashed % size).astype(np.int64)
-    if scan < shards:
-        n = np.bincount(ids, minlength=len(numbers))
-        yield 1, words.slice(1), np.zeros(len(n) - 1, np.int32), places[1:], n[1:]
-    opened = slots[places]
+    both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w, seed) for w in words]), np.uint64).reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
+
+
+def places(a: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Slots of names; the number that is stored is half of the first part, which then has a sign."""
+    return ((a >> np.uint64(1)) % np.uint64(len(slots))).astype(np.int64)
+
+
+class Level:
+    """Where the phrases of one size begin that start with the reached ones: names, numbers in the piece, first scans."""
+
+    def __init__(self, at, a, b, key, since):
+        self.at, self.a, self.b, self.key, self.since = at, a, b, key, since
+
+    def some(self, which: np.ndarray) -> Level:
+        return Level(self.at[which], self.a[which], self.b[which], self.key[which], self.since[which])
+
+    def reached(self, slots: np.ndarray) -> Level:
+        """Those whose slot is set. It may be older than the phrase if another set it; then the phrase's own start counts."""
+        opened = slots[places(self.a, slots)]
+        out = self.some(np.flatnonzero(opened))
+        out.since = np.maximum(opened[opened > 0], out.since)
+        return out
+
+    def unique(self, which: np.ndarray) -> tuple[Level, np.ndarray]:
+        """One of each phrase among ``which``, and how many there are."""
+        code, unique = pd.factorize(self.key[which])
+        example = np.zeros(len(unique), np.int64)
+        example[code[::-1]] = which[::-1]
+        return self.some(example), np.bincount(code, minlength=len(unique))
+
+
+def levels(lang: str, words: list[bytes], ids: np.ndarray, slots: np.ndarray, longest: int) -> Iterator[Level]:
+    """Phrases of one word, of two and so on, each with both parts reached before it."""
+    a, b = word_names(lang, words)
+    opened = slots[places(a, slots)]
     opened[0] = 0
-    # Where a reached phrase of the size before begins: its hash, its number in these texts, when it lets longer ones start.
     at = np.flatnonzero(opened[ids])
-    of, key, reached = hashed[ids[at]], ids[at], opened[ids[at]]
-    for length in range(2, longest + 1):
-        both = np.flatnonzero(at[1:] == at[:-1] + 1)
-        start = np.maximum(reached[both], reached[both + 1]).astype(np.int32)
-        at = at[both]
-        last = ids[at + length - 1]
-        of = mixed(of[both], hashed[last])
-        key = pd.factorize(key[both] * len(numbers) + last)[0]
-        place = (of % size).astype(np.int64)
-        active = np.flatnonzero(start + shards > scan)
-        code, unique = pd.factorize(key[active])
-        example = np.zeros(len(unique), np.int64)
-        example[code[::-1]] = active[::-1]
-        parts = [words.take(pa.array(ids[at[example] + k])) for k in range(length)]
-        yield length, pc.binary_join_element_wise(*parts, " "), start[example], place[example], np.bincount(code, minlength=len(unique))
-        reached = slots[place]
-        some = np.flatnonzero(reached)
-        at, of, key, reached = at[some], of[some], key[some], reached[some]
-        if not len(at):
-            return
+    own = ids[at]
+    level = Level(at, a[own], b[own], own.astype(np.int64), opened[own])
+    yield level
+    for size in range(2, longest + 1):
+        both = np.flatnonzero(level.at[1:] == level.at[:-1] + 1)
+        since = np.maximum(level.since[both], level.since[both + 1])
+        level = level.some(both)
+        last = ids[level.at + size - 1]
+        key = pd.factorize(level.key * len(words) + last)[0]
+        longer = Level(level.at, mixed(level.a, a[last]), mixed(b[last], level.b), key, since)
+        yield longer
+        level = longer.reached(slots)
+
+
+def piece_counts(lang: str, words: list[bytes], ids: np.ndarray, slots: np.ndarray, scan: int, shards: int, longest: int):
+    """(names in two parts, mark, n, first place) of the phrases of a piece that are active in this scan."""
+    if scan < shards:
+        a, b = word_names(lang, words)
+        n = np.bincount(ids, minlength=len(words))
+        yield a[1:] >> np.uint64(1), b[1:], np.full(len(words) - 1, 256), n[1:], np.zeros(len(words) - 1, np.int64)
+    for size, level in enumerate(levels(lang, words, ids, slots, longest), 1):
+        if size > 1:
+            found, n = level.unique(np.flatnonzero(level.since.astype(np.int32) + shards > scan))
+            yield found.a >> np.uint64(1), found.b, size * 256 + found.since.astype(np.int32), n, found.at
 
 
-def scan_counts(docs: DataFrame, shared, scan: int, shards: int, longest: int) -> DataFrame:
-    """Counts of the active phrases in one shard, combined by piece; ``shared`` is the broadcast table of slots."""
+def scan_counts(stored: DataFrame, shared, scan: int, shards: int, longest: int) -> DataFrame:
+    """Counts of the active phrases in one shard, combined by piece; ``shared`` is the broadcast table of slots, compressed."""
 
     def scanned(batches):
-        for piece in pieces(batches, most=PIECE_BYTES):
-            texts, langs = raw_texts(piece), piece.column("lang").to_pylist()
-            for lang in set(langs):
-                own = [t for t, x in zip(texts, langs) if x == lang]
-                for length, phrases, since, place, n in piece_counts(lang, own, shared.value, scan, shards, longest):
-                    k = len(phrases)
+        slots = np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        for lang, _, piece, words, ids in rows_of(batches):
+            place = (piece << 31) + (CUT_DOWN if scan >= 2 * shards else 0)
+            for a, b, mark, n, at in piece_counts(lang, words, ids, slots, scan, shards, longest):
+                columns = [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(mark, pa.int32()), pa.array(n, pa.int64()), pa.array(at + place)]
+                yield pa.record_batch(columns, ["a", "b", "mark", "n", "at"])
+
+    found = stored.filter(F.col("shard") == scan % shards).select(*PIECE_COLUMNS).mapInArrow(scanned, DELTA)
+    return found.groupBy("a", "b", "mark").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
+
+
+def in_frequent_pairs(stored: DataFrame, shared) -> DataFrame:
+    """The pieces cut down to the words in reached pairs, with what is between replaced by an end."""
+
+    def cut_down(batches):
+        slots = np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        for lang, shard, piece, words, ids in rows_of(batches):
+            _, pairs = levels(lang, words, ids, slots, 2)
+            first = pairs.reached(slots).at
+            kept = np.union1d(first, first + 1)
+            gap = np.flatnonzero(np.diff(kept) > 1) + 1
+            chosen, place = np.unique(np.append(np.insert(ids[kept], gap, 0), 0), return_inverse=True)
+            yield piece_batch([piece_row(lang, shard, piece, [words[i] for i in chosen], place)])
+
+    return stored.select(*PIECE_COLUMNS).mapInArrow(cut_down, PIECE)
+
+
+def name_of(names: tuple[np.ndarray, np.ndarray], ids: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the phrases of ``size`` words that begin at ``at``."""
+    a, b = (x[ids[at]] for x in names)
+    for k in range(1, size):
+        word = ids[at + k]
+        a, b = mixed(a, names[0][word]), mixed(names[1][word], b)
+    return a, b
+
+
+def cuts_of(often: DataFrame, stored: DataFrame) -> DataFrame:
+    """The words of the frequent phrases that were first found in these pieces, and for each cut the names of first part and rest.
+
+    Every phrase is looked up once, where it was found first, so a piece has as
+    many as it has places at most.
+    """
+    places = F.struct(*[F.col(c) for c in ("a", "b")], (F.col("at") % (1 << 31)).alias("word"), F.floor(F.col("mark") / 256).alias("size"))
+    wanted = often.filter("mark >= 512").withColumn("piece", F.shiftright("at", 31) % (1 << 31))
+    wanted = wanted.groupBy("piece").agg(F.collect_list(places).alias("places"))
+    if often.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+
+    def named(batches):
+        for lang, _, _, words, ids, places in rows_of(batches):
+            names, texts = word_names(lang, words), pa.array(words, pa.binary()).cast(pa.string())
+            table = np.array([(p["word"], p["size"], p["a"], p["b"]) for p in places], np.int64)
+            for size in np.unique(table[:, 1]).tolist():
+                at, _, a, b = table[table[:, 1] == size].T
+                phrase = pc.binary_join_element_wise(*[texts.take(pa.array(ids[at + k])) for k in range(size)], " ")
+                for k in range(1, size):
+                    first, rest = name_of(names, ids, at, k), name_of(names, ids, at + k, size - k)
+                    columns = (a, b, first[0] >> np.uint64(1), first[1], rest[0] >> np.uint64(1), rest[1])
                     yield pa.record_batch(
                         [
-                            pa.repeat(pa.scalar(lang, pa.string()), k),
-                            phrases.cast(pa.string()),
-                            pa.repeat(pa.scalar(length, pa.int32()), k),
-                            pa.array(since, pa.int32()),
-                            pa.array(place, pa.int64()),
-                            pa.array(n, pa.int64()),
+                            pa.repeat(pa.scalar(lang, pa.string()), len(phrase)),
+                            phrase.cast(pa.string()),
+                            pa.repeat(pa.scalar(size, pa.int32()), len(phrase)),
+                            pa.repeat(pa.scalar(k, pa.int32()), len(phrase)),
+                            *[pa.array(np.ascontiguousarray(x).view(np.int64)) for x in columns],
                         ],
-                        ["lang", "phrase", "size", "since", "slot", "n"],
+                        ["lang", "phrase", "size", "k", "a", "b", "a_first", "b_first", "a_rest", "b_rest"],
                     )
 
-    return docs.select("lang", "text").mapInArrow(scanned, DELTA)
+    shape = "lang string, phrase string, size int, k int, a bigint, b bigint, a_first bigint, b_first bigint, a_rest bigint, b_rest bigint"
+    return stored.join(wanted, "piece").select(*PIECE_COLUMNS, "places").mapInArrow(named, shape)
+
+
+def union_of(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def in_shards(rows: DataFrame) -> DataFrame:
+    """The rows, stored in a folder for each shard."""
+    path = new_folder(rows.sparkSession, "shards")
+    rows.write.partitionBy("shard").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def open_counts(deltas: list[DataFrame], threshold: int, scan: int, shards: int) -> DataFrame:
+    """Counts so far, and in the last scan, of the phrases still open in it that can have reached the threshold.
+
+    ``deltas`` are the counts of the last scans, a cycle at most. A phrase with
+    fewer than threshold / shards in each of them is below the threshold.
+    """
+    least = -(-threshold // shards)
+    likely = union_of([d.filter((F.col("n") >= least) & (F.col("mark") % 256 + shards > scan)).select("a", "b", "mark") for d in deltas])
+    last = len(deltas) - 1
+    counts = union_of([d.select("a", "b", "n", (F.col("n") * int(k == last)).alias("n_now"), "at") for k, d in enumerate(deltas)])
+    # Stored and counted first: few phrases go to the counts, and only very many are joined by a shuffle of all counts.
+    likely = cut(likely.distinct())
+    if likely.count() <= BROADCAST_ROWS:
+        likely = F.broadcast(likely)
+    found = counts.join(likely, ["a", "b"]).groupBy("a", "b", "mark")
+    return cut(found.agg(F.sum("n").alias("n"), F.sum("n_now").alias("n_now"), F.min("at").alias("at")))
 
 
 def newly_reached(counted: DataFrame, threshold: int, longest: int, slots: int) -> np.ndarray:
     """Slots of the phrases that reached the threshold in this scan, brought here as bitmaps: a bit for a slot at most."""
-    found = counted.filter((F.col("n") >= threshold) & (F.col("n_before") < threshold) & (F.col("size") < longest))
-    place = F.col("slot") + 1
+    found = counted.filter((F.col("n") >= threshold) & (F.col("n") - F.col("n_now") < threshold) & (F.col("mark") < longest * 256))
+    place = F.col("a") % slots + 1
     bits = found.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
@@ -123,48 +326,41 @@ def newly_reached(counted: DataFrame, threshold: int, longest: int, slots: int)
 
 def phrase_counts(
     docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS
-) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, size, n) of all phrases with ``threshold`` occurrences, and (lang, total) of all word occurrences.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a, b, n) of all phrases with ``threshold`` occurrences, the cuts of such phrases, and (lang, n) of all word occurrences.
 
-    ``docs`` has lang and text. ``shards`` is at most 50, so a scan's number fits a byte.
+    ``docs`` has lang and text. ``shards`` times ``longest`` is below 256, so a scan's number fits a byte.
     """
     spark = docs.sparkSession
     if not 0 < shards * longest < 256:
         raise ValueError("shards times longest must be below 256")
-    path = new_folder(spark, "shards")
     rows = docs.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"),
+        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    rows.write.partitionBy("shard").parquet(path)
-    stored = spark.read.schema(rows.schema).parquet(path)
+    stored = whole = in_shards(numbered(rows, shards))
+    totals = cut(stored.groupBy("lang").agg(F.sum("n_words").alias("n")))
     opening = np.zeros(slots, np.uint8)
-    current, complete, scan, until = None, [], 0, shards - 1
+    deltas: list[DataFrame] = []
+    complete, scan, until = [], 0, shards - 1
     while scan <= until:
-        shared = spark.sparkContext.broadcast(opening)
-        fresh = scan_counts(stored.filter(F.col("shard") == scan % shards), shared, scan, shards, longest)
-        fresh = fresh.withColumn("n_before", F.lit(0).cast("bigint"))
-        both = fresh if current is None else fresh.unionByName(current)
-        counted = both.groupBy("lang", "phrase").agg(
-            *[F.min(c).alias(c) for c in ("size", "since", "slot")], F.sum("n").alias("n"), F.sum("n_before").alias("n_before")
-        )
-        counted = cut(counted)
+        shared = spark.sparkContext.broadcast(zlib.compress(opening.tobytes(), 1))
+        if scan == 2 * shards:
+            stored = in_shards(in_frequent_pairs(stored, shared))
+        deltas = [*deltas, cut(scan_counts(stored, shared, scan, shards, longest))][-shards:]
+        shared.destroy()  # nothing reads the scan again: its counts are stored
+        counted = open_counts(deltas, threshold, scan, shards)
         found = newly_reached(counted, threshold, longest, slots)
-        shared.unpersist()
         if found.any():
             until = max(until, scan + shards)
             opening = np.where((opening == 0) & found, np.uint8(scan + 1), opening)
         # A phrase is complete after one cycle; only those of the threshold are kept then.
-        complete.append(counted.filter((F.col("since") + shards - 1 == scan) & (F.col("n") >= threshold)))
-        if scan == shards - 1:
-            totals = cut(counted.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("total")))
-        current = counted.filter(F.col("since") + shards - 1 > scan).withColumn("n_before", F.col("n"))
+        complete.append(counted.filter((F.col("mark") % 256 + shards - 1 == scan) & (F.col("n") >= threshold)))
         scan += 1
-    out = complete[0]
-    for part in complete[1:]:
-        out = out.unionByName(part)
-    return cut(out.select("lang", "phrase", "size", "n")), totals
+    often = cut(union_of(complete).select("a", "b", "mark", "n", "at"))
+    cuts = cuts_of(often.filter(F.col("at") < CUT_DOWN), whole)
+    if stored is not whole:
+        cuts = cuts.unionByName(cuts_of(often.filter(F.col("at") >= CUT_DOWN), stored))
+    return often, cuts, totals
 
 
 def collocations(
@@ -182,27 +378,23 @@ def collocations(
     byte order of the phrase. A language without frequent phrases has no row,
     and an empty table gives an empty result.
     """
-    often, totals = phrase_counts(docs, threshold, longest, shards, slots)
-    phrases = often.filter("size > 1").withColumnRenamed("n", "a")
+    often, cuts, totals = phrase_counts(docs, threshold, longest, shards, slots)
+
+    def count_of(name: str, suffix: str) -> DataFrame:
+        return often.select(*[F.col(c).alias(c + suffix) for c in ("a", "b")], F.col("n").alias(name))
 
+    cuts = cut(cuts)
+    cuts = cuts.join(count_of("f", ""), ["a", "b"])
     # A phrase inside a longer one is inside one that is longer by one word and at least as frequent as that.
-    longer = phrases.filter("size > 2").select(
-        "lang",
-        F.explode(F.array(F.expr("substring_index(phrase, ' ', size - 1)"), F.expr("substring_index(phrase, ' ', 1 - size)"))).alias("phrase"),
-        "a",
-    )
-    longer = longer.groupBy("lang", "phrase").agg(F.max("a").alias("a_longer"))
-    own = phrases.join(longer, ["lang", "phrase"], "left").filter("a_longer is null or a_longer < a").drop("a_longer")
-
-    cuts = own.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
-    cuts = cuts.withColumns({"first": F.expr("substring_index(phrase, ' ', k)"), "rest": F.expr("substring_index(phrase, ' ', k - size)")})
-    cuts = cuts.join(often.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l")), ["lang", "first"])
-    cuts = cuts.join(often.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r")), ["lang", "rest"])
-    cuts = cuts.join(totals.withColumnRenamed("total", "n"), "lang")
+    head = cuts.filter("size > 2 and k = size - 1").select(F.col("a_first").alias("a"), F.col("b_first").alias("b"), F.col("f").alias("f_longer"))
+    tail = cuts.filter("size > 2 and k = 1").select(F.col("a_rest").alias("a"), F.col("b_rest").alias("b"), F.col("f").alias("f_longer"))
+    longer = head.unionByName(tail).groupBy("a", "b").agg(F.max("f_longer").alias("f_longer"))
+    own = cuts.join(longer, ["a", "b"], "left").filter("f_longer is null or f_longer < f")
+    own = own.join(count_of("l", "_first"), ["a_first", "b_first"]).join(count_of("r", "_rest"), ["a_rest", "b_rest"]).join(totals, "lang")
     # Products of three counts pass 64 bits; decimals hold 38 digits and divide exactly.
-    score = F.expr("(1000BD * cast(a as decimal(17,0)) * cast(n as decimal(17,0))) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))")
-    best = cuts.withColumn("score", score).groupBy("lang", "phrase").agg(
-        F.first("a").alias("a"), F.first("n").alias("n"), F.min(F.struct("score", "k", "l", "r")).alias("best")
+    score = F.expr("(1000BD * cast(f as decimal(17,0)) * cast(n as decimal(17,0))) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))")
+    best = own.withColumn("score", score).groupBy("lang", "phrase", F.col("f").alias("a"), "n").agg(
+        F.min(F.struct("score", "k", "l", "r")).alias("best")
     )
     order = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "phrase")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)

@@ -66,19 +66,23 @@ def test_any_cycle_and_any_table(spark, shards, slots, threshold):
 def test_phrases_start_when_both_parts_are_reached(spark):
     """A phrase is counted in one cycle from the scan after its later part's, and in no other scan."""
     slots = np.zeros(1 << 16, np.uint8)
-    texts = [b"a b c. a b"] * 4
+    words = [b".", b"a", b"b", b"c"]
+    ids = np.array([1, 2, 3, 0, 1, 2, 0] * 4, np.int32)
+    a, b = collocations.word_names("x", words)
+    pair = lambda i, j: int(collocations.mixed(a[i : i + 1], a[j : j + 1])[0] >> np.uint64(1))
+    of = {pair(1, 2): "a b", pair(2, 3): "b c"}
 
     def counted(scan):
-        found = collocations.piece_counts("x", texts, slots, scan, 3, 5)
-        return {p: int(c) for size, ps, _, _, n in found if size > 1 for p, c in zip(ps.to_pylist(), n.tolist())}
+        found = collocations.piece_counts("x", words, ids, slots, scan, 3, 5)
+        return {of.get(int(x), int(x)): int(c) for first, _, mark, n, _ in found for x, m, c in zip(first, mark, n) if m >= 512}
 
-    place = {p: int(s) for _, ps, _, at, _ in collocations.piece_counts("x", texts, slots, 0, 3, 5) for p, s in zip(ps.to_pylist(), at)}
-    slots[place["a"]] = 1
+    place = collocations.places(a, slots)
+    slots[place[1]] = 1
     assert counted(1) == {}
-    slots[place["b"]] = 2
+    slots[place[2]] = 2
     assert counted(2) == counted(3) == counted(4) == {"a b": 8}
     assert counted(5) == {}
-    slots[place["c"]] = 4
+    slots[place[3]] = 4
     assert counted(4) == {"a b": 8, "b c": 4} and counted(5) == counted(6) == {"b c": 4}
 
 
