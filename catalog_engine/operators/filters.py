@@ -96,3 +96,8 @@ def single_value_columns(df: DataFrame) -> list[str]:
     kept = [n for n, t in df.dtypes if not t.startswith("map")]
     same = df.agg(*[F.min(n).eqNullSafe(F.max(n)).alias(n) for n in kept]).first()
     return [n for n in kept if same[n]]
+
+
+def exclude_positions(df: DataFrame, positions: Sequence[int], ordinal: str = "ordinal") -> DataFrame:
+    """Without the rows at these positions of the source."""
+    return df.filter(~F.col(ordinal).isin(list(positions)))

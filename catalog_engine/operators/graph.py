@@ -30,6 +30,9 @@ PARENT_TO = "IS_PARENT_TO"
 BELONGS_TO = "BELONGS_TO"
 CONTAINS = "CONTAINS"
 SIMILAR_TO = "IS_SIMILAR_TO_FOREIGN_LINK"
+# Node and edge tables as they are stored, and what their buckets are drawn by.
+NODES, NODE_KEYS = "kind string, key string, properties string", ["kind", "key"]
+EDGES, EDGE_KEYS = "src_kind string, src string, relation string, dst_kind string, dst string", ["src_kind", "src", "relation", "dst_kind", "dst"]
 
 
 def nodes(df: DataFrame, kind: str, key: str, **properties: Column | str) -> DataFrame:

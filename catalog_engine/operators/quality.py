@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from catalog_engine.operators.groups import spread_join
+from catalog_engine.session import cut
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -80,6 +83,43 @@ def too_long_rows(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return df.filter(over)
 
 
+def gate(
+    df: DataFrame,
+    key: str,
+    references: Sequence[tuple[str, DataFrame, str]] = (),
+    limits: Mapping[str, int] | None = None,
+    order: Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that keep every constraint, and the others with their ``reasons``.
+
+    A key must be there and be the only one: of repeated keys the first row by
+    ``order`` (all columns by default) passes. A value of a reference (column,
+    parent table, its key) must be missing or be a parent's. A value must not be
+    longer than its limit. Reasons are ``key missing``, ``key repeated``,
+    ``<column> unknown`` and ``<column> too long``, all that hold, sorted.
+    """
+    names = df.columns
+    # Only keys that occur twice are put in order; all other rows pass by the count.
+    placed = df.withColumn("_n", F.lit(1))
+    again = spread_join(placed, duplicate_keys(df.filter(F.col(key).isNotNull()), key).select(key), key, "left_semi")
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c) for c in (order or names)]))
+    again = again.withColumn("_nth", nth)
+    once = spread_join(placed, duplicate_keys(df.filter(F.col(key).isNotNull()), key).select(key), key, "left_anti")
+    rows = again.unionByName(once.withColumn("_nth", F.lit(1)))
+    reasons = [
+        F.when(F.col(key).isNull(), F.lit("key missing")),
+        F.when(F.col("_nth") > 1, F.lit("key repeated")),
+    ]
+    for i, (column, parent, parent_key) in enumerate(references):
+        known = parent.filter(F.col(parent_key).isNotNull()).select(F.col(parent_key).alias(column)).distinct().withColumn(f"_k{i}", F.lit(True))
+        rows = spread_join(rows, known, column, "left")
+        reasons.append(F.when(F.col(column).isNotNull() & F.col(f"_k{i}").isNull(), F.lit(f"{column} unknown")))
+    for column, limit in (limits or {}).items():
+        reasons.append(F.when(F.length(column) > limit, F.lit(f"{column} too long")))
+    judged = cut(rows.withColumn("reasons", F.sort_array(F.array_compact(F.array(*reasons)))).select(*names, "reasons"))
+    return judged.filter(F.size("reasons") == 0).drop("reasons"), judged.filter(F.size("reasons") > 0)
+
+
 def constraint_report(checks: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """Number of violations per check: distinct offending keys, and rows that carry them."""
     reports = [

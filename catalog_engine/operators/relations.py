@@ -9,10 +9,13 @@ without itself. That is the same set in linear size, for every entry.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog_engine.functions.text import short_id
 from catalog_engine.operators.groups import LIST_ROWS, first_n, sorted_lists, spread_join
+from catalog_engine.session import cut
 
 PARENT, CHILD, SIBLING = "parent", "child", "sibling"
 
@@ -70,14 +73,48 @@ def set_signatures(groups: DataFrame) -> DataFrame:
     )
 
 
-def distinct_sets(groups: DataFrame) -> DataFrame:
-    """Distinct member sets: the lowest group id that has the set, and its size."""
-    return (
-        set_signatures(groups)
-        .groupBy("n_members", "_sum", "_xor")
-        .agg(F.min("group_id").alias("group_id"), F.count("*").alias("n_groups"))
-        .select("group_id", "n_members", "n_groups")
-    )
+def same_sets(groups: DataFrame, signatures: Callable[[DataFrame], DataFrame] = set_signatures) -> DataFrame:
+    """Per group (group_id, n_members, first): the lowest group that has exactly the same members.
+
+    Signatures only propose: every member of a group is then looked up in the
+    lowest group of its signature, by a join on (group, member) that spreads a
+    large group. Groups that differ in spite of their signature go through again
+    among themselves.
+    """
+    signed = signatures(groups)
+    signs = [c for c in signed.columns if c != "group_id"]
+    signed, left = cut(signed), None
+    found = []
+    while True:
+        firsts = signed.groupBy(*signs).agg(F.min("group_id").alias("first"))
+        proposed = signed.join(firsts, signs).select("group_id", "n_members", "first")
+        found.append(proposed.filter("group_id = first"))
+        others = cut(proposed.filter("group_id <> first"))
+        members = groups.join(others, "group_id").select("group_id", "n_members", "member", "first")
+        of_first = groups.select(F.col("group_id").alias("first"), "member")
+        equal = (
+            members.join(of_first, ["first", "member"], "left_semi")
+            .groupBy("group_id", "n_members", "first")
+            .agg(F.count("*").alias("n_same"))
+            .filter("n_same = n_members")
+            .select("group_id", "n_members", "first")
+        )
+        equal = cut(equal)
+        found.append(equal)
+        left = others.count() - equal.count()
+        if not left:
+            break
+        signed = cut(signed.join(others.select("group_id"), "group_id", "left_semi").join(equal.select("group_id"), "group_id", "left_anti"))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def distinct_sets(groups: DataFrame, signatures: Callable[[DataFrame], DataFrame] = set_signatures) -> DataFrame:
+    """Distinct member sets: the lowest group id that has the set, its size, and how many groups have it."""
+    same = same_sets(groups, signatures)
+    return same.groupBy(F.col("first").alias("group_id")).agg(F.max("n_members").alias("n_members"), F.count("*").alias("n_groups"))
 
 
 def without_equal_groups(groups: DataFrame) -> DataFrame:
@@ -113,6 +150,19 @@ def siblings_of(groups: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame
     )
 
 
+def sibling_lists(groups: DataFrame, ids: DataFrame | None = None, key: str = "id", list_rows: int = LIST_ROWS) -> DataFrame:
+    """Whole sorted sibling lists (id, part, siblings) of the given entries, or of all.
+
+    A group's members are spread over tasks where it is large, an entry that is
+    in several groups has each sibling once, and a list with more than
+    ``list_rows`` siblings goes on in further parts. Lists of all entries grow
+    with the square of a group; ``groups`` holds the same in linear size.
+    """
+    wanted = groups.select(F.col("member").alias("id")) if ids is None else ids.select(F.col(key).alias("id"))
+    lists = sorted_lists(siblings_of(groups, wanted), ["id"], [F.col("sibling")], ["sibling"], list_rows)
+    return lists.withColumnRenamed("sibling", "siblings")
+
+
 def drop_members(groups: DataFrame, dropped: DataFrame) -> DataFrame:
     """Group rows without dropped entries. A group outlives the entry it was listed by: the others stay siblings."""
     gone = dropped.select(F.col("id").alias("member"))
@@ -163,15 +213,23 @@ def parent_agreement(children: DataFrame, parents: DataFrame) -> DataFrame:
     )
 
 
-def relations_table(edges: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
-    """Per entry its parent and sorted children; entries without either are left out.
+def relations_table(
+    edges: DataFrame, list_rows: int = LIST_ROWS, groups: DataFrame | None = None, sibling_ids: DataFrame | None = None
+) -> DataFrame:
+    """Per entry its parent and sorted children; entries without any are left out.
 
     ``part`` numbers the rows of an entry with more children than one list
-    holds; the parent is on its part 0. Siblings are the group rows.
+    holds; the parent is on its part 0. With ``groups`` the siblings of the
+    entries ``sibling_ids`` (by default all) stand beside them, sorted, whole and
+    continued by part in the same way.
     """
     parents = of_kind(edges, PARENT).groupBy("src").agg(F.min("dst").alias("parent"))
     children = sorted_lists(
         complete_children(edges), ["parent"], [F.col("child")], ["child"], list_rows
     ).select(F.col("parent").alias("id"), "part", F.col("child").alias("children"))
     first_rows = parents.select(F.col("src").alias("id"), F.lit(0).cast("bigint").alias("part"), "parent")
-    return first_rows.join(children, ["id", "part"], "full").select("id", "part", "parent", "children")
+    found = first_rows.join(children, ["id", "part"], "full").select("id", "part", "parent", "children")
+    if groups is None:
+        return found
+    beside = sibling_lists(groups, sibling_ids, list_rows=list_rows)
+    return found.join(beside, ["id", "part"], "full").select("id", "part", "parent", "children", "siblings")

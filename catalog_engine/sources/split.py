@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
+from catalog_engine.operators.groups import rank_in_groups
 from catalog_engine.session import cut
 
 CUT_OFF = "cut off or outside of any record"
@@ -161,3 +162,16 @@ def read_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame,
     """The same for files with one record a line; empty lines count and hold no record."""
     lines = numbered_lines(spark, path).withColumnRenamed("line", "nth").filter(F.trim("value") != "")
     return checked_records(lines, schema)
+
+
+def with_ordinal(rows: DataFrame, name: str = "ordinal") -> DataFrame:
+    """Rows (file, nth) with their position in the source: files in order of their paths, records in order, without gaps.
+
+    Files are counted first, and a file starts where those before it ended: one row a file.
+    """
+    sizes = rows.groupBy("file").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    # Rejected records leave gaps in nth, so a file's rows are ranked by ranges and not taken as they are numbered.
+    placed = rank_in_groups(rows, ["file"], [F.col("nth")])
+    return placed.join(starts, "file").withColumn(name, F.col("_start") + F.col("position") - 1).drop("_start", "position")

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from catalog_engine import schemas
 from catalog_engine.operators.filters import drop_empty
 
-# Records of a file whose layout is one array or one object.
+# Records, and characters of them, of a file whose layout is one array or one object. A file is put together in one row.
 FILE_RECORDS = 10_000
+FILE_CHARS = 32_000_000
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
@@ -34,31 +35,44 @@ def write_keyed(df: DataFrame, path: str, key: str = "id") -> None:
     df.select(key, *[c for c in df.columns if c != key]).write.option("ignoreNullFields", False).json(path)
 
 
-def _write_bodies(df: DataFrame, record: Column, opening: str, closing: str, path: str, records: int) -> None:
-    """Files of one body each, with at most ``records`` records in source order."""
+def write_bodies(
+    df: DataFrame, record: Column, opening: str, closing: str, path: str, records: int = FILE_RECORDS, chars: int = FILE_CHARS
+) -> None:
+    """Files of one body each, in source order, with at most ``records`` records.
+
+    A body is closed once it has ``chars`` characters, so it has those of one
+    record more at most, however long records are.
+    """
     placed = df.select(record.alias("record"), F.monotonically_increasing_id().alias("at"))
+    placed = placed.withColumn("chunk", F.floor(F.col("at") / records))
+    before = Window.partitionBy("chunk").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = F.coalesce(F.sum(F.length("record").cast("bigint") + 2).over(before), F.lit(0))
+    placed = placed.withColumn("nth", F.floor(so_far / chars))
     body = F.sort_array(F.collect_list(F.struct("at", "record")))["record"]
-    files = placed.groupBy(F.floor(F.col("at") / records)).agg(F.array_join(body, ", ").alias("body"))
+    # The shuffle by chunk serves both steps.
+    files = placed.groupBy("chunk", "nth").agg(F.array_join(body, ", ").alias("body"))
     whole = files.select(F.concat(F.lit(opening), "body", F.lit(closing)).alias("value"))
     whole.write.option("maxRecordsPerFile", 1).text(path)
 
 
-def write_array(df: DataFrame, path: str, records: int = FILE_RECORDS) -> None:
+def write_array(df: DataFrame, path: str, records: int = FILE_RECORDS, chars: int = FILE_CHARS) -> None:
     """Files that hold one JSON array of records each."""
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    _write_bodies(df, record, "[", "]", path, records)
+    write_bodies(df, record, "[", "]", path, records, chars)
 
 
-def write_object(df: DataFrame, path: str, key: str = "id", records: int = FILE_RECORDS) -> None:
+def write_object(df: DataFrame, path: str, key: str = "id", records: int = FILE_RECORDS, chars: int = FILE_CHARS) -> None:
     """Files that hold one JSON object ``{key: record, ...}`` each; rows without a key cannot be held."""
     fields = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != key])
-    _write_bodies(df.filter(F.col(key).isNotNull()), _member(F.col(key), fields), "{", "}", path, records)
+    write_bodies(df.filter(F.col(key).isNotNull()), _member(F.col(key), fields), "{", "}", path, records, chars)
 
 
-def write_column_object(df: DataFrame, path: str, column: str, key: str = "id", records: int = FILE_RECORDS) -> None:
+def write_column_object(
+    df: DataFrame, path: str, column: str, key: str = "id", records: int = FILE_RECORDS, chars: int = FILE_CHARS
+) -> None:
     """Files that hold one JSON object ``{column: {key: list, ...}}`` each; rows without a key cannot be held."""
     held = df.filter(F.col(key).isNotNull())
-    _write_bodies(held, _member(F.col(key), F.col(column)), f'{{"{column}": {{', "}}", path, records)
+    write_bodies(held, _member(F.col(key), F.col(column)), f'{{"{column}": {{', "}}", path, records, chars)
 
 
 def _member(key: Column, value: Column) -> Column:
