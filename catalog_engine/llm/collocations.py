@@ -17,9 +17,9 @@ is reported has counts of its own words, and its subphrases have theirs, as they
 are at least as frequent. So the table bounds what is broadcast, not what is
 found.
 
-While they are counted, phrases go by names of 127 bits made from their words'
+While they are counted, phrases go by names of 95 bits made from their words'
 128-bit hashes; those reported get their words back from the texts. With 1e12
-different phrases, the chance that any two have one name is below 1e-14.
+different phrases, the chance that any two have one name is below 2e-5.
 
 Each scan's counts are stored once. A phrase that reaches the threshold in one
 cycle has its share of it, threshold / shards, in some scan, so only phrases that
@@ -66,7 +66,7 @@ PIECE_COLUMNS = ["lang", "shard", "piece", "words", "ids"]
 TASK_PIECES = 1 << 12
 # Name of a phrase in two numbers; mark is 256 times its size and its first scan; at is its first place found: one bit
 # for pieces that are cut down, then the piece, and 31 bits for the word.
-DELTA = "a bigint, b bigint, mark int, n bigint, at bigint"
+DELTA = "a bigint, b int, mark int, n bigint, at bigint"
 CUT_DOWN = 1 << 62
 
 
@@ -140,6 +140,11 @@ def word_names(lang: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
 
 
+def stored_name(a: np.ndarray, b: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """A name as it is counted: 63 bits of the first part and 32 of the second."""
+    return pa.array((a >> np.uint64(1)).view(np.int64)), pa.array((b >> np.uint64(32)).astype(np.uint32).view(np.int32))
+
+
 def places(a: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Slots of names; the number that is stored is half of the first part, which then has a sign."""
     return ((a >> np.uint64(1)) % np.uint64(len(slots))).astype(np.int64)
@@ -194,11 +199,11 @@ def piece_counts(lang: str, words: list[bytes], ids: np.ndarray, slots: np.ndarr
     if scan < shards:
         a, b = word_names(lang, words)
         n = np.bincount(ids, minlength=len(words))
-        yield a[1:] >> np.uint64(1), b[1:], np.full(len(words) - 1, 256), n[1:], np.zeros(len(words) - 1, np.int64)
+        yield *stored_name(a[1:], b[1:]), np.full(len(words) - 1, 256), n[1:], np.zeros(len(words) - 1, np.int64)
     for size, level in enumerate(levels(lang, words, ids, slots, longest), 1):
         if size > 1:
             found, n = level.unique(np.flatnonzero(level.since.astype(np.int32) + shards > scan))
-            yield found.a >> np.uint64(1), found.b, size * 256 + found.since.astype(np.int32), n, found.at
+            yield *stored_name(found.a, found.b), size * 256 + found.since.astype(np.int32), n, found.at
 
 
 def scan_counts(stored: DataFrame, shared, scan: int, shards: int, longest: int) -> DataFrame:
@@ -209,7 +214,7 @@ def scan_counts(stored: DataFrame, shared, scan: int, shards: int, longest: int)
         for lang, _, piece, words, ids in rows_of(batches):
             place = (piece << 31) + (CUT_DOWN if scan >= 2 * shards else 0)
             for a, b, mark, n, at in piece_counts(lang, words, ids, slots, scan, shards, longest):
-                columns = [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(mark, pa.int32()), pa.array(n, pa.int64()), pa.array(at + place)]
+                columns = [a, b, pa.array(mark, pa.int32()), pa.array(n, pa.int64()), pa.array(at + place)]
                 yield pa.record_batch(columns, ["a", "b", "mark", "n", "at"])
 
     found = stored.filter(F.col("shard") == scan % shards).select(*PIECE_COLUMNS).mapInArrow(scanned, DELTA)
@@ -262,19 +267,19 @@ def cuts_of(often: DataFrame, stored: DataFrame) -> DataFrame:
                 phrase = pc.binary_join_element_wise(*[texts.take(pa.array(ids[at + k])) for k in range(size)], " ")
                 for k in range(1, size):
                     first, rest = name_of(names, ids, at, k), name_of(names, ids, at + k, size - k)
-                    columns = (a, b, first[0] >> np.uint64(1), first[1], rest[0] >> np.uint64(1), rest[1])
+                    own = pa.array(a), pa.array(b.astype(np.int32))
                     yield pa.record_batch(
                         [
                             pa.repeat(pa.scalar(lang, pa.string()), len(phrase)),
                             phrase.cast(pa.string()),
                             pa.repeat(pa.scalar(size, pa.int32()), len(phrase)),
                             pa.repeat(pa.scalar(k, pa.int32()), len(phrase)),
-                            *[pa.array(np.ascontiguousarray(x).view(np.int64)) for x in columns],
+                            *own, *stored_name(*first), *stored_name(*rest),
                         ],
                         ["lang", "phrase", "size", "k", "a", "b", "a_first", "b_first", "a_rest", "b_rest"],
                     )
 
-    shape = "lang string, phrase string, size int, k int, a bigint, b bigint, a_first bigint, b_first bigint, a_rest bigint, b_rest bigint"
+    shape = "lang string, phrase string, size int, k int, a bigint, b int, a_first bigint, b_first int, a_rest bigint, b_rest int"
     return stored.join(wanted, "piece").select(*PIECE_COLUMNS, "places").mapInArrow(named, shape)
 
 

@@ -74,7 +74,7 @@ def test_phrases_start_when_both_parts_are_reached(spark):
 
     def counted(scan):
         found = collocations.piece_counts("x", words, ids, slots, scan, 3, 5)
-        return {of.get(int(x), int(x)): int(c) for first, _, mark, n, _ in found for x, m, c in zip(first, mark, n) if m >= 512}
+        return {of.get(int(x), int(x)): int(c) for first, _, mark, n, _ in found for x, m, c in zip(first.to_pylist(), mark, n) if m >= 512}
 
     place = collocations.places(a, slots)
     slots[place[1]] = 1
