@@ -277,10 +277,10 @@ def write_raw_files(spark, folder, raw: str) -> dict[str, str]:
     return paths
 
 
-def job_output(spark, folder) -> str:
-    """Where the whole job has written its tables."""
+def job_output(spark, folder, model: bool = False) -> str:
+    """Where the whole job has written its tables, and with ``model`` the graph and the typed tables."""
     paths, output = write_raw_files(spark, folder, new_folder(spark, "raw")), new_folder(spark, "final")
-    job.run(spark, **paths, output=output)
+    job.run(spark, **paths, output=output, model=model)
     return output
 
 

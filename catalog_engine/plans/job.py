@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from catalog_engine import schemas
+from catalog_engine.operators import graph, quality
 from catalog_engine.plans import stages
 from catalog_engine.session import stored_for_a_run
-from catalog_engine.sources import read, write
+from catalog_engine.sources import read, store, write
 
 # Between two records of the recognition and entity files, which are keyed by links.
 RECORD_SEPARATOR = '}, "http'
@@ -21,14 +22,15 @@ BY_COLUMN = {"alternative_urls": "alt_img_urls", "search_keywords": "search_keyw
 
 
 def run(
-    spark: SparkSession, entries: str, vision: str, entities: str, log: str, output: str, lines: bool = False
+    spark: SparkSession, entries: str, vision: str, entities: str, log: str, output: str, lines: bool = False, model: bool = True
 ) -> None:
     """Build the catalogue of the raw files and write it below ``output``.
 
     ``main_with_lists`` and ``main`` are delimited text, the tables of ``BY_COLUMN``
     objects keyed by column and id, all others JSON lines. ``lines``: the entries
-    are one record per line instead of an array. What the build stores on its way
-    is removed at the end.
+    are one record per line instead of an array. With ``model`` the graph and the
+    typed tables are written too. What the build stores on its way is removed at
+    the end.
     """
     with stored_for_a_run(spark):
         tables = stages.build_catalogue(
@@ -38,6 +40,9 @@ def run(
             read.read_scrape_log(spark, log),
         )
         write_tables(tables, output)
+        if model:
+            write_graph(spark, tables, output)
+            write_model(tables, output)
 
 
 def write_tables(tables: stages.Tables, output: str) -> None:
@@ -51,3 +56,28 @@ def write_tables(tables: stages.Tables, output: str) -> None:
             write.write_keyed(part, f"{output}/{name}")
     for name, key in KEYED.items():
         write.write_keyed(tables[name], f"{output}/{name}", key)
+
+
+def write_graph(spark: SparkSession, tables: stages.Tables, output: str) -> dict[str, int]:
+    """Bring the stored graph below ``output`` to that of the tables; how many buckets of nodes and edges were written."""
+    built = stages.build_graph(tables)
+    kinds = {"nodes": (graph.NODES, graph.NODE_KEYS), "edges": (graph.EDGES, graph.EDGE_KEYS)}
+    return {
+        name: store.BucketStore(spark, f"{output}/graph/{name}", schema, keys).merge(built[name]) for name, (schema, keys) in kinds.items()
+    }
+
+
+def write_model(tables: stages.Tables, output: str) -> None:
+    """The typed tables, each behind its gate, in ``tables``, and the rows that broke a constraint, with why, in ``rejects``.
+
+    People come first, so an entry whose author or updater was rejected is rejected too.
+    """
+    model, passed = stages.build_relational(tables), {}
+    for name, key in (("authors", "author_id"), ("updaters", "updater_id")):
+        passed[name], rejects = quality.gate(model[name], key, limits={key: schemas.ENTRY_LIMITS["author"]})
+        rejects.write.parquet(f"{output}/rejects/{name}")
+    references = [("author", passed["authors"], "author_id"), ("updater", passed["updaters"], "updater_id")]
+    passed["memes"], rejects = quality.gate(model["memes"], "meme_id", references, schemas.ENTRY_LIMITS)
+    rejects.write.parquet(f"{output}/rejects/memes")
+    for name, rows in passed.items():
+        rows.write.parquet(f"{output}/tables/{name}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from catalog_engine import schemas
 from catalog_engine.operators import filters, graph, groups, quality, relations
-from catalog_engine.plans.derived_catalogue import raw_vision, seen
+from catalog_engine.plans.derived_catalogue import job_output, raw_vision, seen
 from catalog_engine.plans.table_queries import LIST_ROWS, _order_tables, _part_siblings, query, table
 from catalog_engine.session import cut, new_folder
 from catalog_engine.sources import split, store, write
@@ -159,3 +159,27 @@ def gated_orders(spark, folder):
         rows, "o_orderkey", [("o_custkey", solvent, "c_custkey")], {"o_orderpriority": LONGEST_PRIORITY}, ["o_orderpriority"]
     )
     return good.withColumn("reasons", F.lit("")).unionByName(bad.withColumn("reasons", F.array_join("reasons", "; ")))
+
+
+@query
+def job_model(spark, folder):
+    """The stored graph and the typed tables as the whole job wrote them, and every rejected entry with its reasons."""
+    output = job_output(spark, folder, model=True)
+
+    def typed(name: str, key: str) -> DataFrame:
+        good = spark.read.parquet(f"{output}/tables/{name}").withColumn("reasons", F.lit(""))
+        bad = spark.read.parquet(f"{output}/rejects/{name}").withColumn("reasons", F.array_join("reasons", "; "))
+        return good.unionByName(bad).select(F.lit(name).alias("kind"), F.col(key).alias("key"), "reasons")
+
+    nodes = store.BucketStore(spark, f"{output}/graph/nodes", graph.NODES, graph.NODE_KEYS).read()
+    edges = store.BucketStore(spark, f"{output}/graph/edges", graph.EDGES, graph.EDGE_KEYS).read()
+    return graph.union_all(
+        [
+            *[typed(name, key) for name, key in (("memes", "meme_id"), ("authors", "author_id"), ("updaters", "updater_id"))],
+            nodes.select(F.lit("node").alias("kind"), F.concat_ws(" ", "kind", "key").alias("key"), F.col("properties").alias("reasons")),
+            edges.select(
+                F.lit("edge").alias("kind"), F.concat_ws(" ", "src_kind", "src").alias("key"),
+                F.concat_ws(" ", "relation", "dst_kind", "dst").alias("reasons"),
+            ),
+        ]
+    ).withColumnRenamed("reasons", "detail")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from catalog_engine.operators import graph
 from catalog_engine.plans import stored_queries as q
-from catalog_engine.plans.catalogue_sql import _CATALOGUE, CATALOGUE_COMPARISONS
+from catalog_engine.plans.catalogue_sql import _CATALOGUE, _GRAPH, CATALOGUE_COMPARISONS
 from catalog_engine.plans.comparison_sql import _PART_SIBLINGS, COMPARISONS
 from catalog_engine.plans.table_queries import LIST_ROWS
 from catalog_engine.sources.split import MALFORMED
@@ -31,6 +31,16 @@ STORED_COMPARISONS: dict[str, str] = {
         FROM keys k LEFT JOIN parents p ON p.id = k.id
         LEFT JOIN children c ON c.id = k.id AND c.part = k.part LEFT JOIN beside b ON b.id = k.id AND b.part = k.part
     """,
+    "job_model": f"""{_CATALOGUE} {_GRAPH}
+        SELECT 'memes' AS kind, m.id AS key, array_to_string(list_sort(list_filter([
+                   CASE WHEN length(m.description) > 1000 THEN 'description too long' END,
+                   CASE WHEN length(k.title) > 255 THEN 'title too long' END], lambda x: x IS NOT NULL)), '; ') AS detail
+        FROM main m JOIN kept k ON k.id = m.id
+        UNION ALL SELECT DISTINCT 'authors', author, '' FROM main WHERE author IS NOT NULL
+        UNION ALL SELECT DISTINCT 'updaters', updater, '' FROM main WHERE updater IS NOT NULL
+        UNION ALL SELECT 'node', kind || ' ' || key, properties FROM nodes
+        UNION ALL SELECT 'edge', src_kind || ' ' || src, relation || ' ' || dst_kind || ' ' || dst FROM edges
+    """,
     "array_with_rejects": f"""
         SELECT doc_id, md5(text) AS digest, lang, NULL::VARCHAR AS reason FROM documents WHERE doc_id % 50 NOT IN (7, 8)
         UNION ALL
