@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog_engine import schemas, session
 from catalog_engine.operators import graph
+from catalog_engine.operators import quality
 from catalog_engine.plans import job, stages
 from catalog_engine.sources import read, write
 
@@ -327,7 +328,13 @@ def test_whole_job_leaves_only_its_tables(spark, folder, tmp_path):
     job.run(spark, **raw, log=str(folder / "log.txt"), output=str(tmp_path / "final"))
     assert stored() == before
     written = {p.name for p in (tmp_path / "final").iterdir()}
-    assert written == {"main", "main_with_lists", "similar_img_urls", "image_recogn", *job.BY_COLUMN, *job.KEYED}
+    assert written == {"main", "main_with_lists", "similar_img_urls", "image_recogn", *job.BY_COLUMN, *job.KEYED, "graph", "tables", "rejects"}
+    memes, rejects = (spark.read.parquet(str(tmp_path / f"final/{name}/memes")) for name in ("tables", "rejects"))
+    assert memes.count() + rejects.count() == 6
+    authors = spark.read.parquet(str(tmp_path / "final/tables/authors"))
+    assert quality.orphans(memes, "author", authors, "author_id").count() == quality.duplicate_keys(memes, "meme_id").count() == 0
+    job.run(spark, **raw, log=str(folder / "log.txt"), output=str(tmp_path / "plain"), model=False)
+    assert {p.name for p in (tmp_path / "plain").iterdir()} == written - {"graph", "tables", "rejects"}
     assert read.read_main(spark, str(tmp_path / "final/main_with_lists"), has_lists=True).count() == 6
 
 
