@@ -76,3 +76,81 @@ def test_rows(spark):
     for none in (labels.limit(0), labels.filter("toxic = 0")):
         assert {r.score for r in toxicity.score(docs, toxicity.fitted(docs, none)).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), model).collect() == []
+
+
+def slow_score(network, text):
+    """Every window of a text, word by word in plain loops; the highest window's score."""
+    words = toxicity.words_of(text)
+    if not words:
+        return network.prior
+    w = {k: v.astype(float) for k, v in network.weights.items()}
+    size = toxicity.HIDDEN
+
+    def vector(word):
+        buckets, _ = toxicity.char_buckets([word])
+        chars = w["chars"][buckets].mean(axis=0) if len(buckets) else np.zeros(toxicity.CHAR_SIZE)
+        return np.concatenate([w["words"][network.known.get(word, 0)], chars])
+
+    def states(vectors, way):
+        h, out = np.zeros(size), []
+        for x in vectors:
+            a, g = x @ w[f"{way}x"] + w[f"{way}c"], h @ w[f"{way}h"]
+            z, r = (1 / (1 + np.exp(-(a[k : k + size] + g[k : k + size]))) for k in (0, size))
+            h = (1 - z) * np.tanh(a[2 * size :] + r * g[2 * size :]) + z * h
+            out.append(h)
+        return out
+
+    logits, begin = [], 0
+    while True:
+        vectors = [vector(x) for x in words[begin : begin + toxicity.WINDOW_WORDS]]
+        both = np.array([np.concatenate(p) for p in zip(states(vectors, "f"), states(vectors[::-1], "b")[::-1])])
+        e = np.exp(np.tanh(both @ w["att"]) @ w["att_v"])
+        logits.append((e / e.sum()) @ both @ w["out"] + w["out_c"][0])
+        begin += toxicity.STRIDE_WORDS
+        if begin + toxicity.STRIDE_WORDS >= len(words):
+            break
+    return 1 / (1 + np.exp(-max(logits)))
+
+
+def test_scores_are_those_of_a_slow_pass(monkeypatch):
+    random = np.random.default_rng(4)
+    network = toxicity.Network.fresh({"bad": 1, "word": 2}, 0.25, 3)
+    network.weights = {k: (random.normal(size=v.shape) * 0.5).astype(np.float32) for k, v in network.weights.items()}
+    some = ["bad", "word", "other", "words", "ärger", "x"]
+    texts = ["", "bad", " ".join(random.choice(some, 17)), " ".join(random.choice(some, 33)), " ".join(random.choice(some, 333)), "1 2 3"]
+    expected = [slow_score(network, t) for t in texts]
+    assert toxicity.Scorer(network).scores(texts) == pytest.approx(expected, abs=1e-4)
+    # Neither runs of windows nor forgetting words in between change a score.
+    monkeypatch.setattr(toxicity, "WINDOWS_OF_A_RUN", 3)
+    monkeypatch.setattr(toxicity, "KEPT_WORDS", 2)
+    monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 2)
+    assert toxicity.Scorer(network).scores(texts) == pytest.approx(expected, abs=1e-4)
+
+
+def test_rows_with_features_are_counted_by_text():
+    texts = ["aa bb aa", "bb", "", "cc bb"]
+    positive = np.array([True, False, True, False])
+    sample = toxicity.Sample.of(texts)
+    words, grams = sample.rows_with(positive)
+    assert dict(zip(sample.unique, words.T.tolist())) == {"aa": [1, 0], "bb": [1, 2], "cc": [0, 1]}
+    for side, of in ((0, texts[::2]), (1, texts[1::2])):
+        expected = np.zeros(toxicity.CHAR_BUCKETS, int)
+        for text in of:
+            expected[np.unique(toxicity.char_buckets(toxicity.words_of(text))[0]) if text else []] += 1
+        assert (grams[side] == expected).all()
+
+
+def test_fit_takes_no_more_than_its_bytes(spark):
+    docs = spark.createDataFrame([(i, f"{'bad' if i % 2 else 'fine'} " * 100) for i in range(40)] + [(None, "x"), (3, "a")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (5, 1)], "doc_id long, toxic int")
+    seen = []
+    kept = toxicity.train
+    toxicity.train = lambda texts, marks, share, seed=7: (len(texts), sum(map(len, texts)), sorted(set(marks)), share)
+    try:
+        for per_class, most in ((10, 10**6), (10, 1_300), (1, 10**6)):
+            seen.append(toxicity.fit(docs, labels, per_class, most))
+    finally:
+        toxicity.train = kept
+    assert seen[0][0] == 20 and seen[0][2] == [0, 1] and 0.4 < seen[0][3] < 0.6
+    assert seen[1][1] <= 2 * 1_300 and seen[1][0] >= 4
+    assert seen[2][0] == 2
