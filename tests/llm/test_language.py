@@ -1,4 +1,10 @@
+import functools
+import math
 import zlib
+from collections import Counter, defaultdict
+
+import pytest
+import regex
 
 from catalog_engine.llm import language
 from catalog_engine.llm.common import table
@@ -41,3 +47,45 @@ def test_rows(spark):
     none = language.fit(docs.limit(0).select(docs.doc_id.cast("string").alias("key"), "lang", "text"))
     assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
     assert language.identify(docs.limit(0), model).collect() == []
+
+
+def test_query_equals_a_plain_pass(spark):
+    """Fit and prediction written out, over the whole table."""
+    folder = "/root/testdata/sf0.001"
+    docs = table(spark, folder, "documents").collect()
+    counts = defaultdict(Counter)
+    for d in docs:
+        if d.lang is not None and d.text is not None and zlib.crc32(str(d.doc_id).encode()) % 4 != 2:
+            for word in regex.findall(r"\p{L}+", d.text.lower()):
+                counts[d.lang, 0][word] += 1
+                for n in range(1, 6):
+                    counts[d.lang, n].update(f" {word} "[i : i + n] for i in range(len(word) + 3 - n))
+    langs = sorted({lang for lang, _ in counts})
+    kept = {
+        key: dict(sorted(found.items(), key=lambda x: (-x[1], x[0].encode()))[: language.KEPT_ENTRIES]) for key, found in counts.items()
+    }
+    known = [set().union(*(kept[lang, n] for lang in langs)) for n in range(6)]
+
+    def log_share(lang, n, gram):
+        return math.log((kept[lang, n].get(gram, 0) + 0.5) / (sum(counts[lang, n].values()) + 0.5 * len(known[n])))
+
+    @functools.cache
+    def word_scores(word):
+        if word in known[0]:
+            return [log_share(lang, 0, word) for lang in langs]
+        for n in range(5, 0, -1):
+            grams = [g for g in (f" {word} "[i : i + n] for i in range(len(word) + 3 - n)) if g in known[n]]
+            if grams:
+                return [sum(log_share(lang, n, g) for g in grams) / len(grams) for lang in langs]
+        return [0.0] * len(langs)
+
+    found = {r.doc_id: r for r in language.op3_language_id(spark, folder).collect()}
+    assert len(found) == len(docs)
+    for d in docs:
+        words = regex.findall(r"\p{L}+", (d.text or "").lower())
+        if not words:
+            assert (found[d.doc_id].lang_pred, found[d.doc_id].score) == ("und", 0)
+            continue
+        sums = [sum(x) for x in zip(*map(word_scores, words))]
+        assert found[d.doc_id].lang_pred == langs[sums.index(max(sums))]
+        assert found[d.doc_id].score == pytest.approx(1 / sum(math.exp(x - max(sums)) for x in sums), abs=1e-6)
