@@ -18,6 +18,8 @@ BASE = "https://site.example/entries/d"
 CATALOGUE_LANGUAGES = ["en", "fr", "de"]
 # One entry lists this many others as its siblings, so that one group is far larger than the rest.
 HUB, HUB_LIST = 6, 5_000
+# Between two records of the recognition and entity files, which are keyed by links.
+RECORD_SEPARATOR = '}, "http'
 
 
 def _link(number: Column) -> Column:
@@ -321,7 +323,7 @@ def raw_vision_file(spark, folder):
     """Image recognition written as objects keyed by link, and read back in pieces."""
     path = new_folder(spark, "vision")
     write.write_object(raw_vision(table(spark, folder, "labels")), path)
-    back = read.read_keyed(spark, path, schemas.VISION_RECORD, separator=job.RECORD_SEPARATOR)
+    back = read.read_keyed(spark, path, schemas.VISION_RECORD, separator=RECORD_SEPARATOR)
     return back.select(
         "id", F.col("safeSearchAnnotation.adult").alias("adult"), "error",
         F.array_join("labelAnnotations.description", " ").alias("labels"),

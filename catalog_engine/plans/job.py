@@ -8,10 +8,8 @@ from catalog_engine import schemas
 from catalog_engine.operators import graph, quality
 from catalog_engine.plans import stages
 from catalog_engine.session import stored_for_a_run
-from catalog_engine.sources import read, store, write
+from catalog_engine.sources import read, split, store, write
 
-# Between two records of the recognition and entity files, which are keyed by links.
-RECORD_SEPARATOR = '}, "http'
 # Tables written as records with their key, and the key.
 KEYED = {
     "refs": "id", "textual": "id", "relations": "id", "sibling_groups": "group_id", "DBpedia": "id", "labels": "label",
@@ -28,15 +26,23 @@ def run(
 
     ``main_with_lists`` and ``main`` are delimited text, the tables of ``BY_COLUMN``
     objects keyed by column and id, all others JSON lines. ``lines``: the entries
-    are one record per line instead of an array. With ``model`` the graph and the
-    typed tables are written too. What the build stores on its way is removed at
-    the end.
+    are one record per line instead of an array. Every file is read by many tasks;
+    records that do not fit their schema go to ``rejects`` with their place and
+    the reason, and the others are built. With ``model`` the graph and the typed
+    tables are written too. What the build stores on its way is removed at the end.
     """
     with stored_for_a_run(spark):
+        sources = {
+            "entries": (split.read_lines if lines else split.read_array)(spark, entries, schemas.ENTRIES),
+            "vision": split.read_object(spark, vision, schemas.VISION_RECORD),
+            "entities": split.read_object(spark, entities, schemas.ENTITY_RECORD),
+        }
+        for name, (_, rejects) in sources.items():
+            rejects.write.parquet(f"{output}/rejects/raw_{name}")
         tables = stages.build_catalogue(
-            read.read_records(spark, entries, schemas.ENTRIES, lines),
-            read.read_keyed(spark, vision, schemas.VISION_RECORD, separator=RECORD_SEPARATOR),
-            read.read_keyed(spark, entities, schemas.ENTITY_RECORD, separator=RECORD_SEPARATOR),
+            sources["entries"][0],
+            sources["vision"][0].drop("file", "nth"),
+            sources["entities"][0].drop("file", "nth"),
             read.read_scrape_log(spark, log),
         )
         write_tables(tables, output)

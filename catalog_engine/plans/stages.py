@@ -14,6 +14,7 @@ from catalog_engine.functions import dates, links, lists, text
 from catalog_engine.operators import filters, graph, inverted, joins, people, quality, relations, report
 from catalog_engine.operators.groups import LIST_ROWS, keep_first, text_key
 from catalog_engine.session import cut
+from catalog_engine.sources.buckets import bucket_count, cut_by
 from catalog_engine.sources.read import with_ordinal
 from catalog_engine.sources.write import as_table
 
@@ -23,7 +24,14 @@ TEXT_COLUMNS = ["origins", "spread", "search_interest"]
 
 
 class Tables(dict):
-    """Tables by name; one that is given as a function is built when it is first asked for."""
+    """Tables by name; one that is given as a function is built when it is first asked for.
+
+    ``buckets`` is the number of buckets of all tables that are stored by id.
+    """
+
+    def __init__(self, tables: dict, buckets: int = 1):
+        super().__init__(tables)
+        self.buckets = buckets
 
     def __getitem__(self, name: str) -> DataFrame:
         found = super().__getitem__(name)
@@ -33,7 +41,7 @@ class Tables(dict):
 
     def with_tables(self, **more) -> Tables:
         """These tables and more; nothing is built for it."""
-        return Tables({**dict(dict.items(self)), **more})
+        return Tables({**dict(dict.items(self)), **more}, self.buckets)
 
 
 def clean_entries(
@@ -43,15 +51,21 @@ def clean_entries(
     lowest: int = fixed.LOWEST_IDS_DROPPED,
     excluded_urls: list[str] = fixed.EXCLUDED_URLS,
 ) -> Tables:
-    """Raw entries -> main, refs, textual and edges."""
+    """Raw entries -> main, refs, textual and edges.
+
+    Of equal entries the first of the source stays: by file and place in it where
+    the reader gives them (``file``, ``nth``), else in the order of Spark's reading.
+    """
+    order = ["file", "nth"] if {"file", "nth"} <= set(entries.columns) else ["ordinal"]
     # All row filters look at title and link only, which equal copies share, so
     # they run before the shuffle that finds the copies.
     # Numbers come after the category filter, which can then reach the scan; the order stays.
-    fit = with_ordinal(filters.keep_category(entries, "category", category)).drop("category")
+    fit = filters.keep_category(entries, "category", category).drop("category")
+    fit = with_ordinal(fit) if order == ["ordinal"] else fit
     fit = filters.deny_titles(fit, "title", deny_list)
     fit = filters.exclude_lowest_ids(fit, "url", lowest, among=fit.select("title", "url").distinct())
     fit = filters.exclude_values(fit, "url", excluded_urls)
-    kept = keep_first(fit, [text_key("title", "url")], [F.col("ordinal")])
+    kept = keep_first(fit, [text_key("title", "url")], [F.col(c) for c in order])
 
     sections = {n: text.section_text(F.col("content"), fixed.SECTIONS[n]) for n in ("about", *TEXT_COLUMNS)}
     rows = kept.select(
@@ -77,6 +91,9 @@ def clean_entries(
         "children",
     )
     rows = cut(rows.select("*", "_refs.*").drop("_refs"))
+    buckets = bucket_count(rows)
+    # All later tables by id are joined with these rows, bucket by bucket.
+    rows = cut_by(rows, buckets)
 
     edges = cut(relations.known_edges(relations.relation_edges(rows), rows))
     groups = cut(relations.without_equal_groups(relations.sibling_groups(relations.of_kind(edges, relations.SIBLING))))
@@ -84,6 +101,7 @@ def clean_entries(
         edges.select(F.col("src").alias("id")),
         edges.filter(F.col("kind").isin(relations.SIBLING, relations.PARENT)).select(F.col("dst").alias("id")),
     )
+    related = cut_by(related, buckets)
     main = joins.add_flag(rows, related, "has_relations").select(
         "id", "title", "url", "description", "added", "updated", "year", "status", "search_keywords",
         "type", "similar_images", "has_relations",
@@ -97,12 +115,12 @@ def clean_entries(
         "textual": filters.drop_empty(rows.select("id", *TEXT_COLUMNS), TEXT_COLUMNS),
         "edges": edges,
         "sibling_groups": groups,
-    })
+    }, buckets)
 
 
 def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, list_rows: int = LIST_ROWS) -> Tables:
     """Add image recognition; entries without it, with bad images or in another language go from all tables."""
-    main = tables["main"]
+    main, buckets = tables["main"], tables.buckets
     known = vision.withColumn("id", text.short_id(F.col("id"))).join(main.select("id"), "id")
     safe = F.col("safeSearchAnnotation")
     guess = F.col("webDetection.bestGuessLabels")
@@ -117,7 +135,7 @@ def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, lis
         F.col("webDetection.partialMatchingImages"), fixed.MAX_ALTERNATIVE_URLS, fixed.OWN_IMAGE_HOST
     )
     annotations = F.col("labelAnnotations")
-    seen = cut(
+    seen = cut_by(
         usable.select(
             "id",
             *[safe[c].alias(c) for c in fixed.SAFE_SEARCH_COLUMNS],
@@ -129,16 +147,17 @@ def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, lis
                 "similar_images2"
             ),
             lists.pluck(F.col("webDetection.webEntities"), "description").alias("type2"),
-        )
+        ),
+        buckets,
     )
-    dropped = cut(joins.subtract_ids(main, seen))
+    dropped = cut_by(joins.subtract_ids(main, seen), buckets)
     kept = joins.cascade({n: tables[n] for n in ("refs", "textual")}, dropped)
     edges = cut(joins.drop_links(tables["edges"], dropped))
     groups = cut(relations.without_equal_groups(relations.drop_members(tables["sibling_groups"], dropped)))
     main = main.join(seen, "id").withColumn(
         "search_keywords", lists.append_label(F.col("search_keywords"), F.col("best_guess_label"))
     )
-    in_relation = relations.related_ids(edges, groups)
+    in_relation = cut_by(relations.related_ids(edges, groups), buckets)
     main = joins.add_flag(main.drop("best_guess_label", "has_relations"), in_relation, "has_relations")
     labels = lambda: inverted.label_rows(
         seen,
@@ -158,7 +177,7 @@ def join_vision(tables: Tables, vision: DataFrame, top_up_urls: bool = True, lis
         "first_siblings": lambda: relations.first_siblings(groups, fixed.LIST_EDGES),
         "labels": lambda: inverted.inverted_lists(labels(), list_rows=list_rows)
         .withColumnsRenamed({"id": "memes", "score": "scores"}),
-    })
+    }, buckets)
 
 
 def join_entities(tables: Tables, entities: DataFrame) -> Tables:
@@ -173,7 +192,7 @@ def join_entities(tables: Tables, entities: DataFrame) -> Tables:
             lists.first_per_form(F.col("Resources"), "@surfaceForm", "@similarityScore", "@URI").alias("linked"),
         )
     )
-    found = cut(found)
+    found = cut_by(found, tables.buckets)
     linked = found.filter(F.col("linked").isNotNull()).select("id", "linked.*")
     every = joins.add_columns(main, found, "text", "linked")
     keywords = F.col("search_keywords")

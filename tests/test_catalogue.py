@@ -2,16 +2,16 @@
 
 import datetime
 import json
+import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from catalog_engine import schemas, session
-from catalog_engine.operators import graph
-from catalog_engine.operators import quality
+from catalog_engine.operators import graph, joins, quality
 from catalog_engine.plans import job, stages
-from catalog_engine.sources import read, write
+from catalog_engine.sources import buckets, read, split, write
 
 BASE = "https://site.example/entries/"
 DAY = 86_400
@@ -334,10 +334,62 @@ def test_whole_job_leaves_only_its_tables(spark, folder, tmp_path):
     authors = spark.read.parquet(str(tmp_path / "final/tables/authors"))
     assert quality.orphans(memes, "author", authors, "author_id").count() == quality.duplicate_keys(memes, "meme_id").count() == 0
     job.run(spark, **raw, log=str(folder / "log.txt"), output=str(tmp_path / "plain"), model=False)
-    assert {p.name for p in (tmp_path / "plain").iterdir()} == written - {"graph", "tables", "rejects"}
+    assert {p.name for p in (tmp_path / "plain").iterdir()} == written - {"graph", "tables"}
+    assert {p.name for p in (tmp_path / "plain/rejects").iterdir()} == {"raw_entries", "raw_vision", "raw_entities"}
     assert read.read_main(spark, str(tmp_path / "final/main_with_lists"), has_lists=True).count() == 6
 
 
+def test_job_sets_bad_records_aside(spark, folder, tmp_path):
+    whole = (folder / "entries.json").read_text()
+    (tmp_path / "entries.json").write_text("[{\"title\": 1, \"added\": [\"no\"]}, " + whole[1:])
+    raw = {name: str(folder / f"{name}.json") for name in ("vision", "entities")}
+    job.run(spark, str(tmp_path / "entries.json"), **raw, log=str(folder / "log.txt"), output=str(tmp_path / "out"), model=False)
+    bad = spark.read.parquet(str(tmp_path / "out/rejects/raw_entries")).collect()
+    assert [(r["nth"], r["reason"]) for r in bad] == [(0, split.MALFORMED)]
+    assert read.read_main(spark, str(tmp_path / "out/main_with_lists"), has_lists=True).count() == 6
+
+
+def exchanges(df):
+    return re.findall(r"Exchange \w+", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_cascades_join_bucket_by_bucket(spark, built):
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        rows = spark.range(1_000).select(F.col("id").cast("string"), F.lit("x").alias("text"))
+        stored = session.cut(rows)
+        tables = {n: buckets.cut_by(rows, 6) for n in ("main", "refs", "textual")}
+        gone = buckets.cut_by(rows.filter("id % 3 = 0").select("id"), 6)
+        kept = joins.cascade(tables, gone)
+        for name, table in kept.items():
+            assert exchanges(table) == []
+            assert sorted(map(tuple, table.collect())) == sorted(map(tuple, joins.without(stored, gone).collect()))
+        assert exchanges(joins.without(stored, gone)) != []
+        every = joins.add_flag(joins.add_columns(kept["main"], tables["refs"].withColumnRenamed("text", "more"), "more"), gone, "gone")
+        assert exchanges(every) == [] and exchanges(joins.subtract_ids(tables["main"], gone)) == []
+        for name in ("refs", "textual"):
+            # The table as the build keeps it: a bucketed scan on both sides.
+            assert exchanges(built["last"][name]) == []
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_buckets(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("", 4)], "id string, n int")
+    stored = buckets.cut_by(rows, 3)
+    assert sorted(r["n"] for r in stored.collect()) == [1, 2, 3, 4] and stored.schema == rows.schema
+    assert buckets.cut_by(rows.limit(0), 3).collect() == []
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("stored_")]
+    assert buckets.bucket_count(stored) == 1
+    size = buckets.stored_bytes(stored)
+    assert buckets.bucket_count(stored, bucket_bytes=1 + size // 10) == 10
+    assert buckets.bucket_count(stored, least_bytes=1) == spark.sparkContext.defaultParallelism
+
+
 def test_files_of_one_body(spark, tmp_path):
     rows = spark.createDataFrame([(f"k{i}", ['], "x', f"v{i}"] if i % 3 else None, i) for i in range(50)] + [(None, ["w"], 1)], "id string, u array<string>, n int")
     write.write_array(rows, str(tmp_path / "a"), records=7)
