@@ -1,4 +1,7 @@
+import re
+
 import duckdb
+import pytest
 
 from catalog_engine.llm import licenses
 
@@ -41,3 +44,105 @@ def test_rows(spark):
     assert got[6] == (["as_is"], [], ["as_is"])
     assert got[9] == (["apache2", "apache2", "mit_name"], ["MIT", "Apache-2.0"], [])
     assert licenses.scan(docs.limit(0)).collect() == []
+
+
+def test_every_sentence_is_one_that_the_cut_gives(spark):
+    """Each sentence of the table is found in its own text as it stands, and stays one sentence."""
+    texts = [(s, i) for i, own in licenses.LICENSE_SENTENCES.items() for s in own]
+    assert not [s for s, _ in texts if re.search(licenses.SENTENCE_END, s)]
+    rows = [(n, f"Some words before. {s}.\nMore words.", i) for n, (s, i) in enumerate(texts)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, id string"))
+    assert [(r.doc_id, r.sentence_ids) for r in found.collect() if r.sentence_ids != [r.id]] == []
+    known = {i for _, ids in licenses.RULES for i in ids}
+    assert known <= set(licenses.SENTENCES.values())
+
+
+def test_every_rule_names_its_licence(spark):
+    """Texts made of a rule's sentences name its licence and leave nothing over, whichever rule comes before."""
+    sentence = {i: s for s, i in reversed(licenses.SENTENCES.items())}
+    rows = [(n, ". ".join(sentence[i] for i in ids), licence) for n, (licence, ids) in enumerate(licenses.RULES)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, licence string"))
+    wrong = [(r.licence, r.licenses, r.unmatched_ids) for r in found.collect() if r.licenses != [r.licence] or r.unmatched_ids]
+    assert wrong == []
+    assert len({licence for licence, _ in licenses.RULES}) > 40
+
+
+NOTICES = {
+    "GPL-3.0-or-later": """
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+""",
+    "GPL-2.0-or-later": """
+ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+""",
+    "LGPL-2.1-or-later": """
+// This library is free software; you can redistribute it and/or
+// modify it under the terms of the GNU Lesser General Public
+// License as published by the Free Software Foundation; either
+// version 2.1 of the License, or (at your option) any later version.
+""",
+    "MPL-2.0": """
+/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+""",
+    "Apache-2.0": """
+// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+// You may obtain a copy of the License at
+//
+//     http://www.apache.org/licenses/LICENSE-2.0
+//
+// Unless required by applicable law or agreed to in writing, software
+// distributed under the License is distributed on an "AS IS" BASIS,
+// WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+// See the License for the specific language governing permissions and
+// limitations under the License.
+""",
+    "Zlib": """
+This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+""",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "EPL-2.0": "// SPDX-License-Identifier: EPL-2.0\nint main;",
+    "Apache-2.0 OR MIT": "/* SPDX-License-Identifier: (Apache-2.0 OR MIT) */",
+}
+
+
+@pytest.mark.parametrize("licence", NOTICES)
+def test_public_notices(spark, licence):
+    rows = spark.createDataFrame([(1, NOTICES[licence]), (2, "Words before.\n" + NOTICES[licence].replace("\n", "\r\n"))], "doc_id int, text string")
+    found = licenses.scan(rows).collect()
+    assert [r.licenses for r in found][0] == [licence]
+    if licence != "EPL-2.0":
+        assert [r.licenses for r in found][1] == [licence]
+
+
+def test_what_a_rule_takes_does_not_join_its_neighbours(spark):
+    sentences, rules = {"aa": "a", "bb": "b", "cc": "c"}, [("C", ["c"]), ("AB", ["a", "b"])]
+    docs = spark.createDataFrame([(1, "Aa. Cc. Bb."), (2, "Cc. Aa. Bb."), (3, "no such word"), (4, None)], "doc_id int, text string")
+    found = {r.doc_id: (r.licenses, r.unmatched_ids) for r in licenses.scan(docs, sentences, rules).collect()}
+    assert found == {1: (["C"], ["a", "b"]), 2: (["C", "AB"], []), 3: ([], []), 4: ([], [])}
+
+
+def test_hint_follows_the_sentences():
+    sentences = {"the quick brown fox": "x", "one lazy dog": "y", "12": "z"}
+    hint = licenses.hint_of(sentences)
+    assert all(re.search(hint, s) for s in sentences) and hint == licenses.hint_of(dict(reversed(sentences.items())))
+    assert licenses.hint_of({"": "empty"}) == ""
+    assert all(re.search(licenses.hint_of(licenses.SENTENCES), s) for s in licenses.SENTENCES)
