@@ -10,6 +10,8 @@ from catalog_engine.plans import stages
 from catalog_engine.session import stored_for_a_run
 from catalog_engine.sources import read, split, store, write
 
+# Between two records of the recognition and entity files, which are keyed by links.
+RECORD_SEPARATOR = '}, "http'
 # Tables written as records with their key, and the key.
 KEYED = {
     "refs": "id", "textual": "id", "relations": "id", "sibling_groups": "group_id", "DBpedia": "id", "labels": "label",
@@ -20,31 +22,40 @@ BY_COLUMN = {"alternative_urls": "alt_img_urls", "search_keywords": "search_keyw
 
 
 def run(
-    spark: SparkSession, entries: str, vision: str, entities: str, log: str, output: str, lines: bool = False, model: bool = True
+    spark: SparkSession,
+    entries: str,
+    vision: str,
+    entities: str,
+    log: str,
+    output: str,
+    lines: bool = False,
+    model: bool = True,
+    strict: bool = True,
 ) -> None:
     """Build the catalogue of the raw files and write it below ``output``.
 
     ``main_with_lists`` and ``main`` are delimited text, the tables of ``BY_COLUMN``
     objects keyed by column and id, all others JSON lines. ``lines``: the entries
     are one record per line instead of an array. Every file is read by many tasks;
-    records that do not fit their schema go to ``rejects`` with their place and
-    the reason, and the others are built. With ``model`` the graph and the typed
-    tables are written too. What the build stores on its way is removed at the end.
+    entries that do not fit their schema go to ``rejects`` with their place and
+    the reason, and the others are built. A bad record of the recognition or
+    entity file stops the job, or goes to ``rejects`` too where it is not
+    ``strict``; the files are then stored while their records are found, instead
+    of read in one pass. With ``model`` the graph and the typed tables are written
+    too. What the build stores on its way is removed at the end.
     """
     with stored_for_a_run(spark):
-        sources = {
-            "entries": (split.read_lines if lines else split.read_array)(spark, entries, schemas.ENTRIES),
-            "vision": split.read_object(spark, vision, schemas.VISION_RECORD),
-            "entities": split.read_object(spark, entities, schemas.ENTITY_RECORD),
-        }
+        sources = {"entries": (split.read_lines if lines else split.read_array)(spark, entries, schemas.ENTRIES)}
+        keyed = {"vision": (vision, schemas.VISION_RECORD), "entities": (entities, schemas.ENTITY_RECORD)}
+        if strict:
+            found = {n: read.read_keyed(spark, path, record, separator=RECORD_SEPARATOR) for n, (path, record) in keyed.items()}
+        else:
+            sources.update({n: split.read_object(spark, path, record) for n, (path, record) in keyed.items()})
+            found = {n: sources[n][0].drop("file", "nth") for n in keyed}
         for name, (_, rejects) in sources.items():
             rejects.write.parquet(f"{output}/rejects/raw_{name}")
-        tables = stages.build_catalogue(
-            sources["entries"][0],
-            sources["vision"][0].drop("file", "nth"),
-            sources["entities"][0].drop("file", "nth"),
-            read.read_scrape_log(spark, log),
-        )
+        log_rows = read.read_scrape_log(spark, log)
+        tables = stages.build_catalogue(sources["entries"][0], found["vision"], found["entities"], log_rows)
         write_tables(tables, output)
         if model:
             write_graph(spark, tables, output)

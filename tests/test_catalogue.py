@@ -335,15 +335,19 @@ def test_whole_job_leaves_only_its_tables(spark, folder, tmp_path):
     assert quality.orphans(memes, "author", authors, "author_id").count() == quality.duplicate_keys(memes, "meme_id").count() == 0
     job.run(spark, **raw, log=str(folder / "log.txt"), output=str(tmp_path / "plain"), model=False)
     assert {p.name for p in (tmp_path / "plain").iterdir()} == written - {"graph", "tables"}
-    assert {p.name for p in (tmp_path / "plain/rejects").iterdir()} == {"raw_entries", "raw_vision", "raw_entities"}
+    assert {p.name for p in (tmp_path / "plain/rejects").iterdir()} == {"raw_entries"}
     assert read.read_main(spark, str(tmp_path / "final/main_with_lists"), has_lists=True).count() == 6
 
 
 def test_job_sets_bad_records_aside(spark, folder, tmp_path):
     whole = (folder / "entries.json").read_text()
     (tmp_path / "entries.json").write_text("[{\"title\": 1, \"added\": [\"no\"]}, " + whole[1:])
-    raw = {name: str(folder / f"{name}.json") for name in ("vision", "entities")}
-    job.run(spark, str(tmp_path / "entries.json"), **raw, log=str(folder / "log.txt"), output=str(tmp_path / "out"), model=False)
+    whole = (folder / "vision.json").read_text()
+    (tmp_path / "vision.json").write_text('{"https://site.example/entries/bad": {"error": 5, "webDetection": [1]}, ' + whole[1:])
+    raw = {"entries": str(tmp_path / "entries.json"), "vision": str(tmp_path / "vision.json"), "entities": str(folder / "entities.json")}
+    job.run(spark, **raw, log=str(folder / "log.txt"), output=str(tmp_path / "out"), model=False, strict=False)
+    for name, rows in (("vision", 1), ("entities", 0)):
+        assert spark.read.parquet(str(tmp_path / f"out/rejects/raw_{name}")).count() == rows
     bad = spark.read.parquet(str(tmp_path / "out/rejects/raw_entries")).collect()
     assert [(r["nth"], r["reason"]) for r in bad] == [(0, split.MALFORMED)]
     assert read.read_main(spark, str(tmp_path / "out/main_with_lists"), has_lists=True).count() == 6
