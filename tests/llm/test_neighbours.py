@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,15 +34,43 @@ def test_recall(spark, folder):
     assert hits >= 0.9 * 20 * len(right)
 
 
-def test_probes_find_every_code_in_the_radius():
+def test_probes_find_every_code_in_the_sure_radius():
     random = np.random.default_rng(3)
-    vectors = random.normal(size=(3_000, 24))
+    centres = random.normal(size=(300, 24))
+    vectors = np.concatenate([centres + random.normal(size=centres.shape) * w for w in (0.02, 0.1, 0.3, 0.6, 0.6)])
     coder = neighbours.learn(vectors, 10)
-    index = neighbours.Index(np.arange(3_000), vectors, coder)
-    assert 0 < coder.radius < 48
-    for at in range(0, 3_000, 100):
-        near = np.flatnonzero(neighbours.distances(index.codes, index.codes[at]) <= coder.radius)
-        assert index.within(index.codes[at]).tolist() == near.tolist()
+    index = neighbours.Index(np.arange(len(vectors)), vectors, coder)
+    assert 0 < coder.sure_radius <= coder.radius < index.codes.shape[1] * 16
+    met = 0
+    for at in range(0, len(vectors), 50):
+        code = index.codes[at]
+        near = np.flatnonzero((np.bitwise_count(index.codes ^ code) <= coder.reach).any(axis=1))
+        assert index.probed(code).tolist() == near.tolist()
+        apart = neighbours.distances(index.codes, code)
+        sure = np.flatnonzero(apart <= coder.sure_radius)
+        met += len(sure) - 1
+        assert set(sure) <= set(index.within(code)) and (apart[index.within(code)] <= coder.radius).all()
+    assert met > 0
+
+
+def test_probes_reach_few_rows():
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    ids, vectors = rows["vec_id"].to_numpy(), np.array(rows["embedding"].to_pylist(), float)
+    coder = neighbours.learn(vectors, 20)
+    index = neighbours.Index(ids, vectors, coder)
+    right = brute(ids, vectors, [i for i in ids.tolist() if i % 20 == 0])
+    probed = within = hits = short = 0
+    for q, near in right.items():
+        code = coder.codes(vectors[ids == q])[0]
+        probed += len(index.probed(code))
+        within += len(index.within(code))
+        own = index.best(q, vectors[ids == q][0], code, 20)[0]
+        short += len(own) < 20
+        hits += len(set(own.tolist()) & {i for i, _ in near})
+    assert probed < 0.3 * len(ids) * len(right)
+    assert within < 0.05 * len(ids) * len(right)
+    assert hits >= 0.9 * 20 * len(right)
+    assert short <= 0.1 * len(right)
 
 
 def test_blocks_do_not_follow_partitions(spark):
@@ -67,3 +96,22 @@ def test_rows(spark):
     assert sorted(r.vec_id for r in everyone) == [1, 2, 10, 20]
     assert neighbours.nearest(docs.limit(0), docs, 3).collect() == []
     assert neighbours.nearest(docs, docs.limit(0), 3).collect() == []
+    again = docs.filter("vec_id = 0").unionByName(spark.createDataFrame([(0, [0.0, 1.0], 1)], docs.schema))
+    found = neighbours.nearest(docs.unionByName(again), again, 5).collect()
+    # Of the two vectors asked under one id the least one, (0, 1), counts; its own id is no candidate.
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == [
+        (0, 1, 20, 3.0), (0, 2, 10, 2.0), (0, 3, 1, 0.5), (0, 4, 2, -0.5)
+    ]
+
+
+def test_many_copies(spark):
+    """A third of all rows are one vector; ties among them go to the smallest ids, over blocks and lanes."""
+    random = np.random.default_rng(8)
+    vectors = random.normal(size=(900, 16))
+    vectors[::3] = 3 * vectors[0]
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(docs, docs.filter("vec_id % 30 = 0"), 5, block_rows=100).collect()
+    own = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        own.setdefault(r.query_id, []).append(r.vec_id)
+    assert own == {q: [i for i in range(0, 18, 3) if i != q][:5] for q in range(0, 900, 30)}
