@@ -3,8 +3,9 @@
 A fingerprint has a bit set if the bit is set in more than half of the 64-bit
 hashes of the text's word shingles. All different fingerprints are sorted by
 population counts (of the whole, of halves, of quarters) and dealt into blocks.
-Two blocks meet in one task if their population counts come within the radius;
-inside, tiles of the blocks are compared with numpy exclusive-or and bit
+Which blocks can come within the radius is found from the bounds of their counts
+alone, without their fingerprints. A block is then sent once for up to
+``PARTNERS`` others, which stream past it; inside, tiles of the blocks are compared with numpy exclusive-or and bit
 counts, and tile pairs whose population counts differ by more than the radius
 are skipped, which loses nothing: the distance of two fingerprints is at least
 the difference of their counts, summed over any parts of the word.
@@ -29,6 +30,9 @@ SEED = 42
 # Fingerprints of a block (512 KB), and of a tile: a tile pair's matrix stays in a core's cache.
 BLOCK_ROWS = 65_536
 TILE_ROWS = 256
+# Blocks that stream past one copy of a block, and tasks that the meetings are dealt over at most.
+PARTNERS = 64
+TASKS = 10_000
 HASHES_AT_ONCE = 16_384
 HALF = 0x00000000FFFFFFFF
 QUARTERS = [0xFFFF << s for s in (0, 16, 32, 48)]
@@ -142,7 +146,10 @@ def forest(a: np.ndarray, b: np.ndarray | None, bits: int, tile: int = TILE_ROWS
 
 
 def blocks(nodes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The fingerprints ``fp``, sorted by population counts and packed: (block, low, high, fps)."""
+    """The fingerprints ``fp``, sorted by population counts and packed: (block, lows, highs, fps).
+
+    ``lows`` and ``highs`` bound the population counts of the block as ``tile_bounds`` does.
+    """
     n = max(1, -(-nodes.count() // block_rows))
     counts = [F.bit_count("fp"), F.bit_count(F.col("fp").bitwiseAND(F.lit(HALF))), F.bit_count(F.col("fp").bitwiseAND(F.lit(QUARTERS[0])))]
     ordered = nodes.select("fp").repartitionByRange(n, *counts, F.col("fp"))
@@ -156,35 +163,57 @@ def blocks(nodes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             fps = fps[np.lexsort((fps, quarters[:, 2], quarters[:, 0], quarters[:, 0] + quarters[:, 1], total))]
             for at in range(0, len(fps), block_rows):
                 some = fps[at : at + block_rows]
-                ends = np.bitwise_count(some)
+                low, high = tile_bounds(some, len(some))
                 yield pa.record_batch(
-                    [pa.array([int(ends.min())]), pa.array([int(ends.max())]), pa.array([some.tobytes()], pa.binary())],
-                    ["low", "high", "fps"],
+                    [pa.array(low.tolist(), pa.list_(pa.int32())), pa.array(high.tolist(), pa.list_(pa.int32())), pa.array([some.tobytes()], pa.binary())],
+                    ["lows", "highs", "fps"],
                 )
 
-    made = ordered.mapInArrow(packed, "low bigint, high bigint, fps binary")
+    made = ordered.mapInArrow(packed, "lows array<int>, highs array<int>, fps binary")
     return made.withColumn("block", F.monotonically_increasing_id())
 
 
+def meetings(bounds: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """(a, b): every pair of blocks, by (block, lows, highs), that may hold fingerprints within ``bits``; each pair once."""
+    # A block meets those that begin within its counts or up to the radius above: an equi-join on that count.
+    left = bounds.select(
+        F.col("block").alias("a"), F.col("lows").alias("lows_a"), F.col("highs").alias("highs_a"),
+        F.explode(F.sequence(F.col("lows")[0], F.col("highs")[0] + F.lit(bits))).alias("count"),
+    )
+    met = left.join(bounds.withColumn("count", F.col("lows")[0]), "count")
+    once = (F.col("count") > F.col("lows_a")[0]) | (F.col("block") >= F.col("a"))
+    gap = [
+        F.greatest(F.lit(0), F.col("lows")[i] - F.col("highs_a")[i], F.col("lows_a")[i] - F.col("highs")[i]) for i in range(7)
+    ]
+    halves, quarters = gap[1] + gap[2], gap[3] + gap[4] + gap[5] + gap[6]
+    near = F.greatest(gap[0], halves, quarters) <= bits
+    return met.filter(once & near).select("a", F.col("block").alias("b"))
+
+
 def links(nodes: DataFrame, bits: int = MAX_BITS, block_rows: int = BLOCK_ROWS, tile: int = TILE_ROWS) -> DataFrame:
     """Links (u, v) that connect all fingerprints ``fp`` with at most ``bits`` differing bits, as forests."""
     packed = cut(blocks(nodes, block_rows))
-    # A block meets those that begin within its counts or up to the radius above: an equi-join on that count.
-    left = packed.select(
-        F.col("block").alias("a"), F.col("low").alias("from"), F.col("fps").alias("fps_a"),
-        F.explode(F.sequence("low", F.col("high") + F.lit(bits))).alias("low"),
-    )
-    meet = left.join(packed, "low").filter("low > from or block >= a")
-    ready = meet.select(
-        "fps_a", F.when(F.col("block") != F.col("a"), F.col("fps")).alias("fps_b")
-    ).repartition(F.xxhash64("a", "block"))
+    n = max(1, packed.count())
+    cores = nodes.sparkSession.sparkContext.defaultParallelism
+    lanes = max(-(-n // PARTNERS), min(n, -(-cores // n)))
+    lane = F.pmod(F.xxhash64("b"), F.lit(lanes)).alias("lane")
+    pairs = cut(meetings(packed.select("block", "lows", "highs"), bits).select("a", "b", lane))
+    own = pairs.select("a", "lane").distinct().join(packed.select(F.col("block").alias("a"), "fps"), "a")
+    others = pairs.join(packed.select(F.col("block").alias("b"), "fps"), "b")
+    # A block that meets itself is there already.
+    others = others.select("a", "lane", F.lit(1).alias("kind"), F.when(F.col("a") != F.col("b"), F.col("fps")).alias("fps"))
+    ready = own.select("a", "lane", F.lit(0).alias("kind"), "fps").unionByName(others)
+    ready = ready.repartition(min(2 * n * lanes, TASKS), "a", "lane").sortWithinPartitions("a", "lane", "kind")
 
     def compared(batches):
+        a = None
         for batch in batches:
-            for a, b in zip(batch.column("fps_a"), batch.column("fps_b")):
-                a = np.frombuffer(a.as_buffer(), np.uint64)
-                b = np.frombuffer(b.as_buffer(), np.uint64) if b.is_valid else None
-                u, v = forest(a, b, bits, tile)
+            for kind, fps in zip(batch.column("kind").to_pylist(), batch.column("fps")):
+                other = np.frombuffer(fps.as_buffer(), np.uint64) if fps.is_valid else None
+                if kind == 0:
+                    a = other
+                    continue
+                u, v = forest(a, other, bits, tile)
                 yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
     return ready.mapInArrow(compared, "u bigint, v bigint")

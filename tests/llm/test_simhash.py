@@ -92,6 +92,24 @@ def test_tiles_lose_no_link(other):
     assert len(u) < len(group)
 
 
+def test_bounds_lose_no_meeting(spark):
+    """Blocks of a kind of their own are told apart by halves and quarters; those with a link always meet."""
+    rng = np.random.default_rng(4)
+    fps = rng.integers(0, 2**64, 3_000, np.uint64)
+    fps = np.unique(np.concatenate([fps, fps[:500] ^ np.uint64(0b1011)]))
+    nodes = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    packed = simhash.cut(simhash.blocks(nodes, 40))
+    own = {r.block: np.frombuffer(r.fps, np.uint64) for r in packed.collect()}
+    assert sorted(np.concatenate(list(own.values())).tolist()) == fps.tolist()
+    met = [(r.a, r.b) for r in simhash.meetings(packed.select("block", "lows", "highs")).collect()]
+    pairs = {tuple(sorted(p)) for p in met}
+    assert len(pairs) == len(met) < 0.9 * len(own) * (len(own) + 1) / 2
+    for a, x in own.items():
+        for b, y in own.items():
+            if (np.bitwise_count(x[:, None] ^ y) <= 4).any():
+                assert tuple(sorted((a, b))) in pairs
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     edges = [(int(x), int(y)) for x, y in rng.integers(0, 300, (200, 2))] + [(1000, i) for i in range(1001, 1400)]
