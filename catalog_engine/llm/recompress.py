@@ -1,6 +1,6 @@
 """Substring deduplication by recompression.
 
-Every word has a 64-bit name. A round gives a new name to each maximal run of
+Every word has a 128-bit name, whose first half is its first symbol. A round gives a new name to each maximal run of
 equal symbols, or to each adjacent pair whose left symbol falls on one side of
 a split of all names and whose right symbol falls on the other. Names are made
 from content alone, so all executors name alike without a dictionary, and equal
@@ -11,25 +11,28 @@ is followed exactly, for every window of words.
    each block of documents sending a symbol once. It answers one bit a symbol:
    seen twice or not.
 2. A window with an inner symbol seen once cannot be repeated. All others (few)
-   are verified: 128-bit hashes of whole windows go the same way and come back
-   as one bit each, so the result does not depend on chance in the rounds.
+   are verified: 128-bit hashes of whole windows, made from both halves of the
+   words' names, go the same way and come back as one bit each. Equal symbols
+   by chance only cost a verification; a wrong result takes equal 128-bit hashes.
 3. Words covered by a repeated window are removed.
 
 The texts are stored once as blocks, bucketed by block number, so the bits
 return to them without moving any text. No group of copies meets in a task: a
-symbol or window costs one entry a block, however often the block has it.
+symbol or window costs one entry a block, however often the block has it. Rows
+sent are one a block and part that has any of its keys, so never more than keys.
 """
 
 from __future__ import annotations
 
 import uuid
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog_engine.llm.common import covered, mixed, offsets_of, pieces, raw_texts, table, window_starts
+from catalog_engine.llm.common import covered, mixed, offsets_of, pieces, table, window_starts
 from catalog_engine.session import cut, new_folder
 
 WINDOW_WORDS = 35
@@ -38,24 +41,38 @@ PAIR_ROUNDS = 5
 BLOCK_BYTES = 4_000_000
 BYTES_A_PART = 32_000_000
 KEPT_WORDS = 500_000
+# Text of a bucket of blocks, which is read by one task, and buckets at most.
+BUCKET_BYTES = 16_000_000
+MOST_BUCKETS = 50_000
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 class WordNames(dict):
-    """64-bit name of each word, kept for the words seen lately."""
+    """Number of each word among those seen lately; ``names`` has the two 64-bit halves of their names by number."""
+
+    def __init__(self):
+        super().__init__()
+        self.halves = array("Q")
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        self[word] = name = xxhash.xxh64_intdigest(word)
-        return name
+        self[word] = number = len(self)
+        name = xxhash.xxh3_128_intdigest(word)
+        self.halves.append(name & 0xFFFFFFFFFFFFFFFF)
+        self.halves.append(name >> 64)
+        return number
+
+    def forget(self) -> None:
+        self.clear()
+        self.halves = array("Q")
 
 
 def word_names(texts: list[list[bytes]], known: WordNames) -> tuple[np.ndarray, np.ndarray]:
-    """Names of all words, and where each text's words begin (and the last end)."""
+    """Names of all words (two halves a row), and where each text's words begin (and the last end)."""
+    if len(known) > KEPT_WORDS:
+        known.forget()
     starts = offsets_of(np.fromiter(map(len, texts), np.int64, len(texts)))
-    names = np.fromiter((known[w] for words in texts for w in words), np.uint64, starts[-1])
-    return names, starts
+    numbers = np.fromiter((known[w] for words in texts for w in words), np.int64, starts[-1])
+    return np.array(known.halves, np.uint64).reshape(-1, 2)[numbers], starts
 
 
 class Parse:
@@ -117,11 +134,11 @@ def candidates(parse: Parse, starts: np.ndarray, repeated: np.ndarray, window: i
 
 
 def window_hashes(names: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-    """Two polynomial hashes of the windows that begin at ``at``, one row each."""
+    """Two polynomial hashes of the windows that begin at ``at``, one row each: one of each half of the words' names."""
     out = np.empty((len(at), 2), np.uint64)
     with np.errstate(over="ignore"):
         for k, base in enumerate(BASES):
-            values = mixed(names, np.uint64(k + 7))
+            values = mixed(names[:, k], np.uint64(k + 7))
             powers = np.cumprod(np.append(np.uint64(1), np.full(len(names), base, np.uint64)))
             back = np.cumprod(np.append(np.uint64(1), np.full(len(names), pow(base, -1, 2**64), np.uint64)))
             sums = np.append(np.uint64(0), np.cumsum(values * powers[:-1]))
@@ -190,7 +207,12 @@ def sent_keys(block: int, keys: np.ndarray, parts: int) -> pa.RecordBatch:
 # --- the operator ----------------------------------------------------------
 
 
-def stored_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+def bucket_count(n_bytes: int) -> int:
+    """Buckets for texts of so many bytes; Spark allows 100,000, and a bucket's blocks pass one after the other."""
+    return max(1, min(MOST_BUCKETS, -(-n_bytes // BUCKET_BYTES)))
+
+
+def stored_blocks(docs: DataFrame, block_bytes: int, buckets: int) -> DataFrame:
     """The rows as blocks, one list a column, stored bucketed by block number."""
     spark = docs.sparkSession
     shape = ", ".join(f"`{c}` array<{t}>" for c, t in docs.dtypes)
@@ -201,13 +223,15 @@ def stored_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             for i in range(piece.num_columns):
                 column = piece.column(i)
                 lists.append(pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column))
-            yield pa.record_batch([*lists, pa.array([sum(map(len, raw_texts(piece)))], pa.int64())], [*piece.schema.names, "n_bytes"])
+            yield pa.record_batch(lists, piece.schema.names)
 
-    made = docs.mapInArrow(packed, f"{shape}, n_bytes bigint").withColumn("block", F.monotonically_increasing_id())
+    made = docs.mapInArrow(packed, shape).withColumn("block", F.monotonically_increasing_id())
     name = f"blocks_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     made.write.bucketBy(buckets, "block").option("path", new_folder(spark, "blocks")).saveAsTable(name)
-    return spark.table(name)
+    stored = spark.table(name)
+    # The name is only needed to tell Spark of the buckets; the files stay in the shared folder.
+    spark.sql(f"drop table {name}")
+    return stored
 
 
 def remove_repeats(
@@ -232,13 +256,14 @@ def remove_repeats(
     text_at = names.index("text")
     inner = docs.select(*[F.col(f"`{c}`").cast("string" if c == "text" else t).alias("text" if c == "text" else f"c{i}") for i, (c, t) in enumerate(docs.dtypes)])
     inner_names = inner.columns
-    blocks = stored_blocks(inner, block_bytes)
-    parts = max(1, -(-(blocks.agg(F.sum("n_bytes")).first()[0] or 0) // BYTES_A_PART))
+    n_bytes = inner.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = stored_blocks(inner, block_bytes, bucket_count(n_bytes))
+    parts = max(1, -(-n_bytes // BYTES_A_PART))
 
     def parsed(texts: list, known: WordNames):
         words = [(t or b"").split() for t in texts]
         ids, starts = word_names(words, known)
-        return words, ids, starts, Parse(ids, starts, pair_rounds)
+        return words, ids, starts, Parse(ids[:, 0], starts, pair_rounds)
 
     def texts_of(batch: pa.RecordBatch, row: int) -> list:
         return batch.column("text")[row].values.cast(pa.binary()).to_pylist()

@@ -76,6 +76,42 @@ def test_equal_passages_have_equal_inner_symbols():
         assert inner[0] and inner[0] == inner[1] == inner[2]
 
 
+def test_names_have_two_halves_and_can_be_forgotten(monkeypatch):
+    monkeypatch.setattr(recompress, "KEPT_WORDS", 3)
+    known = recompress.WordNames()
+    first, starts = recompress.word_names([[b"a", b"b"], [], [b"a", b"c", b"d"]], known)
+    assert starts.tolist() == [0, 2, 2, 5] and first.shape == (5, 2)
+    assert len(np.unique(first)) == 8 and first[0].tolist() == first[2].tolist()
+    again, _ = recompress.word_names([[b"d", b"x", b"a"]], known)
+    assert again[0].tolist() == first[4].tolist() and again[2].tolist() == first[0].tolist() and len(known) == 3
+
+
+def test_words_with_one_half_in_common_are_not_equal():
+    names = np.random.default_rng(1).integers(0, 2**63, (80, 2)).astype(np.uint64)
+    names[40:] = names[:40]
+    same = recompress.window_hashes(names, np.array([0, 40]), 35)
+    assert same[0].tolist() == same[1].tolist()
+    for half in (0, 1):
+        other = names.copy()
+        other[50, half] += np.uint64(1)
+        hashes = recompress.window_hashes(other, np.array([0, 40]), 35)
+        assert hashes[0].tolist() != hashes[1].tolist()
+
+
+def test_stored_blocks(spark):
+    """Buckets follow the bytes, no table stays behind, rows sent are one a block and part with keys."""
+    mb = 10**6
+    assert [recompress.bucket_count(n) for n in (0, 1, 16 * mb, 17 * mb, 100 * mb * mb)] == [1, 1, 1, 2, recompress.MOST_BUCKETS]
+    before = {r.name for r in spark.catalog.listTables()}
+    docs = spark.createDataFrame(made_rows(), "doc_id long, text string")
+    blocks = recompress.stored_blocks(docs, 2_000, 4)
+    assert blocks.selectExpr("sum(size(text))").first()[0] == docs.count()
+    assert {r.name for r in spark.catalog.listTables()} == before
+    keys = np.unique(np.random.default_rng(2).integers(0, 2**63, 50).astype(np.uint64))[:, None]
+    assert recompress.sent_keys(1, np.concatenate([keys, keys]), 10**9).num_rows == len(keys)
+    assert recompress.sent_keys(1, keys, 3).num_rows <= 3
+
+
 def test_query(spark):
     rows = [tuple(r) for r in table(spark, FOLDER, "documents").select("doc_id", "text").collect()]
     found = recompress.op10_substring_dedup(spark, FOLDER)
