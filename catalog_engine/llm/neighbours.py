@@ -308,16 +308,23 @@ def nearest(
     # Blocks are filled to seven eighths on average, so that their number hardly ever grows by chance.
     blocks = cut(packed(good, -(-8 * total // (7 * block_rows)), block_rows, "block"))
 
-    def searched(some: DataFrame, whole: bool) -> DataFrame:
-        n = -(-max(1, some.count()) // GROUP_ROWS)
+    def searched(some: DataFrame, count: int, whole: bool) -> DataFrame:
+        n = -(-count // GROUP_ROWS)
         return search(blocks, packed(some, n, GROUP_ROWS, "group"), n, coder, neighbours, whole)
 
-    first = cut(searched(asked, False))
+    n_asked = asked.count()
+    if not n_asked:
+        return rows.sparkSession.createDataFrame([], none)
+    first = cut(searched(asked, n_asked, False))
     most = min(neighbours, total - 1)
     enough = first.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= most)
     short = cut(asked.join(enough, asked.id == enough.query_id, "left_anti"))
-    done = first.join(enough.select("query_id"), "query_id", "left_semi")
-    return done.unionByName(searched(short, True)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # The blocks are sent again only if some query came out short.
+    n_short = short.count()
+    done = first
+    if n_short:
+        done = first.join(enough.select("query_id"), "query_id", "left_semi").unionByName(searched(short, n_short, True))
+    return done.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
