@@ -25,7 +25,7 @@ sent are one a block and part that has any of its keys, so never more than keys.
 from __future__ import annotations
 
 import uuid
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,31 +48,29 @@ BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 class WordNames(dict):
-    """Number of each word among those seen lately; ``names`` has the two 64-bit halves of their names by number."""
+    """Number of each word among those seen lately; ``names`` holds their 128-bit names in that order, as bytes."""
 
     def __init__(self):
         super().__init__()
-        self.halves = array("Q")
+        self.names = bytearray()
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
-        name = xxhash.xxh3_128_intdigest(word)
-        self.halves.append(name & 0xFFFFFFFFFFFFFFFF)
-        self.halves.append(name >> 64)
+        self.names += xxhash.xxh3_128_digest(word)
         return number
 
     def forget(self) -> None:
         self.clear()
-        self.halves = array("Q")
+        self.names = bytearray()
 
 
 def word_names(texts: list[list[bytes]], known: WordNames) -> tuple[np.ndarray, np.ndarray]:
-    """Names of all words (two halves a row), and where each text's words begin (and the last end)."""
+    """Names of all words (two 64-bit halves a row), and where each text's words begin (and the last end)."""
     if len(known) > KEPT_WORDS:
         known.forget()
     starts = offsets_of(np.fromiter(map(len, texts), np.int64, len(texts)))
-    numbers = np.fromiter((known[w] for words in texts for w in words), np.int64, starts[-1])
-    return np.array(known.halves, np.uint64).reshape(-1, 2)[numbers], starts
+    numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, starts[-1])
+    return np.frombuffer(bytes(known.names), "<u8").reshape(-1, 2)[numbers], starts
 
 
 class Parse:
