@@ -77,5 +77,5 @@ def cut(df: DataFrame) -> DataFrame:
     columnar and tells its size, so joins with it are planned by that.
     """
     path = new_folder(df.sparkSession, "stored")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

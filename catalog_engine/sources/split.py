@@ -15,6 +15,8 @@ leaves a fragment, which is reported and never dropped.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -74,67 +76,110 @@ def count_of(text: Column, sign: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))).cast("bigint")
 
 
-def split_members(spark: SparkSession, path: str, depth: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Records (file, nth, value) of the files at ``path``, and the fragments that are in none (same columns).
+def assembled(spark: SparkSession, path: str, depth: int) -> DataFrame:
+    """Records and what is in none, as (file, record, value, ends); ``ends`` is 1 for a record.
 
-    ``depth`` is how many braces are open inside a record: 1 for an array of
-    objects, 2 for an object of objects; there ``value`` begins with the key. A
-    record is at most what one row holds; a file has any size.
+    The text is stored once as it is read, and sent once, by block. Where a block
+    starts is settled before, on columns without the text: how many braces a piece
+    opens is counted for both cases, that it begins inside a text and that it does
+    not, and the case is chosen when the quotes before it are known.
     """
     pieces = file_blocks(spark, path, "}")
-    pieces = pieces.withColumn("quotes", count_of(without_escapes(F.col("value")), '"'))
-    pieces = before(cut(pieces), "quotes", "quotes_before")
+    bare = without_escapes(F.col("value"))
     # Texts are taken out to count braces; a piece that begins inside one gets its opening quote.
-    opened = F.when(F.col("quotes_before") % 2 == 1, F.lit('"')).otherwise(F.lit(""))
-    outside = F.regexp_replace(F.concat(opened, without_escapes(F.col("value"))), r'"[^"]*("|$)', "")
-    inside_text = (F.col("quotes_before") + F.col("quotes")) % 2 == 1
+    opens = {
+        name: count_of(F.regexp_replace(F.concat(F.lit(quote), bare), r'"[^"]*("|$)', ""), "{")
+        for name, quote in (("opens_outside", ""), ("opens_inside", '"'))
+    }
+    pieces = cut(pieces.withColumns({"quotes": count_of(bare, '"'), **opens, "bytes": F.octet_length("value").cast("bigint") + 1}))
+    facts = pieces.drop("value")
     # The last piece of a file is followed by its end and not by a brace, unless a brace is the file's last character.
-    ends = pieces.groupBy("file").agg(
-        F.max(F.struct("block", "nth")).alias("end"), F.sum(F.octet_length("value") + 1).alias("bytes")
+    ends = facts.groupBy("file").agg(
+        F.max(F.struct("block", "nth")).alias("_end"), F.sum("bytes").alias("_bytes"), F.max("size").alias("_size")
     )
-    pieces = pieces.withColumn("opens", count_of(outside, "{")).join(ends, "file")
-    is_last = (F.struct("block", "nth") == F.col("end")) & (F.col("bytes") > F.col("size"))
-    pieces = pieces.withColumns({"closes": F.when(inside_text | is_last, 0).otherwise(1).cast("bigint"), "is_last": is_last})
-    pieces = cut(pieces.withColumn("change", F.col("opens") - F.col("closes")).drop("quotes", "end", "bytes", "size"))
-    pieces = before(pieces, "change", "open_before")
-    open_after = F.col("open_before") + F.col("change")
-    # A record ends at the brace that leaves it. Whatever follows belongs to the next one.
-    pieces = pieces.withColumn("ends", ((F.col("closes") == 1) & (open_after == depth - 1)).cast("bigint"))
-    pieces = before(cut(pieces), "ends", "record")
+    ends = ends.select("file", F.when(F.col("_bytes") > F.col("_size"), F.col("_end")).alias("_end"))
+    inside = Window.partitionBy(*BLOCK).orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
+
+    def so_far(amount: str, start: str) -> Column:
+        return F.col(start) + F.coalesce(F.sum(amount).over(inside), F.lit(0))
+
+    def with_change(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("quotes_before", so_far("quotes", "quotes_at"))
+        within, after = F.col("quotes_before") % 2 == 1, (F.col("quotes_before") + F.col("quotes")) % 2 == 1
+        is_last = F.coalesce(F.struct("block", "nth") == F.col("_end"), F.lit(False))
+        rows = rows.withColumns({"is_last": is_last, "closes": F.when(after | is_last, 0).otherwise(1).cast("bigint")})
+        return rows.withColumn("change", F.when(within, F.col("opens_inside")).otherwise(F.col("opens_outside")) - F.col("closes"))
+
+    def with_ends(rows: DataFrame) -> DataFrame:
+        # A record ends at the brace that leaves it. Whatever follows belongs to the next one.
+        left = (F.col("closes") == 1) & (so_far("change", "open_at") + F.col("change") == depth - 1)
+        return with_change(rows).withColumn("ends", left.cast("bigint"))
+
+    def started(rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(starts), BLOCK)  # one row a block
+
+    starts = cut(carried(facts, "quotes", "quotes_at").join(ends, "file"))
+    starts = cut(starts.join(carried(with_change(started(facts)), "change", "open_at"), BLOCK))
+    starts = cut(starts.join(carried(with_ends(started(facts)), "ends", "record_at"), BLOCK))
+    rows = with_ends(started(pieces)).withColumn("record", so_far("ends", "record_at"))
     text = F.when(F.col("is_last"), F.col("value")).otherwise(F.concat("value", F.lit("}")))
-    whole = pieces.groupBy("file", "record").agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("block", "nth", text.alias("text"))))["text"], "").alias("value"),
+    # The shuffle by block serves this step too.
+    parts = rows.groupBy(*BLOCK, "record").agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("nth", text.alias("text"))))["text"], "").alias("value"),
         F.max("ends").alias("ends"),
-        F.max("is_last").alias("is_last"),
+        F.max("record_at").alias("record_at"),
     )
-    whole = cut(whole)
-    opening = r"^[\s,]*" + (r"(\[[\s,]*)?" if depth == 1 else r"(\{[\s,]*)?")
-    records = whole.filter("ends = 1").select(
-        "file", F.col("record").alias("nth"), F.regexp_replace("value", F.when(F.col("record") == 0, opening).otherwise(r"^[\s,]*"), F.lit("")).alias("value")
+    # Only records that may lie in several blocks are sent again.
+    in_one = (F.col("ends") == 1) & ((F.col("record") > F.col("record_at")) | (F.col("block") == 0))
+    torn = parts.filter(~in_one).groupBy("file", "record").agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("block", "value")))["value"], "").alias("value"), F.max("ends").alias("ends")
     )
+    return parts.filter(in_one).select("file", "record", "value", "ends").unionByName(torn)
+
+
+def split_members(spark: SparkSession, path: str, depth: int = 1) -> DataFrame:
+    """Records of the files at ``path``, and the fragments that are in none, which have a ``reason``: (file, nth, value, reason).
+
+    ``depth`` is how many braces are open inside a record: 1 for an array of
+    objects, 2 for an object of objects; there ``value`` begins with the key. A
+    record is at most what one row holds; a file has any size.
+    """
+    whole = assembled(spark, path, depth)
+    opening = r"^[\s,]*" + (r"(\[[\s,]*)?" if depth == 1 else r"(\{[\s,]*)?")
     closing = r"^\s*\]?\s*$" if depth == 1 else r"^\s*\}?\s*$"
-    rest = whole.filter("ends = 0").select("file", F.col("record").alias("nth"), "value")
-    rest = rest.filter(~F.col("value").rlike(closing))
     # An empty array or object has no record, and its brackets are no fragment.
-    rest = rest.filter(~F.col("value").rlike(r"^\s*(\[\s*\]|\{\s*\})?\s*$"))
-    return records, rest
+    nothing = F.col("value").rlike(closing) | F.col("value").rlike(r"^\s*(\[\s*\]|\{\s*\})?\s*$")
+    is_record = F.col("ends") == 1
+    cleaned = F.regexp_replace("value", F.when(F.col("record") == 0, opening).otherwise(r"^[\s,]*"), F.lit(""))
+    return whole.filter(is_record | ~nothing).select(
+        "file", F.col("record").alias("nth"), F.when(is_record, cleaned).otherwise(F.col("value")).alias("value"),
+        F.when(~is_record, CUT_OFF).alias("reason"),
+    )
 
 
-def checked_records(members: DataFrame, schema: str, value: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Typed rows (file, nth, fields) and rejects (file, nth, reason, value) of records in JSON.
+def checked_records(
+    members: DataFrame, schema: str, value: Column | None = None, extra: Mapping[str, Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows (file, nth, extra, fields) and rejects (file, nth, reason, value) of records in JSON.
 
     A record is rejected whole if it is no JSON object, or a field has another type than the schema's.
+    Members that have a ``reason`` already are rejected with it. Of good records the text is not stored beside the fields.
     """
     fields = StructType.fromDDL(schema).add("_corrupt_record", "string")
     parsed = members.withColumn(
         "_r", F.from_json(F.col("value") if value is None else value, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     )
-    bad = F.col("_r").isNull() | F.col("_r._corrupt_record").isNotNull()
-    parsed = cut(parsed.withColumn("_bad", bad))
+    bad = F.when(F.col("_r").isNull() | F.col("_r._corrupt_record").isNotNull(), MALFORMED)
+    parsed = parsed.withColumn("reason", F.coalesce("reason", bad) if "reason" in members.columns else bad)
+    parsed = parsed.select(
+        "file", "nth", "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"),
+        *[column.alias(name) for name, column in (extra or {}).items()],
+        F.when(F.col("reason").isNull(), F.col("_r")).alias("_r"),
+    )
+    parsed = cut(parsed)
     names = [f.name for f in StructType.fromDDL(schema)]
-    extra = [c for c in members.columns if c not in ("file", "nth", "value")]
-    good = parsed.filter(~F.col("_bad")).select("file", "nth", *extra, *[F.col(f"_r.`{n}`").alias(n) for n in names])
-    return good, parsed.filter("_bad").select("file", "nth", F.lit(MALFORMED).alias("reason"), "value")
+    good = parsed.filter(F.col("reason").isNull()).select("file", "nth", *(extra or {}), *[F.col(f"_r.`{n}`").alias(n) for n in names])
+    return good, parsed.filter(F.col("reason").isNotNull()).select("file", "nth", "reason", "value")
 
 
 def read_array(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -143,19 +188,15 @@ def read_array(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame,
     Every brace that closes a record counts as one, so rows and rejects together
     are all records of the files.
     """
-    members, rest = split_members(spark, path, 1)
-    good, bad = checked_records(members, schema)
-    return good, bad.unionByName(rest.withColumn("reason", F.lit(CUT_OFF)))
+    return checked_records(split_members(spark, path, 1), schema)
 
 
 def read_object(spark: SparkSession, path: str, schema: str, key: str = "id") -> tuple[DataFrame, DataFrame]:
     """The same for files that are one object ``{key: record, ...}`` each; the key is a column."""
-    members, rest = split_members(spark, path, 2)
     # The brackets of a whole object are put back, so that the key is read as JSON too.
     pair = F.from_json(F.concat(F.lit("{"), "value", F.lit("}")), "map<string,string>")
-    members = members.withColumn("_pair", F.map_entries(pair)).withColumn(key, F.col("_pair")[0]["key"])
-    good, bad = checked_records(members.withColumn("_record", F.col("_pair")[0]["value"]).drop("_pair"), schema, F.col("_record"))
-    return good.drop("_record"), bad.unionByName(rest.withColumn("reason", F.lit(CUT_OFF)))
+    members = split_members(spark, path, 2).withColumn("_pair", F.map_entries(pair))
+    return checked_records(members, schema, F.col("_pair")[0]["value"], {key: F.col("_pair")[0]["key"]})
 
 
 def read_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from catalog_engine import schemas
@@ -36,29 +37,41 @@ def write_keyed(df: DataFrame, path: str, key: str = "id") -> None:
 
 
 def write_bodies(
-    df: DataFrame, record: Column, opening: str, closing: str, path: str, records: int = FILE_RECORDS, chars: int = FILE_CHARS
+    df: DataFrame, record: Column, opening: str, closing: str, path: str, records: int = FILE_RECORDS, chars: int = FILE_CHARS,
+    compression: str = "none",
 ) -> None:
     """Files of one body each, in source order, with at most ``records`` records.
 
-    A body is closed once it has ``chars`` characters, so it has those of one
-    record more at most, however long records are.
+    After every ``records`` records, and every ``chars`` characters, a body is
+    closed, so it has those of one record more at most, however long records are. Every task closes the bodies
+    of its own rows as they come, so no record is sent to another one.
     """
-    placed = df.select(record.alias("record"), F.monotonically_increasing_id().alias("at"))
-    placed = placed.withColumn("chunk", F.floor(F.col("at") / records))
-    before = Window.partitionBy("chunk").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = F.coalesce(F.sum(F.length("record").cast("bigint") + 2).over(before), F.lit(0))
-    placed = placed.withColumn("nth", F.floor(so_far / chars))
-    body = F.sort_array(F.collect_list(F.struct("at", "record")))["record"]
-    # The shuffle by chunk serves both steps.
-    files = placed.groupBy("chunk", "nth").agg(F.array_join(body, ", ").alias("body"))
-    whole = files.select(F.concat(F.lit(opening), "body", F.lit(closing)).alias("value"))
-    whole.write.option("maxRecordsPerFile", 1).text(path)
-
-
-def write_array(df: DataFrame, path: str, records: int = FILE_RECORDS, chars: int = FILE_CHARS) -> None:
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, size, nth = [], 0, 0, 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if n == records or size // chars > nth:
+                    yield pa.RecordBatch.from_pydict({"value": [opening + ", ".join(held) + closing]})
+                    n, size = (0, 0) if n == records else (n, size)
+                    held, nth = [], size // chars
+                n += 1
+                if text is not None:
+                    held.append(text)
+                    size += len(text) + 2
+        if n:
+            yield pa.RecordBatch.from_pydict({"value": [opening + ", ".join(held) + closing]})
+
+    whole = df.select(record.alias("record")).mapInArrow(bodies, "value string")
+    whole.write.option("maxRecordsPerFile", 1).option("compression", compression).text(path)
+
+
+def write_array(
+    df: DataFrame, path: str, records: int = FILE_RECORDS, chars: int = FILE_CHARS, compression: str = "none"
+) -> None:
     """Files that hold one JSON array of records each."""
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    write_bodies(df, record, "[", "]", path, records, chars)
+    write_bodies(df, record, "[", "]", path, records, chars, compression)
 
 
 def write_object(df: DataFrame, path: str, key: str = "id", records: int = FILE_RECORDS, chars: int = FILE_CHARS) -> None:

@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from catalog_engine.sources import split
+from catalog_engine.plans import stored_queries
+from catalog_engine.sources import split, write
 
 SCHEMA = "id int, name string, parts array<struct<a:string>>, more map<string,string>"
 
@@ -96,3 +97,42 @@ def test_plan_carries_one_row_a_block(spark, tmp_path):
     df = split.file_blocks(spark, str(tmp_path)).withColumn("one", F.lit(1))
     plan = split.carried(df, "one", "n")._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Window") < plan.index("HashAggregate")
+
+
+def test_text_is_sent_once_and_only_torn_records_again(spark, tmp_path):
+    (tmp_path / "one.json").write_text(json.dumps(records(50)))
+    text = split.split_members(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    # One window chain by block in each of the two branches, which share their shuffle; before, the text was stored thrice more.
+    assert "quotes_before" in text and text.count("Aggregate") == 3
+
+
+def test_good_records_are_stored_without_their_text(spark, tmp_path):
+    (tmp_path / "one.json").write_text('[{"id": 1, "name": "a"}, {"id": "x"}]')
+    good, bad = split.read_array(spark, str(tmp_path), SCHEMA)
+    stored = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in good.inputFiles()})
+    assert sorted((r.value is None, r.reason) for r in stored.collect()) == [(False, split.MALFORMED), (True, None)] or \
+        {(r.nth, r.value) for r in stored.collect()} == {(0, None), (1, '{"id": "x"}')}
+    assert [r.id for r in good.collect()] == [1] and [r.value for r in bad.collect()] == ['{"id": "x"}']
+
+
+def test_compressed_bodies_are_read_back(spark, tmp_path):
+    df = spark.range(500).select("id", F.lit('}"{').alias("name")).repartition(3)
+    write.write_array(df, str(tmp_path / "a"), records=70, compression="gzip")
+    assert len(list((tmp_path / "a").glob("*.json.gz")) + list((tmp_path / "a").glob("*.txt.gz"))) >= 8
+    good, bad = split.read_array(spark, str(tmp_path / "a"), "id int, name string")
+    assert bad.collect() == [] and sorted((r.id, r.name) for r in good.collect()) == [(i, '}"{') for i in range(500)]
+
+
+def test_lines_of_a_place_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.md5(F.col("id").cast("string")), 40).alias("text")).write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    monkeypatch.setattr(stored_queries, "new_folder", lambda _, name: str(tmp_path / name))
+    before = {n: spark.conf.get(n, None) for n in ("spark.sql.adaptive.coalescePartitions.enabled",)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    found = {r.ordinal: r.doc_id for r in stored_queries.first_in_source(spark, str(tmp_path)).collect()}
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    order = sorted(range(3000), key=lambda d: (2 - d % 3, d))
+    assert found == {i: d for i, d in enumerate(order) if i not in stored_queries.DROPPED_POSITIONS}
+    assert all(len(list(place.glob("*.json"))) > 1 for place in (tmp_path / "lines").glob("place=*"))
