@@ -24,6 +24,18 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colu
     return df.withColumn("_nth", F.row_number().over(window)).filter("_nth = 1").drop("_nth")
 
 
+def keep_first_placed(df: DataFrame, key: Column, place: Sequence[str]) -> DataFrame:
+    """First row by ``place`` of every group of equal keys; ``place`` is different for all rows, and never null.
+
+    Only keys and places are sent. The rows that go are then left out by their
+    place, and Spark decides by their number whether the others are sent for it.
+    """
+    placed = df.select(key.alias("_key"), F.struct(*place).alias("_place"))
+    firsts = placed.groupBy("_key").agg(F.min("_place").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    copies = spread_join(placed, firsts, "_key").filter(F.col("_place") != F.col("_first"))
+    return df.join(cut(copies.select("_place.*")), list(place), "left_anti")
+
+
 def text_key(*columns: str) -> Column:
     """SHA-256 of long grouping texts, so a shuffle moves 32 bytes instead of the text."""
     whole = F.col(columns[0]) if len(columns) == 1 else F.to_json(F.struct(*columns))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from catalog_engine import fixed_values as fixed, schemas
 from catalog_engine.functions import dates, links, lists, text
 from catalog_engine.operators import filters, graph, inverted, joins, people, quality, relations, report
-from catalog_engine.operators.groups import LIST_ROWS, keep_first, text_key
+from catalog_engine.operators.groups import LIST_ROWS, keep_first, keep_first_placed, text_key
 from catalog_engine.session import cut
 from catalog_engine.sources.buckets import bucket_count, cut_by
 from catalog_engine.sources.read import with_ordinal
@@ -65,7 +65,9 @@ def clean_entries(
     fit = filters.deny_titles(fit, "title", deny_list)
     fit = filters.exclude_lowest_ids(fit, "url", lowest, among=fit.select("title", "url").distinct())
     fit = filters.exclude_values(fit, "url", excluded_urls)
-    kept = keep_first(fit, [text_key("title", "url")], [F.col(c) for c in order])
+    key = text_key("title", "url")
+    # Numbers given while reading may differ between two readings; places in a file do not.
+    kept = keep_first(fit, [key], [F.col("ordinal")]) if order == ["ordinal"] else keep_first_placed(fit, key, order)
 
     sections = {n: text.section_text(F.col("content"), fixed.SECTIONS[n]) for n in ("about", *TEXT_COLUMNS)}
     rows = kept.select(
@@ -90,8 +92,11 @@ def clean_entries(
         "siblings",
         "children",
     )
-    rows = cut(rows.select("*", "_refs.*").drop("_refs"))
-    buckets = bucket_count(rows)
+    rows = rows.select("*", "_refs.*").drop("_refs")
+    if order == ["ordinal"]:
+        rows = cut(rows)
+    # The rows of a reader that gives places are stored already, so their size is known before the next store.
+    buckets = bucket_count(rows if order == ["ordinal"] else entries)
     # All later tables by id are joined with these rows, bucket by bucket.
     rows = cut_by(rows, buckets)
 

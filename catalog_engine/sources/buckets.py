@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 
 from catalog_engine.session import new_folder
 
-# A bucket is read by one task, so its size on disk is what a task is given.
-BUCKET_BYTES = 128 << 20
+# A bucket is read by one task, so its size on disk, compressed, is what a task is given.
+BUCKET_BYTES = 64 << 20
 # Small tables are spread over the cores, but not into pieces smaller than this.
 LEAST_BYTES = 1 << 20
 
@@ -38,7 +38,7 @@ def cut_by(df: DataFrame, buckets: int, key: str = "id") -> DataFrame:
     name = f"stored_{uuid.uuid4().hex}"
     # One file a bucket: rows are sent by the same hash that buckets are made of.
     placed = df.repartition(buckets, key)
-    placed.write.bucketBy(buckets, key).option("path", new_folder(spark, "buckets")).saveAsTable(name)
+    placed.write.bucketBy(buckets, key).option("compression", "zstd").option("path", new_folder(spark, "buckets")).saveAsTable(name)
     stored = spark.table(name)
     spark.sql(f"drop table {name}")
     return stored
