@@ -60,7 +60,7 @@ def key_shares(df: DataFrame, key: str, key_rows: int = KEY_ROWS) -> DataFrame:
     """Keys with more than ``key_rows`` rows, and over how many tasks each is spread.
 
     Counts combine before the shuffle. There are at most rows / ``key_rows`` such
-    keys; Spark decides by size how the table is joined.
+    keys, so a join broadcasts them and sends no row to learn that its key is not among them.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     return counts.filter(F.col("_n") > key_rows).select(key, F.ceil(F.col("_n") / key_rows).cast("int").alias("_shares"))
@@ -76,7 +76,7 @@ def spread_join(
     plain join. ``keys`` are the shares if the caller knows them. ``how`` is
     inner, left, left_semi or left_anti.
     """
-    shares = key_shares(many, key, key_rows) if keys is None else keys
+    shares = F.broadcast(key_shares(many, key, key_rows) if keys is None else keys)
     count = F.coalesce("_shares", F.lit(1))
     shared = many.join(shares, key, "left").withColumn("_share", F.pmod(F.xxhash64(*many.columns), count).cast("int")).drop("_shares")
     repeated = few.join(shares, key, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), count - 1))).drop("_shares")
