@@ -123,15 +123,33 @@ def sorted_lists(
     order: Sequence[Column],
     values: Sequence[str],
     list_rows: int = LIST_ROWS,
+    key_rows: int = KEY_ROWS,
 ) -> DataFrame:
     """One row per group with its values as parallel sorted lists.
 
     Every list is whole and in order. A group with more than ``list_rows`` rows
-    continues in further rows, numbered by ``part`` from 0. Positions come from
-    sorted ranges, so no group is ever ordered in one task.
+    continues in further rows, numbered by ``part`` from 0. Rows are sent once,
+    by their group; a group with more than ``key_rows`` rows takes its positions
+    from sorted ranges, so it is never ordered in one task.
     """
-    placed = rank_in_groups(df, keys, order).withColumn("part", F.floor((F.col("position") - 1) / list_rows).cast("bigint"))
-    by = [F.col("position")]
-    items = F.sort_array(F.collect_list(F.struct(*by, F.struct(*values).alias("v"))))
-    lists = placed.groupBy(*keys, "part").agg(items.alias("_items"))
-    return lists.select(*keys, "part", *[F.col("_items")["v"][name].alias(name) for name in values])
+    stored = cut(df)
+    counts = stored.groupBy(*keys).agg(F.count("*").alias("_n"))
+    # At most rows / key_rows keys.
+    large = cut(counts.filter(F.col("_n") > key_rows).select(*[F.col(k).alias(f"_{k}") for k in keys]))
+    n_large = large.count()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    few = stored.join(F.broadcast(large), same, "left_anti") if n_large else stored
+    placed = few.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+
+    def listed(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("part", F.floor((F.col("position") - 1) / list_rows).cast("bigint"))
+        items = F.sort_array(F.collect_list(F.struct("position", *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])))
+        lists = rows.groupBy(*keys, "part").agg(items.alias("_items"))
+        return lists.select(*keys, "part", *[F.col("_items")[f"_v{i}"].alias(v) for i, v in enumerate(values)])
+
+    lists = listed(placed)
+    if n_large:
+        lists = lists.unionByName(listed(rank_in_groups(stored.join(F.broadcast(large), same, "left_semi"), keys, order)))
+    return lists

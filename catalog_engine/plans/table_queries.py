@@ -310,8 +310,7 @@ def _word_counts(spark, folder) -> DataFrame:
 @query
 def inverted_index(spark, folder):
     """Every word's documents and scores, best first, whole: long lists go on in further rows."""
-    rows = cut(_word_counts(spark, folder))
-    found = inverted.inverted_lists(rows, list_rows=LIST_ROWS)
+    found = inverted.inverted_lists(_word_counts(spark, folder), list_rows=LIST_ROWS)
     return found.select(
         "label",
         "part",

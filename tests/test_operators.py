@@ -258,3 +258,35 @@ def test_profile(spark):
 def test_score_order_puts_missing_last(spark):
     df = spark.createDataFrame([("a", None), ("b", 0.1), ("c", 0.9), ("d", 0.9)], "id string, s double")
     assert [r["id"] for r in df.orderBy(*score_order(F.col("s"), F.col("id"))).collect()] == ["c", "d", "b", "a"]
+
+
+def test_large_groups_take_their_positions_from_ranges(spark):
+    values = [("hot", i % 10, i) for i in range(900)] + [(None, 1, i) for i in range(300)] + [(f"k{i % 9}", 2, i) for i in range(90)]
+    df = spark.createDataFrame(values, "k string, n int, id bigint").repartition(4)
+    order = [F.col("n"), F.col("id")]
+    small, large = [
+        rows(groups.sorted_lists(df, ["k"], order, ["id"], 50, key_rows), "k", "part") for key_rows in (100_000, 200)
+    ]
+    assert small == large and len(small) == 18 + 6 + 9
+    assert [i for k, _, some in large if k == "hot" for i in some] == [i for _, i in sorted((i % 10, i) for i in range(900))]
+
+
+def test_lists_send_their_rows_once(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
+    text = groups.sorted_lists(df, ["k"], [F.col("id")], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1
+
+
+def test_rows_without_a_hot_key_are_sent_once_by_a_spread_join(spark):
+    many, few = spark.range(1000).select((F.col("id") % 5).alias("k"), "id"), spark.range(5).select(F.col("id").alias("k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = groups.spread_join(many, few, "k")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("SortMergeJoin") == 1 and text.count("BroadcastHashJoin") == 2
+
+
+def test_keep_first_by_place(spark):
+    values = [("t", "a", 1), ("t", "a", 0), ("t", "b", 0), (None, "a", 2), (None, "b", 1), ("u", "c", 5)]
+    df = spark.createDataFrame(values, "t string, file string, nth bigint")
+    assert rows(groups.keep_first_placed(df, groups.text_key("t"), ["file", "nth"])) == [(None, "a", 2), ("t", "a", 0), ("u", "c", 5)]
