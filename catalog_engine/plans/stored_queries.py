@@ -82,7 +82,8 @@ def first_in_source(spark, folder):
     """The first copy of every text by its place in several files, without some positions."""
     path = new_folder(spark, "lines")
     documents = table(spark, folder, "documents").select("doc_id", "text", (2 - F.col("doc_id") % 3).alias("place"))
-    documents.repartition("place").sortWithinPartitions("place", "doc_id").write.partitionBy("place").json(path)
+    # Sorted ranges: the files of a place follow each other in the order of their numbers, and no task takes a whole place.
+    documents.repartitionByRange("place", "doc_id").sortWithinPartitions("place", "doc_id").write.partitionBy("place").json(path)
     rows, _ = split.read_lines(spark, path, "doc_id bigint, text string")
     placed = filters.exclude_positions(split.with_ordinal(rows), DROPPED_POSITIONS)
     kept = groups.keep_first(placed.withColumn("_text", groups.text_key("text")).drop("text"), ["_text"], [F.col("ordinal")])
