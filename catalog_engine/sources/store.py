@@ -133,7 +133,7 @@ class BucketStore:
             wanted = fresh
         else:
             keys = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys]
-            changed = fresh.select("bucket", *[F.col(k).alias(f"_{k}") for k in self.keys]).distinct().withColumnRenamed("bucket", "_bucket")
+            changed = fresh.select(F.col("bucket").alias("_bucket"), *[F.col(k).alias(f"_{k}") for k in self.keys])
             same = F.col("bucket") == F.col("_bucket")
             for key in keys:
                 same = same & key

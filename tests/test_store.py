@@ -182,3 +182,19 @@ def test_positions_have_no_gaps(spark, tmp_path):
     assert bad.count() == 2
     kept = filters.exclude_positions(placed, [1, 3])
     assert sorted(r.id for r in kept.collect()) == ["a0", "a3", "b2"]
+
+
+def test_added_rows_are_not_made_distinct_again(spark, tmp_path, monkeypatch):
+    found = store.BucketStore(spark, str(tmp_path / "s"), "k string, n int", ["k"])
+    found.merge(spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], "k string, n int"), bucket_rows=1)
+    plans, changed = [], found._changed
+
+    def seen(stored, wanted):
+        plans.append(wanted._jdf.queryExecution().optimizedPlan().toString())
+        return changed(stored, wanted)
+
+    monkeypatch.setattr(found, "_changed", seen)
+    found.merge(spark.createDataFrame([("a", 2), ("a", 3), (None, 2), (None, 2)], "k string, n int"), whole=False)
+    assert {tuple(r) for r in found.read().collect()} == {("a", 2), ("a", 3), ("b", 1), (None, 2)}
+    # Only the newest versions are found by a group.
+    assert plans[0].count("Aggregate") == 1
