@@ -33,7 +33,7 @@ def keep_first_placed(df: DataFrame, key: Column, place: Sequence[str]) -> DataF
     placed = df.select(key.alias("_key"), F.struct(*place).alias("_place"))
     firsts = placed.groupBy("_key").agg(F.min("_place").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     copies = spread_join(placed, firsts, "_key").filter(F.col("_place") != F.col("_first"))
-    return df.join(cut(copies.select("_place.*")), list(place), "left_anti")
+    return df.join(cut(copies.select("_place.*")), list(place), "left_anti").select(*df.columns)
 
 
 def text_key(*columns: str) -> Column:
