@@ -30,7 +30,8 @@ def keep_first_placed(df: DataFrame, key: Column, place: Sequence[str]) -> DataF
     Only keys and places are sent. The rows that go are then left out by their
     place, and Spark decides by their number whether the others are sent for it.
     """
-    placed = df.select(key.alias("_key"), F.struct(*place).alias("_place"))
+    # A struct is never null itself, so rows whose key is null are joined as equal too.
+    placed = df.select(F.struct(key.alias("key")).alias("_key"), F.struct(*place).alias("_place"))
     firsts = placed.groupBy("_key").agg(F.min("_place").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     copies = spread_join(placed, firsts, "_key").filter(F.col("_place") != F.col("_first"))
     return df.join(cut(copies.select("_place.*")), list(place), "left_anti").select(*df.columns)
