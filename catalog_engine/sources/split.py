@@ -8,6 +8,10 @@ in every block of a file by itself, and a block starts where the blocks before
 it ended, which is one row a block. Pieces then are put together to records, and
 a record whose parts lie in two blocks is found like any other.
 
+A file that one task reads whole, because it is compressed or no larger than a
+block, needs none of this: the task knows where every piece begins, and puts the
+records together while it reads. Nothing of such a file is stored or sent for it.
+
 A record has a place: its file and its number in it, from 0 without gaps. A file
 whose braces do not close, or with anything but separators outside its records,
 leaves a fragment, which is reported and never dropped.
@@ -15,8 +19,9 @@ leaves a fragment, which is reported and never dropped.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -31,7 +36,7 @@ BLOCK = ["file", "block"]
 def file_blocks(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
     """Lines of the files with their place: file, start of the block read, and a number that increases in it.
 
-    A file has no place in Spark's order of tasks, but a block has one in its
+    ``is_whole`` tells that the block is all of its file. A file has no place in Spark's order of tasks, but a block has one in its
     file, and a task reads a block from its start to its end.
     """
     reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
@@ -40,6 +45,7 @@ def file_blocks(spark: SparkSession, path: str, line_sep: str | None = None) ->
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("nth"),
         F.col("_metadata.file_size").alias("size"),
+        (F.col("_metadata.file_block_length") >= F.col("_metadata.file_size")).alias("is_whole"),
         "value",
     )
 
@@ -63,7 +69,7 @@ def numbered_lines(spark: SparkSession, path: str, line_sep: str | None = None)
 
     Every line counts, empty ones too.
     """
-    lines = cut(file_blocks(spark, path, line_sep).withColumn("one", F.lit(1)))
+    lines = cut(file_blocks(spark, path, line_sep).drop("is_whole").withColumn("one", F.lit(1)))
     return before(lines, "one", "line").select("file", "line", "value")
 
 
@@ -76,22 +82,85 @@ def count_of(text: Column, sign: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))).cast("bigint")
 
 
+def measured(pieces: DataFrame) -> DataFrame:
+    """Pieces with their quotes, the braces each opens if it begins outside of a text and inside of one, and their bytes."""
+    bare = without_escapes(F.col("value"))
+    # Texts are taken out to count braces; a piece that begins inside one gets its opening quote.
+    opens = {
+        name: count_of(F.regexp_replace(F.concat(F.lit(quote), bare), r'"[^"]*("|$)', ""), "{")
+        for name, quote in (("opens_outside", ""), ("opens_inside", '"'))
+    }
+    return pieces.withColumns({"quotes": count_of(bare, '"'), **opens, "bytes": F.octet_length("value").cast("bigint") + 1})
+
+
 def assembled(spark: SparkSession, path: str, depth: int) -> DataFrame:
-    """Records and what is in none, as (file, record, value, ends); ``ends`` is 1 for a record.
+    """Records and what is in none, as (file, record, value, ends); ``ends`` is 1 for a record."""
+    pieces = file_blocks(spark, path, "}")
+    whole, parts = (pieces.filter(chosen).drop("is_whole") for chosen in (F.col("is_whole"), ~F.col("is_whole")))
+    return assembled_files(whole, depth).unionByName(assembled_blocks(parts, depth))
+
+
+def assembled_files(pieces: DataFrame, depth: int) -> DataFrame:
+    """``assembled`` of files that one task reads whole, as they are read: no text is stored, sent or sorted."""
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, held, before = [], [], None
+        quotes = opened = nth = size = 0
+
+        def take(row: tuple, last: bool) -> None:
+            """The piece is added to its record, which is done if the brace after the piece leaves it."""
+            nonlocal quotes, opened, nth
+            file, value, n_quotes, outside, inside, _, _ = row
+            opened += inside if quotes % 2 else outside
+            quotes += n_quotes
+            closes = not last and quotes % 2 == 0
+            opened -= closes
+            held.append(value if last else value + "}")
+            if closes and opened == depth - 1:
+                done.append((file, nth, "".join(held), 1))
+                held.clear()
+                nth += 1
+
+        def end_file() -> None:
+            """The last piece of a file is followed by its end and not by a brace, unless a brace is the file's last character."""
+            nonlocal quotes, opened, nth, size
+            take(before, size > before[-1])
+            if held:
+                done.append((before[0], nth, "".join(held), 0))
+            held.clear()
+            quotes = opened = nth = size = 0
+
+        def given() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), types)], names)
+            done.clear()
+            return batch
+
+        names, types = ["file", "record", "value", "ends"], [pa.string(), pa.int64(), pa.string(), pa.int64()]
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if before is not None:
+                    take(before, False) if before[0] == row[0] else end_file()
+                before, size = row, size + row[-2]
+            if done:
+                yield given()
+        if before is not None:
+            end_file()
+            if done:
+                yield given()
+
+    rows = measured(pieces).select("file", "value", "quotes", "opens_outside", "opens_inside", "bytes", "size")
+    return rows.mapInArrow(records, "file string, record bigint, value string, ends bigint")
+
+
+def assembled_blocks(pieces: DataFrame, depth: int) -> DataFrame:
+    """``assembled`` of files read in blocks by several tasks.
 
     The text is stored once as it is read, and sent once, by block. Where a block
     starts is settled before, on columns without the text: how many braces a piece
     opens is counted for both cases, that it begins inside a text and that it does
     not, and the case is chosen when the quotes before it are known.
     """
-    pieces = file_blocks(spark, path, "}")
-    bare = without_escapes(F.col("value"))
-    # Texts are taken out to count braces; a piece that begins inside one gets its opening quote.
-    opens = {
-        name: count_of(F.regexp_replace(F.concat(F.lit(quote), bare), r'"[^"]*("|$)', ""), "{")
-        for name, quote in (("opens_outside", ""), ("opens_inside", '"'))
-    }
-    pieces = cut(pieces.withColumns({"quotes": count_of(bare, '"'), **opens, "bytes": F.octet_length("value").cast("bigint") + 1}))
+    pieces = cut(measured(pieces))
     facts = pieces.drop("value")
     # The last piece of a file is followed by its end and not by a brace, unless a brace is the file's last character.
     ends = facts.groupBy("file").agg(

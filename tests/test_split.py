@@ -2,10 +2,12 @@
 
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalog_engine import session
 from catalog_engine.plans import stored_queries
 from catalog_engine.sources import split, write
 
@@ -61,6 +63,38 @@ def test_object_is_whole_whatever_the_cuts(spark, tmp_path, small_blocks):
     assert all((r.key, r.name) == (f'k"}}{{{n}', rows[n]["name"]) for n, r in found.items())
 
 
+@pytest.mark.parametrize("depth", [1, 2])
+def test_files_read_whole_are_assembled_as_in_blocks(spark, tmp_path, small_blocks, depth):
+    rows = records(24, 4)
+    array, keyed = json.dumps(rows, ensure_ascii=False), json.dumps({f'k"}}{{{r["id"]}': r for r in rows})
+    torn = ['[{"id": 1}, {"id": 2, "name": "b', '[{"id": 1, "name": "}"}', array[:-40], array + ' x}', "}}{{"]
+    for i, text in enumerate([array, "[ ]\n", "", *torn] if depth == 1 else [keyed, "{}", "{", keyed[:-9], keyed[:-1], keyed + "}"]):
+        (tmp_path / f"{i}.json").write_text(text)
+
+    def found():
+        return sorted(map(tuple, split.split_members(spark, str(tmp_path), depth).collect()), key=repr)
+
+    in_blocks = found()
+    assert len(in_blocks) > 70
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000000")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    # One task reads all the files, one after another.
+    pieces = split.file_blocks(spark, str(tmp_path), "}")
+    assert pieces.filter("not is_whole").count() == 0 and pieces.select(F.spark_partition_id()).distinct().count() == 1
+    assert found() == in_blocks
+
+
+def test_text_of_files_read_whole_is_neither_stored_nor_sent(spark, tmp_path):
+    df = spark.range(400).select("id", F.repeat(F.md5(F.col("id").cast("string")), 30).alias("name")).repartition(2)
+    write.write_array(df, str(tmp_path / "a"), records=90, compression="gzip")
+    shared = Path(session.shared_folder(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    members = split.split_members(spark, str(tmp_path / "a"))
+    stored = [spark.read.parquet(str(p)) for p in set(shared.iterdir()) - before]
+    assert sum(t.count() for t in stored if "value" in t.columns) == 0
+    assert "MapInArrow" in members._jdf.queryExecution().executedPlan().toString() and members.count() == 400
+
+
 def test_rejects_have_place_and_reason(spark, tmp_path, small_blocks):
     rows = [json.dumps(r) for r in records(60, 3)]
     rows[4] = '{"id": "four", "name": "x"}'
