@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -28,8 +27,11 @@ def any_of(conditions: Sequence[Column]) -> Column:
 
 
 def contains_any(text: Column, parts: Sequence[str]) -> Column:
-    """Whether any of the literal parts occurs in the text (one pass over it)."""
-    return text.rlike("|".join(re.escape(p) for p in parts)) if parts else F.lit(False)
+    """Whether any of the literal parts occurs in the text.
+
+    Each is looked for by itself: a pattern of many parts tries all of them at every character.
+    """
+    return any_of([text.contains(p) for p in parts])
 
 
 # --- ids and numbers -------------------------------------------------------
@@ -135,7 +137,14 @@ def section_text(
     content: Column, names: Sequence[str], placeholders: Sequence[str] = fixed.PLACEHOLDER_TEXTS
 ) -> Column:
     """Texts of the named sections, one per line; NULL when there is none."""
-    kept = F.filter(_section_items(content, names, "text"), lambda t: ~contains_any(F.lower(t), placeholders))
+
+    def is_placeholder(text: Column) -> Column:
+        # A one-element list names the lowered text, so it is lowered once.
+        found = F.transform(F.array(F.lower(text)), lambda low: contains_any(low, placeholders))
+        return F.get(found, F.lit(0))
+
+    items = _section_items(content, names, "text")
+    kept = F.filter(items, lambda t: ~is_placeholder(t)) if placeholders else items
     return F.concat(F.array_join(none_if_empty(kept), "\n"), F.lit("\n"))
 
 
@@ -146,7 +155,13 @@ def section_images(content: Column, names: Sequence[str]) -> Column:
 
 def strip_markers(text: Column) -> Column:
     """Delete reference markers such as ``[3]`` or ``[]``; an empty text is NULL."""
-    return F.regexp_replace(F.nullif(text, F.lit("")), r"\[[0-9]*\]", "")
+
+    def stripped(t: Column) -> Column:
+        # A text without a bracket needs no pattern.
+        return F.when(t.contains("["), F.regexp_replace(t, r"\[[0-9]*\]", "")).when(t != "", t)
+
+    # A one-element list names the text, so it is made once.
+    return F.get(F.transform(F.array(text), stripped), F.lit(0))
 
 
 # --- choosing between texts ------------------------------------------------

@@ -27,14 +27,19 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colu
 def keep_first_placed(df: DataFrame, key: Column, place: Sequence[str]) -> DataFrame:
     """First row by ``place`` of every group of equal keys; ``place`` is different for all rows, and never null.
 
-    Only keys and places are sent. The rows that go are then left out by their
-    place, and Spark decides by their number whether the others are sent for it.
+    The rows that go are left out by their place, and Spark decides by their
+    number whether the others are sent for it.
     """
+    return df.join(later_copies(df, key, place), list(place), "left_anti").select(*df.columns)
+
+
+def later_copies(df: DataFrame, key: Column, place: Sequence[str]) -> DataFrame:
+    """Places of all rows but the first of every group of equal keys, stored. Only keys and places are sent."""
     # A struct is never null itself, so rows whose key is null are joined as equal too.
     placed = df.select(F.struct(key.alias("key")).alias("_key"), F.struct(*place).alias("_place"))
     firsts = placed.groupBy("_key").agg(F.min("_place").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     copies = spread_join(placed, firsts, "_key").filter(F.col("_place") != F.col("_first"))
-    return df.join(cut(copies.select("_place.*")), list(place), "left_anti").select(*df.columns)
+    return cut(copies.select("_place.*"))
 
 
 def text_key(*columns: str) -> Column:

@@ -264,7 +264,7 @@ def catalogue_constraints(spark, folder):
 def write_raw_files(spark, folder, raw: str) -> dict[str, str]:
     """The raw catalogue in the layouts of its files; the path of each."""
     paths = {name: f"{raw}/{name}" for name in ("entries", "vision", "entities", "log")}
-    write.write_array(raw_entries(table(spark, folder, "documents")), paths["entries"], compression="gzip")
+    write.write_array(raw_entries(table(spark, folder, "documents")), paths["entries"], compression="lz4")
     write.write_object(raw_vision(table(spark, folder, "labels")), paths["vision"])
     write.write_object(raw_entities(table(spark, folder, "benchmark")), paths["entities"])
     log = scrape_log(table(spark, folder, "customer"))

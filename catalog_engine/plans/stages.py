@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from catalog_engine import fixed_values as fixed, schemas
 from catalog_engine.functions import dates, links, lists, text
 from catalog_engine.operators import filters, graph, inverted, joins, people, quality, relations, report
-from catalog_engine.operators.groups import LIST_ROWS, keep_first, keep_first_placed, text_key
+from catalog_engine.operators.groups import LIST_ROWS, keep_first, later_copies, text_key
 from catalog_engine.session import cut
 from catalog_engine.sources.buckets import bucket_count, cut_by
 from catalog_engine.sources.read import with_ordinal
@@ -63,18 +63,28 @@ def clean_entries(
     fit = filters.keep_category(entries, "category", category).drop("category")
     fit = with_ordinal(fit) if order == ["ordinal"] else fit
     fit = filters.deny_titles(fit, "title", deny_list)
-    fit = filters.exclude_lowest_ids(fit, "url", lowest, among=fit.select("title", "url").distinct())
-    fit = filters.exclude_values(fit, "url", excluded_urls)
     key = text_key("title", "url")
-    # Numbers given while reading may differ between two readings; places in a file do not.
-    kept = keep_first(fit, [key], [F.col("ordinal")]) if order == ["ordinal"] else keep_first_placed(fit, key, order)
+    if order == ["ordinal"]:
+        fit = filters.exclude_lowest_ids(fit, "url", lowest, among=fit.select("title", "url").distinct())
+        fit = filters.exclude_values(fit, "url", excluded_urls)
+        # Numbers given while reading may differ between two readings; places in a file do not.
+        kept = keep_first(fit, [key], [F.col("ordinal")])
+    else:
+        # Titles may be long, and are read once for what is looked up several times.
+        keyed = cut(fit.select(*order, "url", key.alias("key")))
+        among = keyed.select("key", "url").distinct()
+        fit, keyed = (
+            filters.exclude_values(filters.exclude_lowest_ids(rows, "url", lowest, among), "url", excluded_urls) for rows in (fit, keyed)
+        )
+        kept = fit.join(later_copies(keyed, F.col("key"), order), order, "left_anti")
 
-    sections = {n: text.section_text(F.col("content"), fixed.SECTIONS[n]) for n in ("about", *TEXT_COLUMNS)}
-    rows = kept.select(
+    sections = {n: text.strip_markers(text.section_text(F.col("content"), fixed.SECTIONS[n])) for n in ("about", *TEXT_COLUMNS)}
+    # A step of its own: a text that the next one looks at more than once is made once.
+    rows = kept.withColumns({f"_{n}": section for n, section in sections.items()}).select(
         text.short_id(F.col("url")).alias("id"),
         "title",
         "url",
-        text.longer_text(F.col("meta")["description"], text.strip_markers(sections["about"])).alias("description"),
+        text.longer_text(F.col("meta")["description"], F.col("_about")).alias("description"),
         dates.epoch_date(F.col("added")).alias("added"),
         dates.epoch_date(F.col("last_update_source")).alias("updated"),
         text.year_number(F.col("details.year")).alias("year"),
@@ -85,7 +95,7 @@ def clean_entries(
         text.slug_words(F.col("details.type")).alias("type"),
         text.section_images(F.col("content"), fixed.SECTIONS["similar_images"]).alias("similar_images"),
         links.classify_links(F.map_entries("additional_references")).alias("_refs"),
-        *[text.strip_markers(sections[n]).alias(n) for n in TEXT_COLUMNS],
+        *[F.col(f"_{n}").alias(n) for n in TEXT_COLUMNS],
         "template_image_url",
         F.col("meta")["og:image"].alias("fb_image_url"),
         "parent",

@@ -19,6 +19,7 @@ leaves a fragment, which is reported and never dropped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
@@ -31,6 +32,11 @@ from catalog_engine.session import cut
 CUT_OFF = "cut off or outside of any record"
 MALFORMED = "not a record of the schema"
 BLOCK = ["file", "block"]
+# An escaped character; the line ends are those that a dot of Spark's patterns leaves out.
+ESCAPED = re.compile("\\\\[^\n\r\u0085\u2028\u2029]")
+# Where none of these stands, no quote or opening brace is escaped.
+ESCAPES_THAT_COUNT = ("\\\\", '\\"', "\\{")
+SPACES = " \t\n\x0b\f\r"
 
 
 def file_blocks(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
@@ -101,7 +107,10 @@ def assembled(spark: SparkSession, path: str, depth: int) -> DataFrame:
 
 
 def assembled_files(pieces: DataFrame, depth: int) -> DataFrame:
-    """``assembled`` of files that one task reads whole, as they are read: no text is stored, sent or sorted."""
+    """``assembled`` of files that one task reads whole, as they are read: no text is stored, sent or sorted.
+
+    The task knows whether a piece begins inside a text, so a piece is looked through once and without patterns.
+    """
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, held, before = [], [], None
@@ -110,9 +119,15 @@ def assembled_files(pieces: DataFrame, depth: int) -> DataFrame:
         def take(row: tuple, last: bool) -> None:
             """The piece is added to its record, which is done if the brace after the piece leaves it."""
             nonlocal quotes, opened, nth
-            file, value, n_quotes, outside, inside, _, _ = row
-            opened += inside if quotes % 2 else outside
-            quotes += n_quotes
+            file, value, _, _ = row
+            bare = ESCAPED.sub("", value) if any(e in value for e in ESCAPES_THAT_COUNT) else value
+            if "{" in bare:
+                # Every second part between quotes is outside of texts.
+                parts = bare.split('"')
+                opened += "".join(parts[quotes % 2 :: 2]).count("{")
+                quotes += len(parts) - 1
+            else:
+                quotes += bare.count('"')
             closes = not last and quotes % 2 == 0
             opened -= closes
             held.append(value if last else value + "}")
@@ -148,7 +163,7 @@ def assembled_files(pieces: DataFrame, depth: int) -> DataFrame:
             if done:
                 yield given()
 
-    rows = measured(pieces).select("file", "value", "quotes", "opens_outside", "opens_inside", "bytes", "size")
+    rows = pieces.select("file", "value", (F.octet_length("value").cast("bigint") + 1).alias("bytes"), "size")
     return rows.mapInArrow(records, "file string, record bigint, value string, ends bigint")
 
 
@@ -219,7 +234,8 @@ def split_members(spark: SparkSession, path: str, depth: int = 1) -> DataFrame:
     # An empty array or object has no record, and its brackets are no fragment.
     nothing = F.col("value").rlike(closing) | F.col("value").rlike(r"^\s*(\[\s*\]|\{\s*\})?\s*$")
     is_record = F.col("ends") == 1
-    cleaned = F.regexp_replace("value", F.when(F.col("record") == 0, opening).otherwise(r"^[\s,]*"), F.lit(""))
+    # Only the first record of a file needs a pattern.
+    cleaned = F.when(F.col("record") == 0, F.regexp_replace("value", opening, "")).otherwise(F.ltrim("value", F.lit(SPACES + ",")))
     return whole.filter(is_record | ~nothing).select(
         "file", F.col("record").alias("nth"), F.when(is_record, cleaned).otherwise(F.col("value")).alias("value"),
         F.when(~is_record, CUT_OFF).alias("reason"),

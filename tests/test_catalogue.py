@@ -152,6 +152,22 @@ def test_first_stage_rows(built):
     assert [tuple(r) for r in built["first"]["textual"].collect()] == [("alpha", "Born\n", None, None)]
 
 
+def test_long_texts_are_made_and_looked_through_once(spark, folder, monkeypatch):
+    plans, real = [], stages.cut_by
+
+    def noted(df, *more):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, *more)
+
+    monkeypatch.setattr(stages, "cut_by", noted)
+    entries, _ = split.read_array(spark, str(folder / "entries.json"), schemas.ENTRIES)
+    main = by_id(stages.clean_entries(entries)["main"])
+    assert set(main) == {"%16", "alpha", "beta", "gamma", "delta", "root", "french", "unsafe", "faulty", "unseen"}
+    assert (main["alpha"]["description"], main["alpha"]["search_keywords"]) == ("A much longer about text\n", ["Grumpy", "cats"])
+    # One pattern for each kind of text; titles are looked through for these rows only, the lowest ids and copies are known by then.
+    assert plans[0].count("regexp_replace") == 4 and plans[0].count("Raped") == 1
+
+
 def test_recognition_and_cascade(built):
     tables = built["last"]
     main = by_id(tables["main"])

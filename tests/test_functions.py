@@ -217,3 +217,16 @@ def test_pages(spark):
     assert [tuple(r) for r in rows] == [
         (1, 136011, "ann", "bob", "2012-01-05", "2013-02-06"), (2, 0, "", "", "", ""), (3, None, None, None, None, None),
     ]
+
+
+def test_texts_are_searched_for_literal_parts_without_patterns(spark, apply):
+    values = ["x.y [1]", "", None, "In Progress", "a+b", "[]", "[x]"]
+    assert apply("string", values, lambda t: text.contains_any(t, ["a+", "."])) == [True, False, None, False, True, False, False]
+    assert apply("string", values, lambda t: text.contains_any(t, [])) == [False] * 7
+    assert apply("string", values, text.strip_markers) == ["x.y ", None, None, "In Progress", "a+b", "", "[x]"]
+    content = F.expr("map('a', named_struct('text', array(t, null, 'NOT available', 'x'), 'images', null, 'subsections', null))")
+    content = content.cast("map<string,struct<text:array<string>,images:array<string>,subsections:map<string,struct<text:array<string>,images:array<string>>>>>")
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    assert [r[0] for r in df.select(text.section_text(content, ["a"])).collect()] == ["x.y [1]\nx\n", "\nx\n", "x\n", "x\n", "a+b\nx\n", "[]\nx\n", "[x]\nx\n"]
+    found = df.select(text.contains_any(F.col("t"), ["a+", "."]), text.section_text(content, ["a"]))
+    assert "RLIKE" not in found._jdf.queryExecution().optimizedPlan().toString().upper()

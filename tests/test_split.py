@@ -1,5 +1,7 @@
 """Files of one array or object read by many tasks, rejects with their place, and true source order."""
 
+import contextlib
+import io
 import json
 import random
 from pathlib import Path
@@ -21,6 +23,13 @@ def records(n, seed=1):
     return [{"id": i, "name": t, "parts": [{"a": t}] * (i % 3), "more": {t: t} if i % 4 == 0 else {}} for i, t in enumerate(texts)]
 
 
+def plan(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
 @pytest.fixture
 def small_blocks(spark):
     """Files are cut into blocks of a few hundred bytes."""
@@ -170,3 +179,25 @@ def test_lines_of_a_place_are_written_by_many_tasks(spark, tmp_path, monkeypatch
     order = sorted(range(3000), key=lambda d: (2 - d % 3, d))
     assert found == {i: d for i, d in enumerate(order) if i not in stored_queries.DROPPED_POSITIONS}
     assert all(len(list(place.glob("*.json"))) > 1 for place in (tmp_path / "lines").glob("place=*"))
+
+
+def test_files_read_whole_need_no_patterns(spark, tmp_path):
+    (tmp_path / "one.json").write_text(json.dumps(records(9)))
+    text = plan(split.assembled_files(split.file_blocks(spark, str(tmp_path), "}").drop("is_whole"), 1))
+    assert "MapInArrow" in text and "regexp_replace" not in text and "replace(" not in text
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_escaped_signs_are_no_quotes_or_braces(spark, tmp_path, small_blocks, whole):
+    if whole:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    texts = ["\\", '\\"', '"', "\\\\", '{\\"', '\\"{', "\n{\n", "a\\nb", "\\{", '\\\\"{', " {", "}\\", '"}"', "", " , ["]
+    rows = [{"id": i, "name": a + b, "parts": [{"a": b}], "more": {a: b}} for i, (a, b) in enumerate((a, b) for a in texts for b in texts)]
+    (tmp_path / "one.json").write_text(" ,[ , " + json.dumps(rows)[1:])
+    assert (split.file_blocks(spark, str(tmp_path), "}").select("block").distinct().count() == 1) == whole
+    good, bad = split.read_array(spark, str(tmp_path), SCHEMA)
+    assert bad.count() == 0
+    assert [(r.nth, r.id, r.name, r.parts[0].a, r.more) for r in good.orderBy("nth").collect()] == [
+        (r["id"], r["id"], r["name"], r["parts"][0]["a"], r["more"]) for r in rows
+    ]
